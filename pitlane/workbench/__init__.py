@@ -1,6 +1,6 @@
 """Bindings of the operators to a set of test tables, with equivalent SQL."""
 
-from pitlane.workbench import telemetry_queries  # noqa: F401
+from pitlane.workbench import lap_queries, telemetry_queries  # noqa: F401
 from pitlane.workbench.book import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

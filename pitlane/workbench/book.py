@@ -12,14 +12,14 @@ from pitlane.workbench.views import LAPS_SQL, TEL_SQL, TRACKS_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 VIEWS = {"tel": TEL_SQL.strip(), "laps": LAPS_SQL.strip(), "tracks": TRACKS_SQL}
-DIGITS = 6
+DIGITS = 7
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to 6 digits, so that summation order does not matter; no negative zero."""
+    """Doubles to 7 digits, so that summation order does not matter; no negative zero."""
     return df.select(
         *[
             (F.round(f.name, DIGITS) + F.lit(0.0)).alias(f.name)
