@@ -49,16 +49,16 @@ def is_small(df: DataFrame) -> bool:
     return int(str(estimate)) <= small
 
 
-def hot_groups(df: DataFrame, keys: list[str]) -> DataFrame | None:
+def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame | None:
     """Keys of the groups too large for one task, or None if there are none.
 
-    A hot group has more than `hot_limit` rows, so there are at most
-    ``rows / hot_limit`` of them: the result is always safe to broadcast.
+    A hot group has more than `limit` rows (default: `hot_limit`), so there are
+    at most ``rows / limit`` of them, which is safe to broadcast.
     """
     if is_small(df):
         return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = materialize(counts.where(F.col("_rows") > hot_limit(df)))
+    hot = materialize(counts.where(F.col("_rows") > (limit or hot_limit(df))))
     return None if hot.isEmpty() else hot
 
 
