@@ -163,7 +163,7 @@ def value_blocks(
     block = F.floor((F.col("_n") - 1) / size)
     arrays = ordered_arrays(placed.withColumn("Block", block), [*keys, "Block"], order, ["_v"])
     last = placed.groupBy(*keys).agg((F.floor((F.max("_n") - 1) / size) + 1).alias("Blocks"))
-    return arrays.join(last, keys).withColumnRenamed("_v", column)
+    return _join(arrays, last, keys).withColumnRenamed("_v", column)
 
 
 # -- distances -------------------------------------------------------------

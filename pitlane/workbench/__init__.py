@@ -1,6 +1,13 @@
 """Bindings of the operators to a set of test tables, with equivalent SQL."""
 
-from pitlane.workbench import lap_queries, similarity_queries, telemetry_queries  # noqa: F401
+# ruff: noqa: F401
+
+from pitlane.workbench import (
+    lap_queries,
+    similarity_queries,
+    storage_queries,
+    telemetry_queries,
+)  # noqa: F401
 from pitlane.workbench.book import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
