@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +11,12 @@ from pitlane import schemas
 from pitlane.functions.durations import interval_to_seconds
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists on its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_partitioned(
     spark: SparkSession, path: str, schema: str, partitions: str = schemas.PARTITIONS, **only
 ) -> DataFrame:
@@ -66,12 +71,9 @@ def scan_season(spark: SparkSession, path: str, year: int, schema: str) -> DataF
     reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
     reader = reader.option("pathGlobFilter", "*.parquet")
     for folder in (f"{path}/Year={year}", f"{path}/{year}"):
-        try:
-            files = reader.parquet(folder)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(spark, folder):
             continue
+        files = reader.parquet(folder)
         name = F.regexp_extract("_metadata.file_path", r"/(?:Race=)?([^/]+)/[^/]+$", 1)
         # File paths are percent-encoded once, and folder names of partitions once more.
         plain = F.url_decode(F.regexp_replace(name, r"\+", "%2B"))

@@ -2,43 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane import schemas
 from pitlane.functions.durations import interval_micros, interval_text
 from pitlane.operators.shaping import serving_columns
+from pitlane.sources.readers import exists
 
 RACE = ["Year", "Race"]
 SESSION = [*RACE, "Session"]
 INSERT_BATCH = 5000
 
 
+def balanced(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """Bring rows of one stored partition together in files of even size.
+
+    Adaptive execution splits a large partition over several tasks and merges
+    small ones, so neither one huge nor thousands of tiny files come out.
+    """
+    return df.hint("rebalance", *partitions)
+
+
 def write_if_absent(df: DataFrame, path: str, partitions: list[str] = SESSION) -> None:
     """Add only partitions that are not stored yet; stored ones are never touched."""
-    try:
-        stored = df.sparkSession.read.parquet(path).select(*partitions).distinct()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    else:
+    spark = df.sparkSession
+    if exists(spark, path):
+        stored = spark.read.parquet(path).select(*partitions).distinct()
         same = [F.col(p).cast(df.schema[p].dataType) for p in partitions]
         df = df.join(stored.select(*same), partitions, "left_anti")
-    df.write.mode("append").partitionBy(*partitions).parquet(path)
+    balanced(df, partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
 def write_processed(df: DataFrame, path: str, partitions: list[str] = RACE) -> None:
     """Write processed laps; a rerun replaces exactly the races it contains."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partitions).parquet(path)
+    writer = balanced(df, partitions).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def write_season(df: DataFrame, path: str) -> int:
     """Write a consolidated season and return its number of rows, counted while writing."""
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").partitionBy("Year").parquet(path)
+    balanced(counted, ["Year"]).write.mode("overwrite").partitionBy("Year").parquet(path)
     rows = seen.get["rows"]
     if not rows:
         raise ValueError("no race data to consolidate")
@@ -56,6 +62,7 @@ def load_serving(rows: DataFrame, path: str, mode: str = "append") -> None:
 
     Appending the same race twice stores it twice; ``mode="replace"`` does not.
     """
+    rows = balanced(rows, ["year", "race"])
     if mode == "replace":
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:

@@ -4,6 +4,7 @@
 
 from pitlane.workbench import (
     lap_queries,
+    learning_queries,
     similarity_queries,
     storage_queries,
     telemetry_queries,
