@@ -20,7 +20,14 @@ from pitlane.functions.scalars import row_mean
 from pitlane.operators.quantiles import percentiles
 from pitlane.operators.series import Series
 
-TRACK_SCHEMA = "Race string, LapLength_km double, RaceLength_km double"
+
+def _lookup(df: DataFrame, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A fixed lookup table of a few rows, as a literal in the plan."""
+    values = ", ".join(
+        "(" + ", ".join(f"'{v}'" if isinstance(v, str) else f"{v}D" for v in row) + ")"
+        for row in rows
+    )
+    return df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
 # -- dimensions ------------------------------------------------------------
@@ -28,7 +35,7 @@ TRACK_SCHEMA = "Race string, LapLength_km double, RaceLength_km double"
 
 def with_track(laps: DataFrame) -> DataFrame:
     """Add lap and race length; a race missing from the track table is an error."""
-    tracks = laps.sparkSession.createDataFrame(TRACKS, TRACK_SCHEMA)
+    tracks = _lookup(laps, TRACKS, ["Race", "LapLength_km", "RaceLength_km"])
     joined = laps.join(F.broadcast(tracks), "Race", "left")
     missing = F.raise_error(F.concat(F.lit("unknown race: "), F.coalesce("Race", F.lit("NULL"))))
     return joined.withColumns(
@@ -41,9 +48,7 @@ def with_track(laps: DataFrame) -> DataFrame:
 
 def with_provider_name(df: DataFrame, column: str, name: str) -> DataFrame:
     """Add the provider's name of an event: its alias, or the name itself."""
-    aliases = df.sparkSession.createDataFrame(
-        list(EVENT_ALIASES.items()), f"{column} string, _alias string"
-    )
+    aliases = _lookup(df, list(EVENT_ALIASES.items()), [column, "_alias"])
     joined = df.join(F.broadcast(aliases), column, "left")
     return joined.withColumn(name, F.coalesce("_alias", column)).drop("_alias")
 

@@ -9,62 +9,55 @@ from pitlane.constants import ACC_LIMIT_G, EPSILON, GRAVITY, KMH_PER_MPS, LAP_KE
 from pitlane.functions.scalars import TURN, round_half_even, wrapped_angle
 from pitlane.operators.series import Series, attach_totals
 
+# Weights of the low-noise differentiator by neighbour distance.
+SMOOTH_WEIGHTS = {1: 5.0 / 32.0, 2: 4.0 / 32.0, 3: 1.0 / 32.0}
 
-def _slope(
-    first: Column, last: Column, t: tuple[Column, Column, Column], rise: dict[str, Column]
-) -> Column:
-    """Difference quotient around a row.
+def _slope(t: str, back: str, ahead: str, both: str) -> Column:
+    """Difference quotient around a row, over the neighbours of `t`.
 
-    `t` holds the previous, current and next abscissa; `rise` the change of the
-    ordinate from the previous row ("back"), to the next row ("ahead") and over
-    both ("both").  The two ends are one-sided with a small guard in the
-    denominator; inside, a vanishing span falls back to the next, then to the
-    previous neighbour, then to 0.
+    The other arguments are SQL for the change of the ordinate from the previous
+    row, to the next row and over both.  The two ends are one-sided with a small
+    guard in the denominator; inside, a vanishing span falls back to the next,
+    then to the previous neighbour, then to 0.
     """
-    before, here, after = t
-    ahead, back, both = after - here, here - before, after - before
-    inner = (
-        F.when(F.abs(both) > EPSILON, F.try_divide(rise["both"], both))
-        .when(F.abs(ahead) > EPSILON, F.try_divide(rise["ahead"], ahead))
-        .when(F.abs(back) > EPSILON, F.try_divide(rise["back"], back))
-        .otherwise(F.lit(0.0))
-    )
-    return (
-        F.when(first & last, F.lit(None).cast("double"))
-        .when(first, F.try_divide(rise["ahead"], ahead + EPSILON))
-        .when(last, F.try_divide(rise["back"], back + EPSILON))
-        .otherwise(inner)
+    to_next, from_last, over = f"({t}_a1 - {t})", f"({t} - {t}_b1)", f"({t}_a1 - {t}_b1)"
+    tiny = f"{EPSILON}D"
+    return F.expr(
+        f"""CASE
+          WHEN _is_first AND _is_last THEN NULL
+          WHEN _is_first THEN try_divide({ahead}, {to_next} + {tiny})
+          WHEN _is_last THEN try_divide({back}, {from_last} + {tiny})
+          WHEN abs({over}) > {tiny} THEN try_divide({both}, {over})
+          WHEN abs({to_next}) > {tiny} THEN try_divide({ahead}, {to_next})
+          WHEN abs({from_last}) > {tiny} THEN try_divide({back}, {from_last})
+          ELSE 0D END"""
     )
 
 
-def centered_slope(s: Series, t: str, v: str) -> Column:
-    """Centered derivative dv/dt; needs reach 1."""
-    before, here, after = s.lag(v), F.col(v), s.lead(v)
-    rise = {"back": here - before, "ahead": after - here, "both": after - before}
-    return _slope(s.is_first(), s.is_last(), (s.lag(t), F.col(t), s.lead(t)), rise)
+def _centered(t: str, v: str) -> Column:
+    """Centered derivative dv/dt from the neighbours of both columns."""
+    return _slope(t, f"{v} - {v}_b1", f"{v}_a1 - {v}", f"{v}_a1 - {v}_b1")
 
 
-def smooth_slope(s: Series, t: str, v: str) -> Column:
-    """Low-noise derivative over three neighbours on each side; needs reach 3.
+def _smooth(t: str, v: str) -> Column:
+    """Low-noise derivative over three neighbours on each side.
 
     Rows without three neighbours on both sides use the plain two-sided
     quotient, the two ends a one-sided one.
     """
-    weights = {1: 5.0 / 32.0, 2: 4.0 / 32.0, 3: 1.0 / 32.0}
-    terms = []
-    for j, weight in weights.items():
-        span = s.lead(t, j) - s.lag(t, j)
-        rise = s.lead(v, j) - s.lag(v, j)
-        terms.append(F.when(span == 0, 0.0).otherwise(F.try_divide(2 * j * weight * rise, span)))
-    one = F.lit(1)
-    first, last = s.is_first(), s.is_last()
-    near_end = s.lag(one, 3).isNull() | s.lead(one, 3).isNull()
-    return (
-        F.when(first & last, F.lit(None).cast("double"))
-        .when(first, F.try_divide(s.lead(v) - F.col(v), s.lead(t) - F.col(t) + EPSILON))
-        .when(last, F.try_divide(F.col(v) - s.lag(v), F.col(t) - s.lag(t) + EPSILON))
-        .when(near_end, F.try_divide(s.lead(v) - s.lag(v), s.lead(t) - s.lag(t) + EPSILON))
-        .otherwise(F.lit(0.0) + terms[0] + terms[1] + terms[2])
+    terms = " + ".join(
+        f"""CASE WHEN {t}_a{j} - {t}_b{j} = 0 THEN 0D ELSE
+            try_divide({2 * j * weight}D * ({v}_a{j} - {v}_b{j}), {t}_a{j} - {t}_b{j}) END"""
+        for j, weight in SMOOTH_WEIGHTS.items()
+    )
+    tiny = f"{EPSILON}D"
+    return F.expr(
+        f"""CASE
+          WHEN _is_first AND _is_last THEN NULL
+          WHEN _is_first THEN try_divide({v}_a1 - {v}, {t}_a1 - {t} + {tiny})
+          WHEN _is_last THEN try_divide({v} - {v}_b1, {t} - {t}_b1 + {tiny})
+          WHEN _near_end THEN try_divide({v}_a1 - {v}_b1, {t}_a1 - {t}_b1 + {tiny})
+          ELSE {terms} END"""
     )
 
 
@@ -77,34 +70,44 @@ def derivative(
     keys: list[str] = LAP_KEY,
     order: list[str] = SAMPLE_ORDER,
 ) -> DataFrame:
-    """Derivative of any channel inside each group."""
-    slope = {"centered": centered_slope, "smooth": smooth_slope}[method]
-    s = Series(df, keys, order, reach=3 if method == "smooth" else 1)
-    return s.with_columns({name: slope(s, t, v)}).rows()
+    """Derivative of any channel inside each group, "centered" or "smooth"."""
+    reach = {"centered": 1, "smooth": 3}[method]
+    s = Series(df, keys, order, reach=reach).with_neighbours([t, v], reach)
+    if method == "centered":
+        s.with_columns({name: _centered(t, v)})
+    else:
+        one = F.lit(1)
+        near_end = s.lag(one, 3).isNull() | s.lead(one, 3).isNull()
+        s.with_columns({"_near_end": near_end}).with_columns({name: _smooth(t, v)})
+    return s.rows().select(*df.columns, name)
 
 
 # -- headings --------------------------------------------------------------
 
+PATH = ["Distance", "X", "Y"]
 
-def _add_angle(s: Series) -> Series:
-    """Tangent angle of the path at each sample (`_angle`, reach 1)."""
-    s.with_columns(
-        {
-            "_dx": centered_slope(s, "Distance", "X"),
-            "_dy": centered_slope(s, "Distance", "Y"),
-        }
-    )
-    return s.with_columns({"_angle": F.atan2("_dy", "_dx")})
+
+def _angle() -> Column:
+    """Tangent angle of the path, from the neighbours of its coordinates."""
+    return F.atan2(_centered("Distance", "Y"), _centered("Distance", "X"))
 
 
-def _add_turn(s: Series) -> Series:
-    """Heading change since the previous sample in whole turns (`_turns`) and in full (`_turn`)."""
+def _with_turns(s: Series) -> Series:
+    """Heading change since the previous sample, in whole turns and in full."""
     raw = F.col("_angle") - F.col("_angle_before")
     s.with_columns({"_angle_before": s.lag("_angle")})
     s.with_columns({"_turns": F.rint((wrapped_angle(raw) - raw) / TURN)})
     return s.with_columns({"_turn": raw + TURN * F.col("_turns")})
 
 
+def path_angle(
+    df: DataFrame, keys: list[str] = LAP_KEY, order: list[str] = SAMPLE_ORDER
+) -> DataFrame:
+    """Add `Angle`: direction of the path at each sample, within one turn."""
+    s = Series(df, keys, order, reach=1).with_neighbours(PATH)
+    return s.with_columns({"Angle": _angle()}).rows().select(*df.columns, "Angle")
+
+
 def heading_unwrap(
     df: DataFrame, keys: list[str] = LAP_KEY, order: list[str] = SAMPLE_ORDER
 ) -> DataFrame:
@@ -113,7 +116,8 @@ def heading_unwrap(
     The heading is the tangent angle plus all whole turns counted so far.  A
     missing coordinate makes it missing for the rest of the lap.
     """
-    s = _add_turn(_add_angle(Series(df, keys, order, reach=2)))
+    s = Series(df, keys, order, reach=2).with_neighbours(PATH)
+    _with_turns(s.with_columns({"_angle": _angle()}))
     s.running(
         {
             "_turned": ("sum", F.coalesce(F.col("_turns"), F.lit(0.0))),
@@ -121,41 +125,30 @@ def heading_unwrap(
         }
     )
     heading = F.when(F.col("_lost") == 0, F.col("_angle") + TURN * F.col("_turned"))
-    return _drop_helpers(s.with_columns({"Heading": heading}).rows())
+    return s.with_columns({"Heading": heading}).rows().select(*df.columns, "Heading")
 
 
-def _add_curvature(s: Series) -> Series:
-    """Change of heading per metre (`Curvature`).
+def _with_curvature(s: Series) -> Series:
+    """Change of heading per metre (`Curvature`) from `_angle`.
 
     Only differences of neighbouring headings enter, so the running heading
     itself is not needed: the change to a neighbour is the wrapped turn.
     """
-    _add_turn(_add_angle(s))
+    _with_turns(s)
     s.running({"_lost": ("max", F.col("_angle").isNull().cast("int"))})
-    turn = F.when(F.col("_lost") == 0, F.col("_turn"))
-    s.with_columns({"_turn": turn})
+    s.with_columns({"_turn": F.when(F.col("_lost") == 0, F.col("_turn"))})
     s.with_columns({"_turn_after": s.lead("_turn")})
-    rise = {
-        "back": F.col("_turn"),
-        "ahead": F.col("_turn_after"),
-        "both": F.col("_turn") + F.col("_turn_after"),
-    }
-    t = (s.lag("Distance"), F.col("Distance"), s.lead("Distance"))
-    return s.with_columns({"Curvature": _slope(s.is_first(), s.is_last(), t, rise)})
+    slope = _slope("Distance", "_turn", "_turn_after", "(_turn + _turn_after)")
+    return s.with_columns({"Curvature": slope})
 
 
 def curvature(
     df: DataFrame, keys: list[str] = LAP_KEY, order: list[str] = SAMPLE_ORDER
 ) -> DataFrame:
     """Add `Curvature` in radians per metre."""
-    return _drop_helpers(_add_curvature(Series(df, keys, order, reach=3)).rows())
-
-
-def _drop_helpers(df: DataFrame) -> DataFrame:
-    return df.drop(
-        "_dx", "_dy", "_angle", "_angle_before", "_turns", "_turn", "_turn_after", "_turned",
-        "_lost", "_back_s", "_ahead_s",
-    )
+    s = Series(df, keys, order, reach=3).with_neighbours(PATH)
+    _with_curvature(s.with_columns({"_angle": _angle()}))
+    return s.rows().select(*df.columns, "Curvature")
 
 
 # -- accelerations ---------------------------------------------------------
@@ -204,17 +197,19 @@ def accelerations(
     Longitudinal: derivative of speed over time.  Lateral: speed squared times
     path curvature.
     """
-    mps = F.col("Speed") / KMH_PER_MPS
-    s = Series(df.withColumn("_v", mps), keys, order, reach=3)
-    s.with_columns({"_lon": centered_slope(s, "Time_s", "_v") / GRAVITY})
+    s = Series(df.withColumn("_v", F.col("Speed") / KMH_PER_MPS), keys, order, reach=3)
+    s.with_neighbours(["Time_s", "_v", *(PATH if lateral else [])])
+    first = {"_lon": _centered("Time_s", "_v") / GRAVITY}
     made = {"_lon": "LonAcc"}
     if lateral:
-        _add_curvature(s)
-        s.with_columns({"_lat": F.col("_v") * F.col("_v") * F.col("Curvature") / GRAVITY})
+        _with_curvature(s.with_columns({**first, "_angle": _angle()}))
+        s.with_columns({"_lat": F.expr(f"_v * _v * Curvature / {GRAVITY}D")})
         made["_lat"] = "LatAcc"
+    else:
+        s.with_columns(first)
     _repair(s, made)
-    s.with_columns({c: round_half_even(F.col(c), 5) for c in made.values()})
-    return _drop_helpers(s.rows()).drop("_v", "_lon", "_lat", "Curvature")
+    rounded = [round_half_even(F.col(c), 5).alias(c) for c in made.values()]
+    return s.rows().select(*df.columns, *rounded)
 
 
 def with_lap_sums(

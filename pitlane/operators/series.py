@@ -20,7 +20,7 @@ skipped for inputs too small to contain one.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -94,11 +94,11 @@ class Series:
 
     # -- windows -----------------------------------------------------------
 
-    @property
+    @cached_property
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.parts).orderBy(*self.order)
 
-    @property
+    @cached_property
     def backwards(self) -> WindowSpec:
         return Window.partitionBy(*self.parts).orderBy(*[F.col(c).desc() for c in self.order])
 
@@ -120,6 +120,17 @@ class Series:
         self.df = self.df.withColumns(columns)
         return self
 
+    def with_neighbours(self, columns: list[str], distance: int = 1) -> Series:
+        """Add ``<column>_b<n>`` and ``<column>_a<n>``: the values n rows before and after.
+
+        Also adds `_is_first` and `_is_last`.
+        """
+        made = {"_is_first": self.is_first(), "_is_last": self.is_last()}
+        for c in columns:
+            for n in range(1, distance + 1):
+                made[f"{c}_b{n}"], made[f"{c}_a{n}"] = self.lag(c, n), self.lead(c, n)
+        return self.with_columns(made)
+
     def running(self, columns: dict[str, tuple[str, Column]], backwards: bool = False) -> Series:
         """Running aggregates from the group's start up to the current row.
 

@@ -268,8 +268,7 @@ sql(
 
 @query("heading")
 def heading(spark, folder):
-    s = motion._add_angle(motion.Series(tel(spark, folder), LAP_KEY, motion.SAMPLE_ORDER, reach=1))
-    return s.rows().select(*ID, F.col("_angle").alias("Angle"))
+    return motion.path_angle(tel(spark, folder)).select(*ID, "Angle")
 
 
 sql("heading", "tel", f"SELECT {ROW}, a AS Angle FROM p2", "Angle", STEPS[:2])

@@ -19,12 +19,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _season(number):
-    races = F.array(*[F.lit(r) for r in RACES])
-    return {
-        "Year": (F.lit(2022) + number % 3).cast("int"),
-        "Race": F.element_at(races, (number % len(RACES) + 1).cast("int")),
-    }
+def _season(number: str) -> list:
+    """`Year` and `Race` of a driver number."""
+    names = ", ".join(f"'{r}'" for r in RACES)
+    return [
+        F.expr(f"cast(2022 + {number} % 3 AS int)").alias("Year"),
+        F.expr(f"element_at(array({names}), cast({number} % {len(RACES)} + 1 AS int))").alias("Race"),
+    ]
 
 
 def tel(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,10 +34,8 @@ def tel(spark: SparkSession, folder: str) -> DataFrame:
     time = F.timestamp_diff("MICROSECOND", start, F.col("ts")) / F.lit(4e10)
     day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
     user, event = F.col("user_id"), F.col("event_id")
-    season = _season(user)
     return table(spark, folder, "events").select(
-        season["Year"].alias("Year"),
-        season["Race"].alias("Race"),
+        *_season("user_id"),
         user.cast("string").alias("DriverNumber"),
         (F.floor(day / F.lit(6)) + 1).cast("int").alias("LapNumber"),
         event.alias("SampleId"),
@@ -57,10 +56,8 @@ def laps(spark: SparkSession, folder: str) -> DataFrame:
     numbered = Series(driver, ["DriverNumber"], ["o_orderkey"]).position("LapNumber").rows()
     joined = numbered.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     key, lap = F.col("o_orderkey"), F.col("LapNumber").cast("int")
-    season = _season(F.col("o_custkey"))
     return joined.select(
-        season["Year"].alias("Year"),
-        season["Race"].alias("Race"),
+        *_season("o_custkey"),
         "DriverNumber",
         F.concat(F.lit("C"), "DriverNumber").alias("Driver"),
         F.col("c_mktsegment").alias("Team"),
