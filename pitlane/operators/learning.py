@@ -42,28 +42,48 @@ def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
+def _parts(df: DataFrame, order: list[str], starts) -> DataFrame:
+    """Add `_part`: how many of the given parts start at or before the row.
+
+    `starts` gives the 1-based first positions of the parts after the first one,
+    as an array over the row count `_n`.  Only the order columns are numbered;
+    the few rows found at those positions then divide the whole table without
+    moving it.
+    """
+    placed = Series(df.select(*order), [], order).position("_at").rows()
+    size = F.broadcast(df.agg(F.count(F.lit(1)).alias("_n")))
+    first = placed.join(size).where(F.array_contains(starts(F.col("_n")), F.col("_at")))
+    bounds = first.agg(F.collect_list(F.struct(*order)).alias("_bounds"))
+    wide = df.join(F.broadcast(bounds))
+    row = F.struct(*order)
+    part = F.size(F.filter("_bounds", lambda start: start <= row))
+    return wide.withColumn("_part", part).drop("_bounds")
+
+
 def train_test_split(
     df: DataFrame, keys: list[str], share: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Add `Part`: the first ceil(share * n) rows by a seeded hash of the keys are "test"."""
     hashed = df.withColumn("_hash", F.xxhash64(*keys, F.lit(seed)))
-    placed = Series(hashed, [], ["_hash", *keys]).position("_at").rows()
-    size = F.broadcast(df.agg(F.ceil(F.count(F.lit(1)) * share).alias("_test")))
-    part = F.when(F.col("_at") <= F.col("_test"), "test").otherwise("train")
-    return placed.join(size).withColumn("Part", part).drop("_hash", "_at", "_test")
+
+    def starts(n: Column) -> Column:
+        return F.array(F.ceil(n * share) + 1)
+
+    parted = _parts(hashed, ["_hash", *keys], starts)
+    part = F.when(F.col("_part") == 0, "test").otherwise("train")
+    return parted.withColumn("Part", part).drop("_hash", "_part")
 
 
 def kfold(df: DataFrame, order: list[str], folds: int = 5) -> DataFrame:
     """Add `Fold`, 0-based contiguous folds; the first n % k are one row longer."""
-    placed = Series(df, [], order).position("_at").rows()
-    wide = placed.join(F.broadcast(df.agg(F.count(F.lit(1)).alias("_n"))))
-    size = F.floor(F.col("_n") / folds)
-    extra = F.col("_n") % folds
-    at = F.col("_at") - 1
-    edge = extra * (size + 1)
-    late = extra + F.floor(F.try_divide(at - edge, size))
-    fold = F.when(at < edge, F.floor(at / (size + 1))).otherwise(late)
-    return wide.withColumn("Fold", fold.cast("int")).drop("_at", "_n")
+
+    def starts(n: Column) -> Column:
+        size, extra = F.floor(n / folds), n % folds
+        return F.array(
+            *[F.lit(i) * size + F.least(F.lit(i).cast("long"), extra) + 1 for i in range(1, folds)]
+        )
+
+    return _parts(df, order, starts).withColumnRenamed("_part", "Fold")
 
 
 def model_dataset(

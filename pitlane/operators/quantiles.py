@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.operators.series import Series, attach_small, hot_groups, mark_hot
+from pitlane.settings import PERCENTILE_ROWS, PERCENTILE_ROWS_DEFAULT, setting
 
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
@@ -21,11 +22,11 @@ def percentiles(
     `df`; a single row when `keys` is empty.
 
     Spark's own exact percentile keeps all distinct values of a group in one
-    task.  That is fine up to the hot-group limit; larger groups are ranked by
-    a range-partitioned running count of their value counts.
+    task.  That is fine up to a limit; larger groups are ranked by a
+    range-partitioned running count of their value counts.
     """
     narrow = df.select(*keys, *[c for c in wanted if c not in keys])
-    hot = hot_groups(narrow, keys)
+    hot = hot_groups(narrow, keys, setting(df.sparkSession, PERCENTILE_ROWS, PERCENTILE_ROWS_DEFAULT))
     exact = [
         F.percentile(F.col(c).cast("double"), F.lit(q)).alias(name)
         for c, names in wanted.items()

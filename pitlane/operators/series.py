@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from pitlane.settings import (
     HOT_GROUP_ROWS,
     HOT_GROUP_ROWS_DEFAULT,
-    SMALL_INPUT_BYTES,
-    SMALL_INPUT_BYTES_DEFAULT,
+    MOST_PIECES,
+    SMALL_BYTES_PER_ROW,
+    SMALL_BYTES_PER_ROW_DEFAULT,
     materialize,
     setting,
 )
@@ -42,11 +43,15 @@ def hot_limit(df: DataFrame) -> int:
     return setting(df.sparkSession, HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT)
 
 
-def is_small(df: DataFrame) -> bool:
-    """True when Spark's own size estimate rules out a hot group."""
-    small = setting(df.sparkSession, SMALL_INPUT_BYTES, SMALL_INPUT_BYTES_DEFAULT)
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= small
+def is_small(df: DataFrame, limit: int) -> bool:
+    """True when the tables behind `df` are too small to hold `limit` rows of one group.
+
+    Uses Spark's own size of the scanned tables, so no job runs.
+    """
+    per_row = setting(df.sparkSession, SMALL_BYTES_PER_ROW, SMALL_BYTES_PER_ROW_DEFAULT)
+    tables = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [tables.apply(i).stats().sizeInBytes() for i in range(tables.size())]
+    return sum(int(str(s)) for s in sizes) <= limit * per_row
 
 
 def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame | None:
@@ -55,10 +60,11 @@ def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> Data
     A hot group has more than `limit` rows (default: `hot_limit`), so there are
     at most ``rows / limit`` of them, which is safe to broadcast.
     """
-    if is_small(df):
+    limit = limit or hot_limit(df)
+    if is_small(df, limit):
         return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = materialize(counts.where(F.col("_rows") > (limit or hot_limit(df))))
+    hot = materialize(counts.where(F.col("_rows") > limit))
     return None if hot.isEmpty() else hot
 
 
@@ -174,7 +180,7 @@ class Series:
     def _cut(self, df: DataFrame) -> DataFrame:
         limit = hot_limit(df)
         total = self.hot.agg(F.sum("_rows")).first()[0]
-        pieces = max(2, -(-total // limit) * 2)
+        pieces = min(max(2, -(-total // limit) * 2), MOST_PIECES)
         marked = mark_hot(df, self.hot, self.keys)
         cold = marked.where(F.col("_rows").isNull()).drop("_rows").withColumn(SEGMENT, F.lit(-1))
         # The partition number is only stable once written, hence the checkpoint.

@@ -22,7 +22,7 @@ from pyspark.sql.functions import pandas_udf
 
 from pitlane.constants import DRIVER_KEY, LAP_KEY, SAMPLE_ORDER
 from pitlane.operators.laps import fastest_lap
-from pitlane.operators.series import Series, hot_groups, mark_hot
+from pitlane.operators.series import Series, hot_groups
 from pitlane.settings import (
     WARP_BLOCK,
     WARP_BLOCK_DEFAULT,
@@ -204,11 +204,12 @@ def distances(
 
 
 def _split(df: DataFrame, hot: DataFrame | None, keys: list[str]):
+    """Short and long series; how many are long is not bounded, so Spark picks the join."""
     if hot is None:
         return df, None
-    marked = mark_hot(df, hot, keys)
-    is_hot = F.col("_rows").isNotNull()
-    return marked.where(~is_hot).drop("_rows"), marked.where(is_hot).drop("_rows")
+    if not keys:
+        return df.limit(0), df
+    return df.join(hot, keys, "left_anti"), df.join(hot.drop("_rows"), keys, "left_semi")
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

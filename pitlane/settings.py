@@ -11,12 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 # A group above this many rows is processed in pieces instead of in one task.
 HOT_GROUP_ROWS = "spark.pitlane.hotGroupRows"
 HOT_GROUP_ROWS_DEFAULT = 4_000_000
-# An input whose whole estimated size is below this cannot hold a hot group.
-SMALL_INPUT_BYTES = "spark.pitlane.smallInputBytes"
-SMALL_INPUT_BYTES_DEFAULT = 256 * 1024 * 1024
+# Tables that take fewer bytes than this per allowed row are too small for a hot group.
+SMALL_BYTES_PER_ROW = "spark.pitlane.smallBytesPerRow"
+SMALL_BYTES_PER_ROW_DEFAULT = 16
+# A group above this many rows is not ranked by Spark's in-memory exact percentile.
+PERCENTILE_ROWS = "spark.pitlane.percentileRows"
+PERCENTILE_ROWS_DEFAULT = 500_000
+# Most pieces that hot groups are cut into; more rows make larger pieces.
+MOST_PIECES = 20_000
 # Longest series handed to a single warping kernel call.
 WARP_BLOCK = "spark.pitlane.warpBlock"
-WARP_BLOCK_DEFAULT = 4096
+WARP_BLOCK_DEFAULT = 16_384
 
 
 def setting(spark: SparkSession, key: str, default: int) -> int:
