@@ -22,7 +22,7 @@ def rounded(df: DataFrame) -> DataFrame:
     """Doubles to 7 digits, so that summation order does not matter; no negative zero."""
     return df.select(
         *[
-            (F.round(f.name, DIGITS) + F.lit(0.0)).alias(f.name)
+            F.expr(f"rint(`{f.name}` * 1e{DIGITS}D) / 1e{DIGITS}D + 0D").alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name)
             for f in df.schema
@@ -43,6 +43,6 @@ def sql(name: str, views: str, body: str, doubles: str = "", ctes: list[str] | N
     parts = [VIEWS[v] for v in views.split()] + (ctes or [])
     head = "WITH " + ("RECURSIVE " if any("UNION ALL SELECT" in c for c in parts) else "")
     head = head + ",\n".join(parts) + "\n" if parts else ""
-    swaps = ", ".join(f"round({c}, {DIGITS}) + 0e0 AS {c}" for c in doubles.split())
+    swaps = ", ".join(f"round_even({c} * 1e{DIGITS}, 0) / 1e{DIGITS} + 0e0 AS {c}" for c in doubles.split())
     replace = f" REPLACE ({swaps})" if swaps else ""
     ORACLES[name] = f"{head}SELECT *{replace} FROM (\n{body.strip()}\n) q"
