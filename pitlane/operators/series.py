@@ -60,12 +60,25 @@ def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> Data
     A hot group has more than `limit` rows (default: `hot_limit`), so there are
     at most ``rows / limit`` of them, which is safe to broadcast.
     """
-    limit = limit or hot_limit(df)
-    if is_small(df, limit):
-        return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = materialize(counts.where(F.col("_rows") > limit))
-    return None if hot.isEmpty() else hot
+    return hot_groups_of([(df, keys)], limit or hot_limit(df))[0]
+
+
+def hot_groups_of(
+    tables: list[tuple[DataFrame, list[str]]], limit: int
+) -> list[DataFrame | None]:
+    """`hot_groups` of several tables; one job looks for the largest group of each."""
+    counts = {
+        i: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        for i, (df, keys) in enumerate(tables)
+        if not is_small(df, limit)
+    }
+    found: list[DataFrame | None] = [None] * len(tables)
+    if counts:
+        tops = [c.agg(F.max("_rows").alias("top")).withColumn("i", F.lit(i)) for i, c in counts.items()]
+        for row in reduce(DataFrame.unionByName, tops).collect():
+            if (row.top or 0) > limit:
+                found[row.i] = materialize(counts[row.i].where(F.col("_rows") > limit))
+    return found
 
 
 def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:

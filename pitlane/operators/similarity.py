@@ -9,7 +9,6 @@ all tiles of an anti-diagonal in parallel, passing on only tile edges.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -22,7 +21,8 @@ from pyspark.sql.functions import pandas_udf
 
 from pitlane.constants import DRIVER_KEY, LAP_KEY, SAMPLE_ORDER
 from pitlane.operators.laps import fastest_lap
-from pitlane.operators.series import Series, hot_groups
+from pitlane.operators.motion import accelerations
+from pitlane.operators.series import Series, hot_groups_of
 from pitlane.settings import (
     WARP_BLOCK,
     WARP_BLOCK_DEFAULT,
@@ -105,13 +105,12 @@ def _padded(series: list, chosen: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 @pandas_udf(T.DoubleType())
-def warp_distance(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def warp_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """Distance of two arrays; NULL if one of them is missing or empty."""
-    for a, b in batches:
-        first = [x if x is not None else () for x in a]
-        second = [x if x is not None else () for x in b]
-        values = warp_distances(first, second)
-        yield pd.Series(values).astype(object).where(~np.isnan(values), None)
+    first = [x if x is not None else () for x in a]
+    second = [x if x is not None else () for x in b]
+    values = warp_distances(first, second)
+    return pd.Series(values).astype(object).where(~np.isnan(values), None)
 
 
 @pandas_udf(T.StructType([T.StructField("bottom", VALUES), T.StructField("right", VALUES)]))
@@ -185,8 +184,9 @@ def distances(
     """
     size = setting(samples.sparkSession, WARP_BLOCK, WARP_BLOCK_DEFAULT)
     signals = list(columns)
-    long_laps = hot_groups(samples.select(*keys), keys, size)
-    long_refs = hot_groups(references.select(*on), on, size)
+    long_laps, long_refs = hot_groups_of(
+        [(samples.select(*keys), keys), (references.select(*on), on)], size
+    )
     short, long = _split(samples, long_laps, keys)
     ref_short, ref_long = _split(references, long_refs, on)
 
@@ -276,16 +276,20 @@ def reference_laps(quali: DataFrame, race: DataFrame) -> DataFrame:
 
 
 def reference_signal(
-    quali: DataFrame, quali_acc: DataFrame, race: DataFrame, race_acc: DataFrame
+    quali: DataFrame, quali_tel: DataFrame, race: DataFrame, race_tel: DataFrame
 ) -> DataFrame:
-    """Samples of each driver's reference lap; the accelerations are given."""
+    """Samples of each driver's reference lap with their accelerations.
+
+    Laps are whole groups of the acceleration windows, so the few reference laps
+    are picked before anything is computed.
+    """
     chosen = reference_laps(quali, race)
 
-    def of(acc: DataFrame, session: str) -> DataFrame:
+    def of(samples: DataFrame, session: str) -> DataFrame:
         laps = chosen.where(F.col("Session") == session)
-        return acc.join(laps, LAP_KEY, "left_semi")
+        return samples.join(laps, LAP_KEY, "left_semi")
 
-    return of(quali_acc, "Q").unionByName(of(race_acc, "R"))
+    return accelerations(of(quali_tel, "Q").unionByName(of(race_tel, "R")))
 
 
 STYLE = {"LonAcc": "LonDistanceDTW", "LatAcc": "LatDistanceDTW"}

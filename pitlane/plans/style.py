@@ -17,11 +17,10 @@ def landed(laps: DataFrame, telemetry: DataFrame) -> DataFrame:
 def style(
     race_laps: DataFrame, race_tel: DataFrame, quali_laps: DataFrame, quali_tel: DataFrame
 ) -> DataFrame:
-    race_acc, quali_acc = accelerations(race_tel), accelerations(quali_tel)
     references = reference_signal(
-        landed(quali_laps, quali_tel), quali_acc, landed(race_laps, race_tel), race_acc
+        landed(quali_laps, quali_tel), quali_tel, landed(race_laps, race_tel), race_tel
     )
-    return style_distances(race_acc, references)
+    return style_distances(accelerations(race_tel), references)
 
 
 def with_style(laps: DataFrame, distances: DataFrame) -> DataFrame:

@@ -129,9 +129,8 @@ sql(
 @query("reference_signal")
 def reference_signal(spark, folder):
     samples, own = tel(spark, folder), laps(spark, folder)
-    acc = accelerations(samples)
     there = style_plan.landed(own, samples)
-    return similarity.reference_signal(there, acc, there, acc).select(
+    return similarity.reference_signal(there, samples, there, samples).select(
         *LAP_KEY, "SampleId", "LonAcc", "LatAcc"
     )
 
@@ -146,11 +145,10 @@ sql(
 def dtw_single_reference(spark, folder):
     """Every lap against the one fastest personal best that has telemetry."""
     samples, own = tel(spark, folder), laps(spark, folder)
-    acc = accelerations(samples)
-    best = fastest_lap(style_plan.landed(own, samples), [*DRIVER_KEY])
+    best = fastest_lap(style_plan.landed(own, samples), DRIVER_KEY)
     one = best.orderBy("LapTime_s", "DriverNumber").limit(1)
-    reference = acc.join(F.broadcast(one), LAP_KEY, "left_semi")
-    return similarity.distances(acc, reference, similarity.STYLE, on=[])
+    reference = accelerations(samples.join(F.broadcast(one), LAP_KEY, "left_semi"))
+    return similarity.distances(accelerations(samples), reference, similarity.STYLE, on=[])
 
 
 ONE = (
