@@ -217,12 +217,17 @@ class Series:
         spans = sizes.withColumn("_end", F.sum("_size").over(group.orderBy(SEGMENT)))
         spans = materialize(spans.withColumn("_start", F.col("_end") - F.col("_size")))
 
-        numbered = attach_small(
-            large.withColumn("_n", F.row_number().over(self.window)), spans, self.parts
-        )
+        # Spark keeps the few edge rows per segment before it shuffles.
+        def outer(spec: WindowSpec) -> DataFrame:
+            ranked = large.withColumn("_n", F.row_number().over(spec)).where(F.col("_n") <= reach)
+            return attach_small(ranked, spans, self.parts)
+
+        first = outer(self.window).withColumn("_at", F.col("_start") + F.col("_n"))
+        last = outer(self.backwards).withColumn("_at", F.col("_end") - F.col("_n") + 1)
+        # A short segment's rows are edges of both kinds, but wanted once.
+        last = last.where(F.col("_at") > F.col("_start") + reach)
         edges = (
-            numbered.where((F.col("_n") <= reach) | (F.col("_n") > F.col("_size") - reach))
-            .withColumn("_at", F.col("_start") + F.col("_n"))
+            first.unionByName(last)
             .withColumn("_bucket", F.floor(F.col("_at") / reach))
             .drop("_n", "_size", "_start", "_end", SEGMENT)
         )
@@ -249,8 +254,9 @@ class Series:
         )
         wanted = wanted.withColumnsRenamed({**names, "_bucket": "_want_bucket"})
         inside = F.col("_at").between(F.col("_span.lo"), F.col("_span.hi"))
-        return edges.join(wanted, match & inside).drop(
-            *names.values(), "_want_bucket", "_span", "_bucket", "_at"
+        copies = edges.join(wanted, match & inside)
+        return materialize(
+            copies.drop(*names.values(), "_want_bucket", "_span", "_bucket", "_at")
         )
 
     def _carry(self, inputs: DataFrame, kinds: dict[str, str], backwards: bool) -> DataFrame:

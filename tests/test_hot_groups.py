@@ -9,7 +9,7 @@ from pitlane.operators import laps, learning, matching, motion, quantiles, telem
 from pitlane.operators.series import Series, attach_totals, hot_groups
 from tests.data import SCHEMA, laps_of, near
 
-SIZES = [400, 1, 3, 7, 90, 20]
+SIZES = [160, 1, 3, 7, 50, 20]
 ID = ["LapNumber", "SampleId"]
 
 
@@ -33,7 +33,7 @@ def test_only_hot_groups_are_found(spark, samples, hot):
     assert hot_groups(samples, LAP_KEY) is None
     with hot(30):
         found = hot_groups(samples, LAP_KEY).collect()
-    assert sorted((r.LapNumber, r._rows) for r in found) == [(1, 400), (5, 90)]
+    assert sorted((r.LapNumber, r._rows) for r in found) == [(1, 160), (5, 50)]
 
 
 @pytest.mark.parametrize("limit", [2, 30, 100])
