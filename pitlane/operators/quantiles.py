@@ -66,7 +66,7 @@ def _ranked(df: DataFrame, keys: list[str], wanted: dict[str, dict[str, float]])
     totals = counts.groupBy(*keys, "of").agg(F.sum("times").alias("total"))
     s = Series(counts, [*keys, "of"], ["value"])
     placed = s.running({"upto": ("sum", F.col("times"))}).rows()
-    ranked = placed.join(F.broadcast(totals), [*keys, "of"])
+    ranked = attach_small(placed, totals, [*keys, "of"])
     made = []
     for c, names in wanted.items():
         for name, q in names.items():
