@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pitlane.llm.bpe import encode_digests
 from pitlane.llm.common import read_table
 from pitlane.llm.secrets import scan_secrets
 
@@ -16,7 +18,13 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(read_table(spark, folder, "documents"))
 
 
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encode_digests(read_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
+    "op2_bpe": op2_bpe,
 }
 ORACLES: dict[str, str] = {}
