@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitlane.llm.bpe import encode_digests
 from pitlane.llm.common import read_table
 from pitlane.llm.secrets import scan_secrets
+from pitlane.llm.toxicity import score, train
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +24,14 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_digests(read_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return score(docs, train(docs, read_table(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLES: dict[str, str] = {}
