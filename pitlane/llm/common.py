@@ -84,3 +84,15 @@ def texts_of(column: pa.Array) -> list[str]:
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Just the two columns, under fixed names, whatever else `df` holds."""
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+
+# A side with at most so many rows of a few numbers may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `rows` rows, else as it is.
+
+    `df` should be stored, as it is counted.  The count stops at the bound.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitlane.llm.bpe import encode_digests
 from pitlane.llm.common import read_table
+from pitlane.llm.neardup import near_duplicates
 from pitlane.llm.secrets import scan_secrets
 from pitlane.llm.toxicity import score, train
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -24,6 +26,34 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_digests(read_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op3_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(read_table(spark, folder, "documents"), width=2, percent=80)
+
+
+OP3_SQL = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws
+      ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS s FROM texts)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))
+), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT a AS node, a AS other FROM both_ways
+  UNION SELECT r.node, l.b FROM reach r JOIN both_ways l ON l.a = r.other
+), least AS (SELECT node, min(other) AS component FROM reach GROUP BY 1)
+SELECT t.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component, t.doc_id) AS component_id,
+  coalesce(l.component, t.doc_id) = t.doc_id AS kept
+FROM texts t LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = t.doc_id
+"""
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return score(docs, train(docs, read_table(spark, folder, "labels")))
@@ -32,6 +62,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
+    "op3_neardup": op3_neardup,
     "op9_toxicity": op9_toxicity,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL}
