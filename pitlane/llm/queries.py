@@ -11,6 +11,7 @@ from pitlane.llm.bpe import encode_digests
 from pitlane.llm.common import read_table
 from pitlane.llm.neardup import near_duplicates
 from pitlane.llm.secrets import scan_secrets
+from pitlane.llm.substring import remove_repeats
 from pitlane.llm.toxicity import score, train
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -54,6 +55,28 @@ FROM texts t LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = t.do
 """
 
 
+def op7_substring(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(read_table(spark, folder, "documents"), width=20, digest=True)
+
+
+OP7_SQL = """
+WITH texts AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(ws[s + 1 : s + 20], ' ') AS w
+  FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - 19)) AS s FROM texts)
+), firsts AS (SELECT w, min({'d': doc_id, 's': s}) AS f FROM windows GROUP BY w),
+gone AS (
+  SELECT DISTINCT doc_id, s + unnest(range(1, 21)) AS i FROM windows JOIN firsts USING (w)
+  WHERE doc_id > f.d OR (doc_id = f.d AND s > f.s)
+), lists AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY 1)
+SELECT t.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(g), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(coalesce(g, []), i)), ' ')) AS kept_sha256
+FROM texts t LEFT JOIN lists USING (doc_id)
+"""
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return score(docs, train(docs, read_table(spark, folder, "labels")))
@@ -63,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
     "op3_neardup": op3_neardup,
+    "op7_substring": op7_substring,
     "op9_toxicity": op9_toxicity,
 }
-ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL}
+ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL, "op7_substring": OP7_SQL}
