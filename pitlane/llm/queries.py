@@ -12,6 +12,7 @@ from pitlane.llm.common import read_table
 from pitlane.llm.neardup import near_duplicates
 from pitlane.llm.secrets import scan_secrets
 from pitlane.llm.substring import remove_repeats
+from pitlane.llm.topk import top_k
 from pitlane.llm.toxicity import score, train
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -55,6 +56,22 @@ FROM texts t LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = t.do
 """
 
 
+def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    return top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+
+
+OP4_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op7_substring(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(read_table(spark, folder, "documents"), width=20, digest=True)
 
@@ -86,7 +103,8 @@ QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
     "op3_neardup": op3_neardup,
+    "op4_topk": op4_topk,
     "op7_substring": op7_substring,
     "op9_toxicity": op9_toxicity,
 }
-ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL, "op7_substring": OP7_SQL}
+ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL, "op4_topk": OP4_SQL, "op7_substring": OP7_SQL}
