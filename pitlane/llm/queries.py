@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitlane.llm.bpe import encode_digests
 from pitlane.llm.common import read_table
+from pitlane.llm.html import extract
 from pitlane.llm.neardup import near_duplicates
 from pitlane.llm.secrets import scan_secrets
 from pitlane.llm.substring import remove_repeats
@@ -94,6 +95,10 @@ FROM texts t LEFT JOIN lists USING (doc_id)
 """
 
 
+def op10_html(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(read_table(spark, folder, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return score(docs, train(docs, read_table(spark, folder, "labels")))
@@ -106,5 +111,6 @@ QUERIES: dict[str, Query] = {
     "op4_topk": op4_topk,
     "op7_substring": op7_substring,
     "op9_toxicity": op9_toxicity,
+    "op10_html": op10_html,
 }
 ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL, "op4_topk": OP4_SQL, "op7_substring": OP7_SQL}
