@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pitlane.llm import pii
 from pitlane.llm.bpe import encode_digests
 from pitlane.llm.common import read_table
 from pitlane.llm.html import extract
@@ -99,6 +100,11 @@ def op10_html(spark: SparkSession, folder: str) -> DataFrame:
     return extract(read_table(spark, folder, "pages"))
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return pii.scan(docs, pii.train(docs))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return score(docs, train(docs, read_table(spark, folder, "labels")))
@@ -110,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op3_neardup": op3_neardup,
     "op4_topk": op4_topk,
     "op7_substring": op7_substring,
+    "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_html": op10_html,
 }
