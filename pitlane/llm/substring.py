@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.llm.common import id_and_text, map_arrow
-from pitlane.llm.words import Words, grams
+from pitlane.llm.words import BASE, Words, grams, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -79,30 +79,32 @@ def super_kmers(words: Words, width: int, grain: int) -> tuple[np.ndarray, ...]:
 
 
 def find(batch: pa.RecordBatch, width: int, grain: int) -> pa.RecordBatch:
-    value, text, start, n, weight = super_kmers(Words(batch.column("text")), width, grain)
-    rows = pa.array(text)
-    arrays = [
-        pa.array(value.view(np.int64)), batch.column("d").take(rows), batch.column("g").take(rows),
-        pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(weight, pa.int32()),
-    ]
-    return pa.RecordBatch.from_arrays(arrays, ["h", "d", "g", "s", "n", "weight"])
+    value, text, _, _, weight = super_kmers(Words(batch.column("text")), width, grain)
+    arrays = [pa.array(value.view(np.int64)), batch.column("d").take(pa.array(text)), pa.array(weight, pa.int8())]
+    return pa.RecordBatch.from_arrays(arrays, ["h", "d", "weight"])
 
 
-def pack(batch: pa.RecordBatch, width: int) -> pa.RecordBatch:
-    """The wanted super-k-mers of each text as strings."""
+def pack(batch: pa.RecordBatch, width: int, grain: int) -> pa.RecordBatch:
+    """The super-k-mers of each text whose minimiser is wanted, as strings."""
     words = Words(batch.column("text"))
+    value, row, start, n, _ = super_kmers(words, width, grain)
     lists = batch.column("wanted")
     items = lists.flatten()
-    sizes = np.diff(lists.offsets.to_numpy())
-    row = np.repeat(np.arange(batch.num_rows), sizes)
-    start, n = items.field("s").to_numpy().astype(np.int64), items.field("n").to_numpy()
-    at = words.bounds[row] + start
-    begin, end = words.start[at], words.end[at + n + width - 2]
+    owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+    wanted = mix(items.field("h").to_numpy().view(np.uint64) + owner.astype(np.uint64) * BASE)
+    order = np.argsort(wanted)
+    own = mix(value + row.astype(np.uint64) * BASE)
+    at = np.minimum(np.searchsorted(wanted[order], own), max(len(wanted) - 1, 0))
+    hit = np.flatnonzero(wanted[order][at] == own) if len(wanted) else at[:0]
+    salts = items.field("salts").to_numpy()[order][at[hit]]
+    value, row, start, n = value[hit], row[hit], start[hit], n[hit]
+    first = words.bounds[row] + start
+    begin, end = words.start[first], words.end[first + n + width - 2]
     strings = [words.bytes[b:e].tobytes() for b, e in zip(begin, end, strict=True)]
     rows = pa.array(row)
     arrays = [
-        items.field("h"), items.field("salts"), batch.column("d").take(rows), batch.column("g").take(rows),
-        items.field("s"), pa.array(strings, pa.binary()).cast(pa.string()),
+        pa.array(value.view(np.int64)), pa.array(salts, pa.int32()), batch.column("d").take(rows),
+        batch.column("g").take(rows), pa.array(start, pa.int32()), pa.array(strings, pa.binary()).cast(pa.string()),
     ]
     return pa.RecordBatch.from_arrays(arrays, ["h", "salts", "d", "g", "s", "packed"])
 
@@ -187,16 +189,16 @@ def cut(batch: pa.RecordBatch, width: int, digest: bool) -> pa.RecordBatch:
 
 
 def repeated_runs(base: DataFrame, width: int, grain: int) -> DataFrame:
-    """(d, g, runs): where the later windows of each text start."""
-    kmers = map_arrow(base.select("d", "g", "text"), lambda b: find(b, width, grain), "h long, d long, g long, s int, n int, weight int")
+    """(d, runs): where the later windows of each document's texts start."""
+    kmers = map_arrow(base.select("d", "text"), lambda b: find(b, width, grain), "h long, d long, weight byte")
     counts = kmers.groupBy("h").agg(F.sum("weight").alias("c")).where("c > 1")
-    wanted = kmers.join(counts, "h").select(
-        "d", "g", F.struct("h", "s", "n", F.ceil(F.col("c") / BUCKET_ROWS).cast("int").alias("salts")).alias("kmer")
-    )
+    salts = F.ceil(F.col("c") / BUCKET_ROWS).cast("int").alias("salts")
+    wanted = kmers.select("h", "d").join(counts, "h").select("d", F.struct("h", salts).alias("kmer"))
     # A text's list is as long as the text at most.
-    lists = wanted.groupBy("d", "g").agg(F.collect_set("kmer").alias("wanted"))
-    joined = base.join(lists, ["d", "g"]).select("d", "g", "text", "wanted")
-    packs = map_arrow(joined, lambda b: pack(b, width), "h long, salts int, d long, g long, s int, packed string")
+    lists = wanted.groupBy("d").agg(F.collect_set("kmer").alias("wanted"))
+    # Both joins with the texts keep the same columns, so that the texts are shuffled once.
+    joined = base.join(lists, "d").select(*base.columns, "wanted")
+    packs = map_arrow(joined, lambda b: pack(b, width, grain), "h long, salts int, d long, g long, s int, packed string")
     packs = packs.withColumn("salt", F.pmod(F.xxhash64("d", "s"), F.col("salts")).cast("int"))
     keys = ["h", "salt"]
     found = sort_buckets(packs.repartition(*keys).sortWithinPartitions(*keys), width)
@@ -205,7 +207,7 @@ def repeated_runs(base: DataFrame, width: int, grain: int) -> DataFrame:
     first = F.min(place).over(Window.partitionBy("part", "w"))
     parts = found.withColumn("part", F.when(F.col("w").isNull(), F.xxhash64("d", "g", "s")))
     later = parts.select("d", "g", "s", "n", "w", (place > first).alias("later")).where("w IS NULL OR later")
-    return later.groupBy("d", "g").agg(F.collect_set(F.struct("s", "n")).alias("runs"))
+    return later.groupBy("d").agg(F.collect_set(F.struct("g", "s", "n")).alias("runs"))
 
 
 def remove_repeats(
@@ -223,5 +225,6 @@ def remove_repeats(
     )
     runs = repeated_runs(base, width, grain)
     last = "kept_sha256" if digest else "kept"
-    joined = base.join(runs, ["d", "g"], "left").select("doc_id", "text", "runs")
+    mine = F.transform(F.filter("runs", lambda r: r["g"] == F.col("g")), lambda r: F.struct(r["s"].alias("s"), r["n"].alias("n")))
+    joined = base.join(runs, "d", "left").select(*base.columns, mine.alias("runs"))
     return map_arrow(joined, lambda b: cut(b, width, digest), f"doc_id long, n_words long, n_removed long, {last} string")
