@@ -10,14 +10,14 @@ Jaccard similarity with at least the concentration of independent hashes, and a
 n elements needs about t log(t) / n rounds.  A bin is kept as 8 bits.
 
 Candidates.  Equal sets become one class first.  Classes with an equal band of ROWS
-bins meet in a bucket.  A bucket links each member to a centre, chosen anew for each
-band, never all pairs.  Pairs whose sketches agree too little for the threshold (six
+bins meet in a bucket.  A bucket compares each member with a centre, never all pairs;
+members of other components than the centre's meet another centre in a second turn.  Pairs whose sketches agree too little for the threshold (six
 standard deviations) are left out; the others are verified on the full sets.
 
 The rest.  If a bucket then holds classes of several components, links between its
 members that avoid the centre may be missing.  All classes in such buckets go through
 an exact prefix join: a linked pair must share one of the (1 - t) n + 1 rarest shingles
-of either side.
+of either side, early enough in both orders for the overlap that the threshold needs.
 
 Defined cases: rows with a null id are returned with a null component and kept; empty
 sets are linked with nothing; repeated rows are in one class, and each of them whose id
@@ -43,6 +43,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BANDS, ROWS = 48, 6
 BINS = BANDS * ROWS
+# Times that the members of a bucket are compared with a centre.
+TURNS = 2
 SETS_SCHEMA = "doc_id long, n_shingles long, set_key binary, sketch binary"
 
 
@@ -143,7 +145,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         arrays = [batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())]
         return pa.RecordBatch.from_arrays(arrays, ["rep", "items"])
 
-    return map_arrow(rows, run, "rep long, items binary")
+    return map_arrow(rows, run, "rep long, items binary").dropDuplicates(["rep"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -163,9 +165,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(both, run, "a long, b long", "ia")
 
 
+def with_labels(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(band, rep, label): a class without links is its own component."""
+    named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    return named.select("band", "rep", F.coalesce("label", "rep").alias("label"))
+
+
 def prefix_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share one of their rarest shingles (exact)."""
-    spread = sets.dropDuplicates(["rep"]).join(labels.select(F.col("node").alias("rep"), "label"), "rep")
+    spread = sets.join(labels.select(F.col("node").alias("rep"), "label"), "rep")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts = [np.frombuffer(x, np.int64) for x in batch.column("items").to_pylist()]
@@ -182,13 +190,16 @@ def prefix_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     shown = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("o"))
     prefix = (
         counted.groupBy("rep", "label", "n").agg(order.alias("o")).where(shown > 0)
-        .select("rep", "label", "n", F.explode(F.slice("o", F.lit(1), shown.cast("int"))).alias("x"))
-        .select("rep", "label", "n", F.col("x.h").alias("h"))
+        .select("rep", "label", "n", F.size("o").alias("m"), F.posexplode(F.slice("o", F.lit(1), shown.cast("int"))).alias("i", "x"))
+        .select("rep", "label", (F.col("n") - F.col("m") + F.col("i")).alias("at"), "n", F.col("x.h").alias("h"))
     )
-    one = prefix.select(F.col("rep").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), "h")
-    two = prefix.select(F.col("rep").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), "h")
-    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return one.join(two, "h").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near).select("a", "b").distinct()
+    one, two = (prefix.select("h", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "label", "n", "at")]) for x in "ab")
+    # The first shared shingle and all that follow it must be enough for the overlap that is needed.
+    both = F.col("n_a") + F.col("n_b")
+    enough = [(F.col(f"n_{x}") - F.col(f"at_{x}")) * (100 + percent) >= both * percent for x in "ab"]
+    apart = (F.col("rep_a") < F.col("rep_b")) & (F.col("label_a") != F.col("label_b"))
+    matched = one.join(two, "h").where(apart & enough[0] & enough[1])
+    return matched.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -206,37 +217,37 @@ def near_duplicates(
     )
     classes = stored(keyed, "classes")
 
-    # Buckets: a centre for each, by an order that changes with the band.
     members = band_rows(classes)
-    mixed = F.xxhash64("rep", "band")
-    centres = (
-        members.groupBy("band").agg(F.min(mixed).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    )
-    placed = stored(members.join(centres, "band").select("band", "rep", "first", (mixed == F.col("first")).alias("centre")), "buckets")
-    heads = placed.where("centre").groupBy("band").agg(F.min("rep").alias("head"))
-    starred = stored(placed.join(heads, "band").select("band", "rep", "head"), "stars")
-    pairs = starred.where("rep <> head").select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
-    likely = stored(agreeing(pairs, classes, percent), "pairs")
-
-    reps = stored(likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct(), "reps")
-    sets = stored(full_sets(docs, reps, width), "full")
-    links = stored(verified(likely, sets, percent), "verified")
-    labels = components(links)
+    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("band")
+    placed = stored(members.join(shared, "band"), "buckets")
+    sets = stored(full_sets(docs, stored(placed.select("rep").distinct(), "reps"), width), "full")
+
+    links = sets.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
+    labels = placed.select(F.col("rep").alias("node"), F.col("rep").alias("label")).limit(0)
+    for turn in range(TURNS):
+        # First one order of centres for all bands, so that a family meets at few of them; later
+        # another order for each band, for what is still apart.
+        order = F.xxhash64("rep", F.col("band") * 0 if turn == 0 else F.col("band"), F.lit(turn))
+        current = with_labels(placed, labels)
+        heads = current.groupBy("band").agg(F.min(F.struct(order.alias("order"), "rep", "label")).alias("head"))
+        apart = current.join(heads, "band").where(F.col("label") != F.col("head.label"))
+        one, two = F.col("rep"), F.col("head.rep")
+        pairs = apart.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
+        found = stored(verified(agreeing(pairs, classes, percent), sets, percent), "verified")
+        if found.limit(1).count():
+            links = links.union(found)
+            labels = components(links)
 
     # Buckets that still hold several components.
-    labelled = starred.select("band", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "label", F.coalesce("label", "rep")
-    )
-    mixed_buckets = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    current = with_labels(placed, labels)
+    several = current.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     unsettled = stored(
-        labelled.join(mixed_buckets, "band", "left_semi").select(F.col("rep").alias("node"), "label").distinct(), "unsettled"
+        current.join(several, "band", "left_semi").select(F.col("rep").alias("node"), "label").distinct(), "unsettled"
     )
-    if unsettled.limit(1).count():
-        rest = stored(full_sets(docs, unsettled.select(F.col("node").alias("rep")), width), "rest")
-        more = stored(prefix_pairs(rest, unsettled, percent), "prefix")
-        found = stored(verified(agreeing(more, classes, percent), rest, percent), "found")
-        if found.limit(1).count():
-            labels = components(links.union(found))
+    more = stored(prefix_pairs(sets, unsettled, percent), "prefix")
+    found = stored(verified(agreeing(more, classes, percent), sets, percent), "found")
+    if found.limit(1).count():
+        labels = components(links.union(found))
 
     named = classes.select("set_key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("set_key", F.coalesce("label", "rep").alias("component"))
