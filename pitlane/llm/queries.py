@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitlane.llm import pii
 from pitlane.llm.bpe import encode_digests
 from pitlane.llm.common import read_table
+from pitlane.llm.decontam import find_items
 from pitlane.llm.html import extract
 from pitlane.llm.neardup import near_duplicates
 from pitlane.llm.secrets import scan_secrets
@@ -74,6 +75,10 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+def op5_decontam(spark: SparkSession, folder: str) -> DataFrame:
+    return find_items(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 def op7_substring(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(read_table(spark, folder, "documents"), width=20, digest=True)
 
@@ -115,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_neardup": op3_neardup,
     "op4_topk": op4_topk,
+    "op5_decontam": op5_decontam,
     "op7_substring": op7_substring,
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
