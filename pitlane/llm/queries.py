@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.llm import pii
+from pitlane.llm import pii, quality
 from pitlane.llm.bpe import encode_digests
 from pitlane.llm.common import read_table
 from pitlane.llm.decontam import find_items
@@ -79,6 +79,11 @@ def op5_decontam(spark: SparkSession, folder: str) -> DataFrame:
     return find_items(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return quality.classify(docs, quality.train(docs, read_table(spark, folder, "labels")))
+
+
 def op7_substring(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(read_table(spark, folder, "documents"), width=20, digest=True)
 
@@ -121,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op3_neardup": op3_neardup,
     "op4_topk": op4_topk,
     "op5_decontam": op5_decontam,
+    "op6_quality": op6_quality,
     "op7_substring": op7_substring,
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
