@@ -1,6 +1,7 @@
 """Secret scan: lex assignments, propagate constants, score literals by their target's name.
 
-`scan_secrets` returns one row per input row.  Three base kinds come from fixed
+`scan_secrets` returns one row per input row; `mask_secrets` keeps the rows and replaces
+what was found.  Three base kinds come from fixed
 patterns (`assign`, `access`, `hex`).  The lexer adds the kind `literal`: every
 ``name = value`` or ``name: value`` pair is split into a target name and an
 expression of literals and names joined by ``+``; names seen earlier in the same
@@ -56,6 +57,7 @@ SENSITIVE = {
 }
 HARMLESS = ("example", "changeme", "placeholder", "your", "xxxx", "null", "none", "true", "false", "todo")
 SCORE = 1.5
+MASK = "[secret]"
 # A name built from more literals than this is text, not a constant.
 MOST_PARTS = 64
 
@@ -152,3 +154,30 @@ def scan_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
 def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: counts, the base digest, and all spans."""
     return map_arrow(id_and_text(df, id_col, text_col), scan_batch, SCHEMA)
+
+
+def masked(text: str, mark: str = MASK) -> str:
+    """`text` with each found secret replaced; overlapping spans become one mark.
+
+    Of an assignment only the value goes, the name stays.
+    """
+    spans = [(s, e) for kind, s, e in base_spans(text) + literal_spans(text) if kind != "assign"]
+    if ":" in text or "=" in text:
+        spans += [m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    parts, at = [], 0
+    for s, e in sorted(spans):
+        if s >= at:
+            parts += [text[at:s], mark]
+        at = max(at, e)
+    return "".join([*parts, text[at:]])
+
+
+def mask_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """All rows and columns of `df`, with the secrets in the text replaced; a null text stays null."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = pa.array([None if t is None else masked(t) for t in batch.column(text_col).to_pylist()], pa.string())
+        columns = [texts if n == text_col else batch.column(n) for n in batch.schema.names]
+        return pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return map_arrow(df, run, df.schema, text_col)

@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from pitlane.llm.secrets import base_spans, literal_spans, scan_secrets
+from pitlane.llm.secrets import base_spans, literal_spans, mask_secrets, scan_secrets
 
 
 def naive(text):
@@ -62,3 +62,12 @@ def test_base_is_kept_beside_literals():
 
 def test_empty_table(spark):
     assert scan_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_masking(spark):
+    rows = [(1, "x", 'password=hunter2000 and AKIA' + "B" * 16 + "."), (2, "y", None), (3, "z", "token: 0123456789abcdef0123456789")]
+    df = spark.createDataFrame(rows, "doc_id long, other string, text string")
+    out = {r.doc_id: r for r in mask_secrets(df).collect()}
+    assert out[1].text == "password=[secret] and [secret]." and out[1].other == "x"
+    assert out[2].text is None and out[3].text == "token: [secret]"
+    assert mask_secrets(df).columns == df.columns
