@@ -59,6 +59,37 @@ def interval_text(micros: Column) -> Column:
     return F.when(micros.isNotNull(), shown)
 
 
+def text_micros(text: Column) -> Column:
+    """Microseconds of a duration written ``[-][D day[s]] [+]HH:MM:SS[.fraction]``; other text is NULL.
+
+    The day count alone carries a sign, as in ``-1 days +23:59:59``; a leading minus
+    without days turns the whole duration.  Digits beyond microseconds are cut.
+    """
+    form = r"^\s*(?:(-?)(\d+) days?,? *)?([-+]?)(\d{1,4}):(\d{2}):(\d{2})(?:\.(\d+))?\s*$"
+
+    def part(i: int) -> Column:
+        return F.regexp_extract(text, form, i)
+
+    def number(i: int) -> Column:
+        return F.coalesce(part(i).try_cast("long"), F.lit(0))
+
+    clock = (number(4) * 3600 + number(5) * 60 + number(6)) * MICROS
+    clock = clock + F.rpad(F.substring(part(7), 1, 6), 6, "0").cast("long")
+    days = number(2) * 86_400 * MICROS
+    signed = F.when(part(1) == "-", -days).otherwise(days) + F.when(part(3) == "-", -clock).otherwise(clock)
+    return F.when(text.rlike(form), signed)
+
+
+def text_to_seconds(text: Column) -> Column:
+    """`text_micros` in seconds."""
+    return text_micros(text) / F.lit(1e6)
+
+
+def text_to_interval(text: Column) -> Column:
+    """A duration's text as a day-time interval."""
+    return seconds_to_interval(text_to_seconds(text))
+
+
 def iso_timestamp(text: Column) -> Column:
     """ISO-8601 text, with or without fractional seconds, as a timestamp; bad text is NULL."""
     return text.try_cast("timestamp_ntz")

@@ -18,7 +18,8 @@ from pitlane.constants import (
 from pitlane.functions.durations import round_to_millis
 from pitlane.functions.scalars import row_mean
 from pitlane.operators.quantiles import percentiles
-from pitlane.operators.series import Series
+from pitlane.operators.series import Series, checked_broadcast
+from pitlane.settings import materialize
 
 
 def _lookup(df: DataFrame, rows: list[tuple], names: list[str]) -> DataFrame:
@@ -173,7 +174,8 @@ def quick_laps(
     """Laps faster than `threshold` times the best lap of their scope (default: the race)."""
     keys = scope or ["Year", "Race"]
     best = laps.groupBy(*keys).agg(F.min("LapTime_s").alias("_best"))
-    joined = laps.join(best, keys)
+    # Few scopes with many laps each must not gather in few tasks.
+    joined = laps.join(checked_broadcast(materialize(best)), keys)
     return joined.where(F.col("LapTime_s") < threshold * F.col("_best")).drop("_best")
 
 

@@ -20,7 +20,8 @@ from pitlane.constants import MODEL_FEATURES
 from pitlane.functions.durations import durations_to_seconds
 from pitlane.functions.scalars import clean_inf
 from pitlane.operators.laps import renumber_laps
-from pitlane.operators.series import Series
+from pitlane.operators.series import Series, checked_broadcast
+from pitlane.settings import materialize
 
 VECTOR = "_features"
 
@@ -38,6 +39,8 @@ def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
         values = df.where(F.col(c).isNotNull()).select(c).distinct()
         ranks = Series(values, [], [c]).position("_rank").rows()
         codes = ranks.select(c, (F.col("_rank") - 1).cast("int").alias("_code"))
+        # Few values with many rows each would gather in few tasks, so their codes are broadcast.
+        codes = checked_broadcast(materialize(codes))
         df = df.join(codes, c, "left").drop(c).withColumnRenamed("_code", c)
     return df
 
@@ -50,8 +53,9 @@ def _parts(df: DataFrame, order: list[str], starts) -> DataFrame:
     the few rows found at those positions then divide the whole table without
     moving it.
     """
-    placed = Series(df.select(*order), [], order).position("_at").rows()
-    size = F.broadcast(df.agg(F.count(F.lit(1)).alias("_n")))
+    narrow = materialize(df.select(*order))
+    placed = Series(narrow, [], order).position("_at").rows()
+    size = F.broadcast(narrow.agg(F.count(F.lit(1)).alias("_n")))
     first = placed.join(size).where(F.array_contains(starts(F.col("_n")), F.col("_at")))
     bounds = first.agg(F.collect_list(F.struct(*order)).alias("_bounds"))
     wide = df.join(F.broadcast(bounds))
@@ -63,8 +67,11 @@ def _parts(df: DataFrame, order: list[str], starts) -> DataFrame:
 def train_test_split(
     df: DataFrame, keys: list[str], share: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """Add `Part`: the first ceil(share * n) rows by a seeded hash of the keys are "test"."""
-    hashed = df.withColumn("_hash", F.xxhash64(*keys, F.lit(seed)))
+    """Add `Part`: the first ceil(share * n) rows by a seeded hash of the keys are "test".
+
+    The hash is the MD5 of the keys and the seed joined by ``|``, so any engine can repeat it.
+    """
+    hashed = df.withColumn("_hash", F.md5(F.concat_ws("|", *keys, F.lit(seed)).cast("binary")))
 
     def starts(n: Column) -> Column:
         return F.array(F.ceil(n * share) + 1)

@@ -27,14 +27,15 @@ def nearest(
 
     Adds `right_id`, `right_time` and the `carry` columns of the right side,
     NULL if there is none (or none within the tolerance).  Of two equally near
-    rows the earlier one wins; of simultaneous ones the lower id.
+    rows the earlier one wins; of simultaneous ones the lower id.  Right rows
+    without a time are never matched, left rows without one match nothing.
 
     Both sides are merged into one series and each left row looks at the last
     right row before it and the first after it; no pair is ever formed.
     """
     carry = carry or []
     picked = [right_id, *carry]
-    moments = right.groupBy(*by, right_time).agg(
+    moments = right.where(F.col(right_time).isNotNull()).groupBy(*by, right_time).agg(
         F.min_by(F.struct(*[F.col(c) for c in picked]), right_id).alias("_row")
     )
     points = moments.select(
@@ -57,6 +58,7 @@ def nearest(
     ahead = gap_micros(F.col("_t"), F.col("_next.t"))
     use_next = F.col("_prev").isNull() | (ahead < back)
     best = F.when(use_next, F.col("_next")).otherwise(F.col("_prev"))
+    best = F.when(F.col("_t").isNotNull(), best)
     gap = F.when(use_next, ahead).otherwise(back)
     if tolerance_us is not None:
         best = F.when(gap <= tolerance_us, best)
@@ -80,9 +82,10 @@ def tag_laps(
 
     The nearest sample to a start time opens the next lap.  The last start time
     only closes lap n, which still includes the sample after the closing one;
-    later samples get 0.
+    later samples get 0.  Missing start times do not count; a sample without a
+    time gets NULL.
     """
-    ordered = Series(starts, by, [start_time], reach=1)
+    ordered = Series(starts.where(F.col(start_time).isNotNull()), by, [start_time], reach=1)
     ordered.with_columns({"_closing": ordered.is_last()})
     matched = nearest(
         ordered.rows().select(*by, start_time, "_closing"),
@@ -102,6 +105,7 @@ def tag_laps(
     s.running({"_laps": ("sum", F.col("_opened")), "_ends": ("sum", F.col("_closed"))})
     past_end = F.col("_ends") - F.col("_closed") - F.col("_closed_before") > 0
     number = F.when(past_end, 0).otherwise(1 + F.col("_laps")).cast("int")
+    number = F.when(F.col(time).isNotNull(), number)
     return s.rows().withColumn(lap, number).drop(
         "_opened", "_closed", "_closed_before", "_laps", "_ends"
     )

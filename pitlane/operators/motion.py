@@ -158,8 +158,10 @@ def _repair(s: Series, columns: dict[str, str], limit: float = ACC_LIMIT_G) -> S
     """Replace values beyond the limit by the last kept value before them, or 0.
 
     A missing value is kept as missing and also passed on to the outliers after
-    it; NaN stands for it while the last kept value is looked up.
+    it; NaN stands for it while the last kept value is looked up.  NaN in the
+    input is a missing value too.
     """
+    s.with_columns({c: F.when(~F.isnan(c), F.col(c)) for c in columns})
     kept = {
         f"_kept_{out}": (
             "last",

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.operators.series import Series, attach_small, hot_groups, mark_hot
-from pitlane.settings import PERCENTILE_ROWS, PERCENTILE_ROWS_DEFAULT, setting
+from pitlane.operators.series import Series, attach_small, checked_broadcast, hot_groups, mark_hot
+from pitlane.settings import PERCENTILE_ROWS, PERCENTILE_ROWS_DEFAULT, materialize, setting
 
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
@@ -36,16 +36,18 @@ def percentiles(
         return narrow.groupBy(*keys).agg(*exact)
     marked = mark_hot(narrow, hot, keys)
     large = marked.where(F.col("_rows").isNotNull()).drop("_rows")
-    ranked = _ranked(large, keys, wanted)
+    ranked = _ranked(large, keys, wanted, hot.count())
     if not keys:
         return ranked
     cold = marked.where(F.col("_rows").isNull()).drop("_rows")
     # A hot group without any value has no rank but still gets its row.
-    large_groups = attach_small(hot.select(*keys), ranked, keys)
+    large_groups = attach_small(hot.select(*keys), ranked, keys, hot.count())
     return cold.groupBy(*keys).agg(*exact).unionByName(large_groups)
 
 
-def _ranked(df: DataFrame, keys: list[str], wanted: dict[str, dict[str, float]]) -> DataFrame:
+def _ranked(
+    df: DataFrame, keys: list[str], wanted: dict[str, dict[str, float]], groups: int
+) -> DataFrame:
     """Percentiles of hot groups from ranks of distinct values."""
     long = df.select(
         *keys,
@@ -66,7 +68,7 @@ def _ranked(df: DataFrame, keys: list[str], wanted: dict[str, dict[str, float]])
     totals = counts.groupBy(*keys, "of").agg(F.sum("times").alias("total"))
     s = Series(counts, [*keys, "of"], ["value"])
     placed = s.running({"upto": ("sum", F.col("times"))}).rows()
-    ranked = attach_small(placed, totals, [*keys, "of"])
+    ranked = attach_small(placed, totals, [*keys, "of"], groups * len(wanted))
     made = []
     for c, names in wanted.items():
         for name, q in names.items():
@@ -86,10 +88,18 @@ def _ranked(df: DataFrame, keys: list[str], wanted: dict[str, dict[str, float]])
 
 
 def attach_bounds(df: DataFrame, bounds: DataFrame, keys: list[str]) -> DataFrame:
-    """Join per-group bounds; without keys they are one row."""
+    """Join per-group bounds, also of the NULL group; without keys they are one row.
+
+    Groups may be few and large, so bounds are broadcast when their number allows it;
+    otherwise there are too many groups for one of them to be all of a task's work,
+    and adaptive execution splits what is skewed.
+    """
     if not keys:
         return df.join(F.broadcast(bounds))
-    return df.join(bounds, keys)
+    names = {k: f"_of_{k}" for k in keys}
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(v)) for k, v in names.items()])
+    other = checked_broadcast(materialize(bounds)).withColumnsRenamed(names)
+    return df.join(other, match).drop(*names.values())
 
 
 def iqr_filter(

@@ -14,23 +14,23 @@ unsegmented one:
 * running aggregates receive the aggregate of all earlier segments, computed
   from one small row per segment.
 
-Whether hot groups exist is checked on row counts before the plan is built, and
-skipped for inputs too small to contain one.
+Whether hot groups exist is checked on row counts before the plan is built, once for
+the same rows and keys.
 """
 
 from __future__ import annotations
 
 from functools import cached_property, reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pitlane.settings import (
+    BROADCAST_ROWS,
+    BROADCAST_ROWS_DEFAULT,
     HOT_GROUP_ROWS,
     HOT_GROUP_ROWS_DEFAULT,
-    MOST_PIECES,
-    SMALL_BYTES_PER_ROW,
-    SMALL_BYTES_PER_ROW_DEFAULT,
     materialize,
     setting,
 )
@@ -43,22 +43,31 @@ def hot_limit(df: DataFrame) -> int:
     return setting(df.sparkSession, HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT)
 
 
-def is_small(df: DataFrame, limit: int) -> bool:
-    """True when the tables behind `df` are too small to hold `limit` rows of one group.
+# What was found before, by session: (optimized plan of the keys, keys, limit, hot keys).
+_FOUND: WeakKeyDictionary = WeakKeyDictionary()
+_REMEMBERED = 200
+
+
+def _known(df: DataFrame, limit: int) -> list | None:
+    """An earlier answer for the same rows: columns that are not keys don't matter."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    for entry in _FOUND.get(df.sparkSession, []):
+        if entry[1] == df.columns and entry[2] == limit and plan.sameResult(entry[0]):
+            return entry
+    return None
 
-    Uses Spark's own size of the scanned tables, so no job runs.
-    """
-    per_row = setting(df.sparkSession, SMALL_BYTES_PER_ROW, SMALL_BYTES_PER_ROW_DEFAULT)
-    tables = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [tables.apply(i).stats().sizeInBytes() for i in range(tables.size())]
-    return sum(int(str(s)) for s in sizes) <= limit * per_row
+
+def _remember(df: DataFrame, limit: int, found: DataFrame | None) -> None:
+    entries = _FOUND.setdefault(df.sparkSession, [])
+    entries.append((df._jdf.queryExecution().optimizedPlan(), df.columns, limit, found))
+    del entries[:-_REMEMBERED]
 
 
 def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame | None:
-    """Keys of the groups too large for one task, or None if there are none.
+    """Keys and sizes of the groups too large for one task, or None if there are none.
 
     A hot group has more than `limit` rows (default: `hot_limit`), so there are
-    at most ``rows / limit`` of them, which is safe to broadcast.
+    at most ``rows / limit`` of them.
     """
     return hot_groups_of([(df, keys)], limit or hot_limit(df))[0]
 
@@ -66,21 +75,40 @@ def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> Data
 def hot_groups_of(
     tables: list[tuple[DataFrame, list[str]]], limit: int
 ) -> list[DataFrame | None]:
-    """`hot_groups` of several tables; one job looks for the largest group of each."""
+    """`hot_groups` of several tables; one job looks for the largest group of each.
+
+    Rows are counted, whatever their size in files.  Answers are kept: a chain of
+    operators over the same rows and keys counts once.
+    """
+    narrow = [df.select(*keys) for df, keys in tables]
+    known = [_known(df, limit) for df in narrow]
     counts = {
-        i: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        for i, (df, keys) in enumerate(tables)
-        if not is_small(df, limit)
+        i: df.groupBy(*tables[i][1]).agg(F.count(F.lit(1)).alias("_rows"))
+        for i, df in enumerate(narrow)
+        if known[i] is None
     }
-    found: list[DataFrame | None] = [None] * len(tables)
+    found: list[DataFrame | None] = [entry[3] if entry else None for entry in known]
     if counts:
         tops = [c.agg(F.max("_rows").alias("top")).withColumn("i", F.lit(i)) for i, c in counts.items()]
         for row in reduce(DataFrame.unionByName, tops).collect():
             if (row.top or 0) > limit:
                 found[row.i] = materialize(counts[row.i].where(F.col("_rows") > limit))
+        for i in counts:
+            _remember(narrow[i], limit, found[i])
     return found
 
 
+def checked_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """`df` with a broadcast hint if it has few rows, else as it is.
+
+    `rows` is a proven bound; without one the rows are counted up to the limit.
+    """
+    most = setting(df.sparkSession, BROADCAST_ROWS, BROADCAST_ROWS_DEFAULT)
+    if rows is None:
+        rows = df.limit(most + 1).count()
+    return F.broadcast(df) if rows <= most else df
+
+
 def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     """Add `_rows`: the size of a row's group if that group is hot, else NULL.
 
@@ -89,7 +117,7 @@ def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     if not keys:
         return df.withColumn("_rows", F.lit(1))
     names = {k: f"_hot_{k}" for k in keys}
-    small = F.broadcast(hot.withColumnsRenamed(names))
+    small = checked_broadcast(hot).withColumnsRenamed(names)
     match = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(names[k])) for k in keys], F.lit(True)
     )
@@ -170,7 +198,7 @@ class Series:
         local = inputs.withColumns(
             {n: _aggregate(k, F.col(f"_in_{n}")).over(frame) for n, (k, _) in own.items()}
         )
-        joined = attach_small(local, carried, self.parts)
+        joined = attach_small(local, carried, self.parts, self.summaries)
         self.df = joined.withColumns(
             {n: _combine(k, F.col(f"_carry_{n}"), F.col(n)) for n, (k, _) in own.items()}
         ).drop(*[f"_in_{n}" for n in own], *[f"_carry_{n}" for n in own])
@@ -192,8 +220,10 @@ class Series:
 
     def _cut(self, df: DataFrame) -> DataFrame:
         limit = hot_limit(df)
-        total = self.hot.agg(F.sum("_rows")).first()[0]
-        pieces = min(max(2, -(-total // limit) * 2), MOST_PIECES)
+        size = self.hot.agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("groups")).first()
+        pieces = max(2, -(-size.rows // limit) * 2)
+        # Each piece has one row for each group that it touches.
+        self.summaries = pieces + size.groups
         marked = mark_hot(df, self.hot, self.keys)
         cold = marked.where(F.col("_rows").isNull()).drop("_rows").withColumn(SEGMENT, F.lit(-1))
         # The partition number is only stable once written, hence the checkpoint.
@@ -220,7 +250,7 @@ class Series:
         # Spark keeps the few edge rows per segment before it shuffles.
         def outer(spec: WindowSpec) -> DataFrame:
             ranked = large.withColumn("_n", F.row_number().over(spec)).where(F.col("_n") <= reach)
-            return attach_small(ranked, spans, self.parts)
+            return attach_small(ranked, spans, self.parts, self.summaries)
 
         first = outer(self.window).withColumn("_at", F.col("_start") + F.col("_n"))
         last = outer(self.backwards).withColumn("_at", F.col("_end") - F.col("_n") + 1)
@@ -300,13 +330,14 @@ def _combine(kind: str, carried: Column, local: Column) -> Column:
     return F.when(local.isNull(), carried).otherwise(F.coalesce(carried + local, local))
 
 
-def attach_small(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Join per-segment or per-hot-group rows; their number is bounded (see `hot_groups`)."""
+def attach_small(df: DataFrame, small: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Join per-segment or per-hot-group rows, of which there are at most `rows`."""
     names = {k: f"_of_{k}" for k in keys}
     match = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(v)) for k, v in names.items()], F.lit(True)
     )
-    return df.join(F.broadcast(small.withColumnsRenamed(names)), match, "left").drop(*names.values())
+    other = checked_broadcast(small.withColumnsRenamed(names), rows)
+    return df.join(other, match, "left").drop(*names.values())
 
 
 def attach_totals(df: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
@@ -320,4 +351,4 @@ def attach_totals(df: DataFrame, keys: list[str], columns: dict[str, Column]) ->
     large = marked.where(F.col("_rows").isNotNull()).drop("_rows")
     sums = large.groupBy(*keys).agg(*[c.alias(n) for n, c in columns.items()])
     small = cold.withColumns({n: c.over(whole) for n, c in columns.items()})
-    return small.unionByName(attach_small(large, sums, keys))
+    return small.unionByName(attach_small(large, sums, keys, hot.count()))

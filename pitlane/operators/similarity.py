@@ -14,7 +14,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -22,7 +22,7 @@ from pyspark.sql.functions import pandas_udf
 from pitlane.constants import DRIVER_KEY, LAP_KEY, SAMPLE_ORDER
 from pitlane.operators.laps import fastest_lap
 from pitlane.operators.motion import accelerations
-from pitlane.operators.series import Series, hot_groups_of
+from pitlane.operators.series import Series, checked_broadcast, hot_groups_of
 from pitlane.settings import (
     WARP_BLOCK,
     WARP_BLOCK_DEFAULT,
@@ -33,6 +33,8 @@ from pitlane.settings import (
 
 # Cells of one padded kernel call.
 CALL_CELLS = 2_000_000
+# Cells that one task fills, a few seconds of work.
+TASK_CELLS = 1_000_000_000
 VALUES = T.ArrayType(T.DoubleType())
 
 # Executors need not have this package installed to run the kernel.
@@ -134,6 +136,10 @@ def warp_tile(a: pd.Series, b: pd.Series, left: pd.Series, top: pd.Series) -> pd
 # -- arrays of ordered values ----------------------------------------------
 
 
+def _known(column: str) -> Column:
+    return F.col(column).isNotNull() & ~F.isnan(column)
+
+
 def ordered_arrays(
     df: DataFrame, keys: list[str], order: list[str], columns: list[str]
 ) -> DataFrame:
@@ -144,7 +150,7 @@ def ordered_arrays(
     made = []
     for c in columns:
         item = F.struct(*order, F.col(c).alias("_v"))
-        items = F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), item)))
+        items = F.array_sort(F.collect_list(F.when(_known(c), item)))
         made.append(F.transform(items, lambda x: x["_v"]).alias(c))
     return df.groupBy(*keys).agg(*made)
 
@@ -157,12 +163,14 @@ def value_blocks(
     Adds `Block`, counted from 0, and the group's number of `Blocks`.  Any
     length of group works: no array and no task grows with it.
     """
-    known = df.where(F.col(column).isNotNull()).select(*keys, *order, F.col(column).alias("_v"))
+    known = df.where(_known(column)).select(*keys, *order, F.col(column).alias("_v"))
     placed = Series(known, keys, order).position("_n").rows()
     block = F.floor((F.col("_n") - 1) / size)
     arrays = ordered_arrays(placed.withColumn("Block", block), [*keys, "Block"], order, ["_v"])
     last = placed.groupBy(*keys).agg((F.floor((F.max("_n") - 1) / size) + 1).alias("Blocks"))
-    return _join(arrays, last, keys).withColumnRenamed("_v", column)
+    # A long group has many blocks, so they are not gathered by the group's key if that can be helped.
+    few = checked_broadcast(materialize(last)) if keys else last
+    return _join(arrays, few, keys).withColumnRenamed("_v", column)
 
 
 # -- distances -------------------------------------------------------------
@@ -195,7 +203,8 @@ def distances(
     refs = refs.withColumnsRenamed({c: f"_ref_{c}" for c in signals})
     arrays = ordered_arrays(short, keys, order, signals)
     made = [warp_distance(f"_ref_{c}", c).alias(name) for c, name in columns.items()]
-    parts.append(_join(arrays, refs, on).select(*keys, *made))
+    tasks = _tasks(short, ref_short, keys, on)
+    parts.append(_join(arrays, refs, on).repartition(tasks).select(*keys, *made))
     if long is not None:
         parts.append(_tiled(long, references, columns, keys, on, order, size))
     if ref_long is not None:
@@ -203,6 +212,14 @@ def distances(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _tasks(samples: DataFrame, references: DataFrame, keys: list[str], on: list[str]) -> int:
+    """Tasks for the pairs of series, by the cells of their matrices; bytes say little here."""
+    ours = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    theirs = references.groupBy(*on).agg(F.count(F.lit(1)).alias("_m"))
+    cells = _join(ours, theirs, on).agg(F.sum(F.col("_n").cast("double") * F.col("_m"))).first()[0]
+    return max(samples.sparkSession.sparkContext.defaultParallelism, int((cells or 0) // TASK_CELLS))
+
+
 def _split(df: DataFrame, hot: DataFrame | None, keys: list[str]):
     """Short and long series; how many are long is not bounded, so Spark picks the join."""
     if hot is None:
@@ -244,7 +261,8 @@ def _tiled_signal(samples, references, column, name, keys, on, order, size) -> D
     inf, zero = F.lit(float("inf")), F.lit(0.0)
     edges = None
     for step in range(steps):
-        tiles = _join(ours, refs, on).where(F.col("I") + F.col("J") == step)
+        # The tiles of this anti-diagonal only: J = step - I is part of the join key.
+        tiles = ours.join(refs.withColumn("I", F.lit(step) - F.col("J")), [*on, "I"])
         corner = F.when((F.col("I") == 0) & (F.col("J") == 0), zero).otherwise(inf)
         top = F.concat(F.array(corner), F.array_repeat(inf, F.size("b")))
         left = F.concat(F.array(corner), F.array_repeat(inf, F.size("a")))

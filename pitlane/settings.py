@@ -11,14 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 # A group above this many rows is processed in pieces instead of in one task.
 HOT_GROUP_ROWS = "spark.pitlane.hotGroupRows"
 HOT_GROUP_ROWS_DEFAULT = 4_000_000
-# Tables that take fewer bytes than this per allowed row are too small for a hot group.
-SMALL_BYTES_PER_ROW = "spark.pitlane.smallBytesPerRow"
-SMALL_BYTES_PER_ROW_DEFAULT = 16
 # A group above this many rows is not ranked by Spark's in-memory exact percentile.
 PERCENTILE_ROWS = "spark.pitlane.percentileRows"
 PERCENTILE_ROWS_DEFAULT = 500_000
-# Most pieces that hot groups are cut into; more rows make larger pieces.
-MOST_PIECES = 20_000
+# A side with more rows than this is never broadcast.
+BROADCAST_ROWS = "spark.pitlane.broadcastRows"
+BROADCAST_ROWS_DEFAULT = 1_000_000
 # Longest series handed to a single warping kernel call.
 WARP_BLOCK = "spark.pitlane.warpBlock"
 WARP_BLOCK_DEFAULT = 16_384
@@ -48,8 +46,18 @@ def _local_folder() -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nobody has used before."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nobody has used before; it is deleted when the application ends."""
+    return f"{_scratch_home(spark, spark.sparkContext.applicationId, shared_folder(spark))}/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _scratch_home(spark: SparkSession, application: str, shared: str) -> str:
+    home = f"{shared}/{application}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(home)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return home
 
 
 def materialize(df: DataFrame) -> DataFrame:

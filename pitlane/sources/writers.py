@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,8 +89,12 @@ def create_serving(spark: SparkSession, table: str, path: str) -> None:
 
 def insert_serving(rows: DataFrame, table: str) -> None:
     """INSERT INTO the served table by column name."""
-    rows.createOrReplaceTempView("pitlane_new_rows")
     spark = rows.sparkSession
+    view = f"new_rows_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
     names = ", ".join(name for name, _ in schemas.SERVING)
     casts = ", ".join(f"CAST({name} AS {kind})" for name, kind in schemas.SERVING)
-    spark.sql(f"INSERT INTO {table} ({names}) SELECT {casts} FROM pitlane_new_rows")
+    try:
+        spark.sql(f"INSERT INTO {table} ({names}) SELECT {casts} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)

@@ -10,7 +10,7 @@ from pitlane.operators import laps as lap_ops
 from pitlane.operators import quantiles, shaping, statistics, telemetry
 from pitlane.workbench.book import query, sql
 from pitlane.workbench.telemetry_queries import KEY, LAP_FEATURES, LAP_FUEL, STEPS
-from pitlane.workbench.views import laps, table, tel
+from pitlane.workbench.views import _RACE_LIST, RACES, _season, laps, table, tel
 
 DRIVER = "Year, Race, DriverNumber"
 LAP_DOUBLES = "LapTime_s SpeedI1 SpeedI2 SpeedFL"
@@ -182,15 +182,17 @@ def scalar_duration(spark, folder):
         durations.nanos_to_seconds(nanos).alias("FromNanos"),
         durations.interval_to_seconds(there).alias("FromInterval"),
         durations.round_to_millis(seconds).alias("Millis"),
+        durations.text_to_seconds(durations.interval_text(durations.interval_micros(there))).alias("FromText"),
     )
 
 
 sql(
     "scalar_duration", "laps",
     f"""SELECT {KEY}, floor(cast(trunc(LapTime_s * 1e9) AS bigint) / 1000) / 1e6 AS FromNanos,
-               round(LapTime_s, 6) AS FromInterval, round_even(LapTime_s * 1e3, 0) / 1e3 AS Millis
+               round(LapTime_s, 6) AS FromInterval, round_even(LapTime_s * 1e3, 0) / 1e3 AS Millis,
+               round(LapTime_s, 6) AS FromText
         FROM laps""",
-    "FromNanos FromInterval Millis",
+    "FromNanos FromInterval Millis FromText",
 )
 
 
@@ -382,6 +384,19 @@ sql(
 )
 
 
+@query("quick_laps_race")
+def quick_laps_race(spark, folder):
+    return lap_ops.quick_laps(laps(spark, folder)).select(*LAP_COLUMNS)
+
+
+sql(
+    "quick_laps_race", "laps",
+    "SELECT * EXCLUDE (best) FROM (SELECT *, min(LapTime_s) OVER (PARTITION BY Year, Race) AS best "
+    "FROM laps) WHERE LapTime_s < 1.07e0 * best",
+    LAP_DOUBLES,
+)
+
+
 @query("top_finisher_laps")
 def top_finisher_laps(spark, folder):
     return lap_ops.top_finisher_laps(laps(spark, folder)).select(*LAP_COLUMNS)
@@ -654,7 +669,7 @@ sql(
     "corr_matrix", "laps",
     " UNION ALL ".join(
         f"SELECT '{a}' AS a, '{b}' AS b, " + ("1e0" if a == b else f"corr({a}, {b})")
-        + " AS corr FROM laps" + (" LIMIT 1" if False else "") + (" GROUP BY ()" if a == b else "")
+        + " AS corr FROM laps" + (" GROUP BY ()" if a == b else "")
         for a in CORR for b in CORR
     ),
     "corr",
@@ -836,15 +851,21 @@ sql(
 @query("season_races")
 def season_races(spark, folder):
     """The first grand prix events of a season, in date order."""
-    events = laps(spark, folder).where(F.col("Year") == 2023).groupBy("Year", "Race").agg(
-        F.count(F.lit(1)).alias("Laps")
+    days = table(spark, folder, "orders").select(
+        *_season("o_custkey"), F.col("o_orderdate").cast("date").alias("EventDate")
+    )
+    events = days.where(F.col("Year") == 2023).groupBy("Year", "Race").agg(
+        F.min("EventDate").alias("EventDate"), F.count(F.lit(1)).alias("Laps")
     )
     named = shaping.grand_prix_events(events, "Race")
-    return shaping.first_rows(named, ["Race"], 3)
+    first = shaping.first_rows(named, ["EventDate", "Race"], 3)
+    return first.withColumn("EventDate", F.col("EventDate").cast("string"))
 
 
 sql(
     "season_races", "laps",
-    "SELECT Year, Race, count(*) AS Laps FROM laps WHERE Year = 2023 AND contains(Race, 'Grand Prix') "
-    "GROUP BY ALL ORDER BY Race LIMIT 3",
+    f"""SELECT Year, Race, min(o_orderdate)::DATE::VARCHAR AS EventDate, count(*) AS Laps
+        FROM (SELECT cast(2022 + o_custkey % 3 AS int) AS Year,
+                     {_RACE_LIST}[cast(o_custkey % {len(RACES)} + 1 AS int)] AS Race, o_orderdate FROM orders)
+        WHERE Year = 2023 AND contains(Race, 'Grand Prix') GROUP BY ALL ORDER BY EventDate, Race LIMIT 3""",
 )

@@ -69,20 +69,21 @@ sql(
 
 @query("train_test_split")
 def train_test_split(spark, folder):
-    """Sizes of both parts per seed; the hash decides which lap goes where."""
+    """The part of every lap for two seeds."""
     own = laps(spark, folder)
     parts = [
         learning.train_test_split(own, LAP_KEY, 0.2, seed).withColumn("Seed", F.lit(seed))
         for seed in (42, 1221)
     ]
-    return parts[0].unionByName(parts[1]).groupBy("Seed", "Part").agg(F.count(F.lit(1)).alias("Laps"))
+    return parts[0].unionByName(parts[1]).select(*LAP_KEY, "Seed", "Part")
 
 
 sql(
     "train_test_split", "laps",
-    """SELECT Seed, Part, cast(CASE Part WHEN 'test' THEN t ELSE n - t END AS bigint) AS Laps
-       FROM (SELECT count(*) AS n, ceil(count(*) * 0.2e0) AS t FROM laps),
-            (VALUES (42), (1221)) s(Seed), (VALUES ('test'), ('train')) p(Part)""",
+    f"""SELECT {KEY}, Seed, CASE WHEN row_number() OVER (PARTITION BY Seed ORDER BY hash, {KEY})
+               <= ceil(count(*) OVER (PARTITION BY Seed) * 0.2e0) THEN 'test' ELSE 'train' END AS Part
+        FROM (SELECT {KEY}, Seed, md5(concat_ws('|', {KEY}, Seed)) AS hash
+              FROM laps, (VALUES (42), (1221)) s(Seed))""",
 )
 
 
@@ -304,7 +305,7 @@ def tree_reg(spark, folder):
 @query("gbt_reg")
 def gbt_reg(spark, folder):
     rows = known(spark, folder)
-    fitted = learning.boosted(rows, FEATURES, LABEL, maxIter=10, maxDepth=4)
+    fitted = learning.boosted(rows, FEATURES, LABEL)
     return statistics.regression_metrics(fitted.score(rows), LABEL, {"Boosted": "Prediction"})
 
 
@@ -316,9 +317,8 @@ def feature_importance(spark, folder):
 
 @query("tune_tree")
 def tune_tree(spark, folder):
-    space = {**learning.TREE_SPACE, "maxDepth": lambda r: r.randint(2, 8)}
     _, trials = learning.tune(
-        DecisionTreeRegressor(seed=12), space, known(spark, folder), FEATURES, LABEL, trials=4, folds=3
+        DecisionTreeRegressor(seed=12), learning.TREE_SPACE, known(spark, folder), FEATURES, LABEL, parallelism=8
     )
     return trials
 
@@ -339,7 +339,7 @@ def pca_laps(spark, folder):
 def model_eval(spark, folder):
     rows = known(spark, folder).withColumn("Track", F.col("Race"))
     return evaluation.evaluate(
-        rows, ["Compound", *FEATURES], LABEL, LAP_KEY, ["Compound"], maxIter=10, maxDepth=4
+        rows, ["Compound", *FEATURES], LABEL, LAP_KEY, ["Compound"]
     )
 
 
@@ -360,3 +360,78 @@ sql(
          ON s.Year = p.Year AND s.Race = p.Race AND s.Driver = p.Driver""",
     "StintSpeed FastestLap", [STINTS, *SPEED_CTES],
 )
+
+
+# -- models small enough to be written out in SQL ---------------------------
+
+STUMP = ["TyreLife", "Position"]
+# The split with the least squared error over both features, and the means of its sides.
+BEST_SPLIT = [
+    KNOWN,
+    """sides AS (SELECT f, x, count(*) AS n, sum(y) AS s FROM (
+         SELECT 'TyreLife' AS f, TyreLife AS x, LapTime_s AS y FROM known
+         UNION ALL SELECT 'Position', Position, LapTime_s FROM known) GROUP BY f, x)""",
+    """splits AS (SELECT f, x, sum(n) OVER upto AS nl, sum(s) OVER upto AS sl,
+         sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s
+         FROM sides WINDOW upto AS (PARTITION BY f ORDER BY x))""",
+    """best AS (SELECT * FROM splits WHERE nl < n
+         ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1)""",
+]
+STUMP_SQL = f"""SELECT {KEY}, CASE WHEN CASE f WHEN 'TyreLife' THEN TyreLife ELSE Position END <= x
+  THEN sl / nl ELSE (s - sl) / (n - nl) END AS Prediction FROM known, best"""
+
+
+def stump_rows(spark, folder):
+    return learning.numeric(known(spark, folder), STUMP)
+
+
+@query("tree_stump")
+def tree_stump(spark, folder):
+    rows = stump_rows(spark, folder)
+    fitted = learning.tree(rows, STUMP, LABEL, depth=1)
+    return fitted.score(rows).select(*LAP_KEY, "Prediction")
+
+
+sql("tree_stump", "laps", STUMP_SQL, "Prediction", BEST_SPLIT)
+
+
+@query("boosted_stump")
+def boosted_stump(spark, folder):
+    """One boosting round is its first tree."""
+    rows = stump_rows(spark, folder)
+    fitted = learning.boosted(rows, STUMP, LABEL, maxIter=1, maxDepth=1)
+    return fitted.score(rows).select(*LAP_KEY, "Prediction")
+
+
+sql("boosted_stump", "laps", STUMP_SQL, "Prediction", BEST_SPLIT)
+
+
+@query("stump_importance")
+def stump_importance(spark, folder):
+    rows = stump_rows(spark, folder)
+    return learning.importances(learning.tree(rows, STUMP, LABEL, depth=1), rows)
+
+
+sql(
+    "stump_importance", "laps",
+    "SELECT v.feature, CASE WHEN v.feature = f THEN 1e0 ELSE 0e0 END AS importance "
+    "FROM (VALUES ('TyreLife'), ('Position')) v(feature), best",
+    "importance", BEST_SPLIT,
+)
+
+
+@query("pca_pair")
+def pca_pair(spark, folder):
+    """Two scaled features have components along and across the diagonal; signs are free."""
+    made = learning.project(known(spark, folder), ["SpeedI2", LABEL])
+    return made.select(*LAP_KEY, F.abs("PC1").alias("PC1"), F.abs("PC2").alias("PC2"))
+
+
+sql(
+    "pca_pair", "laps",
+    f"""SELECT {KEY}, abs(a + sign(c) * b) / sqrt(2e0) AS PC1, abs(a - sign(c) * b) / sqrt(2e0) AS PC2
+        FROM (SELECT {KEY}, (SpeedI2 - avg(SpeedI2) OVER ()) / stddev_samp(SpeedI2) OVER () AS a,
+                     (LapTime_s - avg(LapTime_s) OVER ()) / stddev_samp(LapTime_s) OVER () AS b
+              FROM known), (SELECT corr(SpeedI2, LapTime_s) AS c FROM known)""",
+    "PC1 PC2", [KNOWN],
+)

@@ -8,19 +8,27 @@ from pyspark.sql import functions as F
 
 from pitlane import schemas
 from pitlane.constants import LAP_KEY
+from pitlane.functions import durations
 from pitlane.operators import shaping
 from pitlane.plans import race, season
 from pitlane.settings import scratch_path
 from pitlane.sources import readers, writers
 from pitlane.workbench.book import query, sql
 from pitlane.workbench.lap_queries import LAP_DOUBLES
-from pitlane.workbench.telemetry_queries import KEY, LAP_FEATURES, LAP_FUEL, STEPS
+from pitlane.workbench.telemetry_queries import (
+    KEY,
+    LAP_FEATURES,
+    LAP_FUEL,
+    LAP_TIME_US,
+    STEPS,
+    lap_time_micros,
+)
 from pitlane.workbench.views import laps, tel
 
 CHAIN = [*STEPS, LAP_FEATURES, *LAP_FUEL]
 PROCESSED = (
     "processed AS (SELECT l.Year, l.Race, l.LapNumber, Driver, Compound, TyreLife, StartFuel, FCL, "
-    "LapTime_s, SpeedI1, SpeedI2, SpeedFL, SumLonAcc, SumLatAcc, MeanLapSpeed FROM fcl l "
+    f"{LAP_TIME_US}, LapTime_s, SpeedI1, SpeedI2, SpeedFL, SumLonAcc, SumLatAcc, MeanLapSpeed FROM fcl l "
     "LEFT JOIN features f ON l.Year = f.Year AND l.Race = f.Race AND l.DriverNumber = f.DriverNumber "
     "AND l.LapNumber = f.LapNumber)"
 )
@@ -28,7 +36,6 @@ PROCESSED_DOUBLES = (
     "StartFuel FCL LapTime_s SpeedI1 SpeedI2 SpeedFL SumLonAcc SumLatAcc MeanLapSpeed"
 )
 ALL = "laps tel tracks"
-NO_LAP_TIME = ["LapTime"]
 
 
 def processed(spark, folder):
@@ -48,7 +55,7 @@ def write_processed(spark, folder):
     path = stored(spark, folder)
     again = processed(spark, folder).where(F.col("Year") == 2023)
     writers.write_processed(again, path)
-    return spark.read.parquet(path).drop(*NO_LAP_TIME)
+    return lap_time_micros(spark.read.parquet(path))
 
 
 sql("write_processed", ALL, "SELECT * FROM processed", PROCESSED_DOUBLES, [*CHAIN, PROCESSED])
@@ -58,7 +65,7 @@ sql("write_processed", ALL, "SELECT * FROM processed", PROCESSED_DOUBLES, [*CHAI
 def scan_processed(spark, folder):
     path = stored(spark, folder)
     made = readers.read_processed(spark, path, Year=2023, Race="Monaco Grand Prix")
-    return made.drop(*NO_LAP_TIME)
+    return lap_time_micros(made)
 
 
 sql(
@@ -97,7 +104,7 @@ def season_consolidate(spark, folder):
     made = processed(spark, folder)
     early = made.where(F.col("Year") == 2022).drop("SumLonAcc", "SumLatAcc")
     late = made.where(F.col("Year") > 2022)
-    return season.consolidate([late, early], scratch_path(spark, "season")).drop(*NO_LAP_TIME)
+    return lap_time_micros(season.consolidate([late, early], scratch_path(spark, "season")))
 
 
 sql(
@@ -112,14 +119,12 @@ sql(
 def scan_season(spark, folder):
     path = scratch_path(spark, "season")
     season.consolidate([processed(spark, folder)], path)
-    made = spark.read.parquet(path).where(F.col("Year") == 2024)
-    return made.select("Track", "Driver", "LapNumber", "FCL", "SumLatAcc")
+    return lap_time_micros(spark.read.parquet(path))
 
 
 sql(
-    "scan_season", ALL,
-    "SELECT Race AS Track, Driver, LapNumber, FCL, SumLatAcc FROM processed WHERE Year = 2024",
-    "FCL SumLatAcc", [*CHAIN, PROCESSED],
+    "scan_season", ALL, "SELECT *, Race AS Track FROM processed", PROCESSED_DOUBLES,
+    [*CHAIN, PROCESSED],
 )
 
 
@@ -229,10 +234,14 @@ sql(
 @query("serving_read")
 def serving_read(spark, folder):
     rows = readers.read_serving(spark, served_table(spark, folder))
+    rows = rows.withColumn("laptime_us", durations.text_micros(F.col("laptime")))
     return shaping.cast_columns(rows, {c: "int" for c in ("year", "lapnumber", "tyrelife")})
 
 
-sql("serving_read", ALL, SERVED, SERVED_DOUBLES, [*CHAIN, PROCESSED])
+sql(
+    "serving_read", ALL, SERVED.replace("AS laptime,", "AS laptime, us AS laptime_us,"), SERVED_DOUBLES,
+    [*CHAIN, PROCESSED],
+)
 
 
 @query("driver_laps")
@@ -249,16 +258,15 @@ sql(
 
 @query("fold_acc")
 def fold_acc(spark, folder):
-    """The acceleration sums of all laps with telemetry in long form."""
-    made = processed(spark, folder).where(F.col("SumLonAcc").isNotNull())
+    """The acceleration sums of all laps in long form."""
+    made = processed(spark, folder)
     return shaping.melt(made, ["Driver", "LapNumber"], ["SumLatAcc", "SumLonAcc"], "Type", "Value")
 
 
 sql(
     "fold_acc", ALL,
     "SELECT Driver, LapNumber, 'SumLatAcc' AS Type, SumLatAcc AS Value FROM processed "
-    "WHERE SumLonAcc IS NOT NULL UNION ALL "
-    "SELECT Driver, LapNumber, 'SumLonAcc' AS Type, SumLonAcc AS Value FROM processed "
-    "WHERE SumLonAcc IS NOT NULL",
+    "UNION ALL "
+    "SELECT Driver, LapNumber, 'SumLonAcc' AS Type, SumLonAcc AS Value FROM processed",
     "Value", [*CHAIN, PROCESSED],
 )

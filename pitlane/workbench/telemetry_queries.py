@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pitlane.functions.durations import interval_micros
 from pitlane.constants import LAP_KEY
 from pitlane.functions.scalars import SNAP, drs_open, sign_split, wrap_angle
 from pitlane.operators import motion, telemetry
@@ -411,9 +412,17 @@ sql(
 )
 
 
+def lap_time_micros(df):
+    """Intervals have no common form in both engines, microseconds have."""
+    return df.withColumn("LapTime_us", interval_micros(F.col("LapTime"))).drop("LapTime")
+
+
+LAP_TIME_US = "cast(round(LapTime_s * 1e6) AS bigint) AS LapTime_us"
+
+
 @query("race_features")
 def race_features(spark, folder):
-    return race.race_features(laps(spark, folder), tel(spark, folder)).drop("LapTime")
+    return lap_time_micros(race.race_features(laps(spark, folder), tel(spark, folder)))
 
 
 LAP_FUEL = [
@@ -428,8 +437,8 @@ LAP_FUEL = [
 ]
 sql(
     "race_features", "laps tel tracks",
-    """SELECT l.Year, l.Race, l.LapNumber, Driver, Compound, TyreLife, StartFuel, FCL,
-              LapTime_s, SpeedI1, SpeedI2, SpeedFL, SumLonAcc, SumLatAcc, MeanLapSpeed
+    f"""SELECT l.Year, l.Race, l.LapNumber, Driver, Compound, TyreLife, StartFuel, FCL,
+              {LAP_TIME_US}, LapTime_s, SpeedI1, SpeedI2, SpeedFL, SumLonAcc, SumLatAcc, MeanLapSpeed
        FROM fcl l LEFT JOIN features f ON l.Year = f.Year AND l.Race = f.Race
             AND l.DriverNumber = f.DriverNumber AND l.LapNumber = f.LapNumber""",
     "StartFuel FCL LapTime_s SpeedI1 SpeedI2 SpeedFL SumLonAcc SumLatAcc MeanLapSpeed",

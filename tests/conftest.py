@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from pitlane.settings import HOT_GROUP_ROWS, PERCENTILE_ROWS, SMALL_BYTES_PER_ROW, WARP_BLOCK
+from pitlane.settings import HOT_GROUP_ROWS, PERCENTILE_ROWS, WARP_BLOCK
 
 
 @pytest.fixture(scope="session")
@@ -34,13 +34,12 @@ def hot(spark):
     @contextmanager
     def limits(rows):
         keys = (HOT_GROUP_ROWS, PERCENTILE_ROWS, WARP_BLOCK)
-        spark.conf.set(SMALL_BYTES_PER_ROW, 0)
         for key in keys:
             spark.conf.set(key, rows)
         try:
             yield
         finally:
-            for key in (SMALL_BYTES_PER_ROW, *keys):
+            for key in keys:
                 spark.conf.unset(key)
 
     return limits
