@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pitlane.functions.durations import nanos_to_seconds
 from pitlane.functions.scalars import clean_inf
 
-# Durations arrive as nanosecond counts.
+# The provider's columns and the served table. Durations arrive as nanosecond counts.
 LAPS = """
     Time BIGINT, Driver STRING, DriverNumber STRING, LapTime BIGINT, LapNumber SMALLINT,
     Stint TINYINT, PitOutTime BIGINT, PitInTime BIGINT, Sector1Time BIGINT, Sector2Time BIGINT,

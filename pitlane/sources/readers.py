@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,10 @@ from pitlane import schemas
 from pitlane.functions.durations import interval_to_seconds
 
 
+# Folder name of a missing partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists on its file system."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -58,8 +63,15 @@ def read_processed(spark: SparkSession, path: str, **only) -> DataFrame:
 
 
 def race_list(spark: SparkSession, path: str) -> DataFrame:
-    """Names of the stored races; only partition values are read."""
-    return spark.read.parquet(path).select("Race").distinct()
+    """Names of the stored races, from the folders alone; no file is opened."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = set()
+    for depth in ("", "/*"):
+        for found in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}{depth}/Race=*")) or []:
+            names.add(unquote(found.getPath().getName().removeprefix("Race=")))
+    rows = [(None if name == NO_VALUE else name,) for name in sorted(names)]
+    return spark.createDataFrame(rows, "Race STRING")
 
 
 def scan_season(spark: SparkSession, path: str, year: int, schema: str) -> DataFrame:

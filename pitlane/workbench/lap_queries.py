@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pitlane import schemas
 from pitlane.constants import DRIVER_KEY, LAP_KEY
 from pitlane.functions import durations, scalars
 from pitlane.operators import laps as lap_ops
@@ -37,14 +38,16 @@ sql("scan_laps", "laps", "SELECT * FROM laps", LAP_DOUBLES)
 
 @query("cast_laps")
 def cast_laps(spark, folder):
-    types = {"LapNumber": "smallint", "Stint": "tinyint", "TyreLife": "tinyint", "Position": "tinyint"}
-    return shaping.cast_columns(laps(spark, folder), types).select(*LAP_KEY, *list(types)[1:])
+    own = laps(spark, folder)
+    types = {c: kind for c, kind in schemas.LAP_TYPES.items() if c in own.columns}
+    return shaping.cast_columns(own, types).select("Year", "Race", *types)
 
 
 sql(
     "cast_laps", "laps",
-    f"SELECT {DRIVER}, cast(LapNumber AS smallint) AS LapNumber, cast(Stint AS tinyint) AS Stint, "
-    "cast(TyreLife AS tinyint) AS TyreLife, cast(Position AS tinyint) AS Position FROM laps",
+    "SELECT Year, Race, cast(LapNumber AS smallint) AS LapNumber, cast(Stint AS tinyint) AS Stint, "
+    "cast(TyreLife AS tinyint) AS TyreLife, cast(Position AS tinyint) AS Position, IsPersonalBest, Driver, "
+    "DriverNumber, Compound, Team FROM laps",
 )
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlane import schemas
@@ -184,6 +186,52 @@ sql(
     "Time_s Speed",
 )
 
+
+
+@query("landing_session")
+def landing_session(spark, folder):
+    """Laps and samples of both sessions, landed with narrow types and read back by schema.
+
+    Laps with an even number stand for qualifying. Laps without samples are counted as skipped.
+    """
+    lap_path, sample_path = scratch_path(spark, "landed"), scratch_path(spark, "landed")
+    own, samples = laps(spark, folder), tel(spark, folder)
+    types = {c: kind for c, kind in schemas.LAP_TYPES.items() if c in own.columns}
+    narrow = shaping.cast_columns(own, types).withColumn("LapTime", (F.col("LapTime_s") * 1e9).cast("long"))
+    timed = shaping.cast_columns(samples, {"LapNumber": "smallint"}).withColumn(
+        "Time", (F.col("Time_s") * 1e9).cast("long")
+    )
+    used = readers.usable_telemetry(timed, narrow, LAP_KEY)
+    for session, rest in (("R", 1), ("Q", 0)):
+        part = F.col("LapNumber") % 2 == rest
+        writers.write_if_absent(shaping.tag(narrow.where(part).drop("LapTime_s"), Session=session), lap_path)
+        writers.write_if_absent(shaping.tag(used.where(part).drop("Time_s"), Session=session), sample_path)
+    raw = readers.read_session(spark, lap_path, sample_path)
+    counts = []
+    for kind, session in (("race", "R"), ("quali", "Q")):
+        own, samples = raw[f"{kind}_laps"], raw[f"{kind}_telemetry"]
+        skipped = readers.laps_without_telemetry(own, samples, LAP_KEY)
+        for name, rows, value in (
+            ("Laps", own, F.col("LapTime_s")), ("Samples", samples, F.col("Time_s")), ("Skipped", skipped, F.lit(0.0)),
+        ):
+            made = rows.groupBy("Year", "Race").agg(F.count(F.lit(1)).alias("Rows"), F.sum(value).alias("Seconds"))
+            counts.append(shaping.tag(made, Session=session, Kind=name))
+    return reduce(DataFrame.unionByName, counts)
+
+
+sql(
+    "landing_session", "laps tel",
+    f"""SELECT Year, Race, CASE LapNumber % 2 WHEN 0 THEN 'Q' ELSE 'R' END AS Session, Kind,
+               count(*) AS Rows, sum(s) AS Seconds
+        FROM (SELECT Year, Race, LapNumber, 'Laps' AS Kind, floor(cast(trunc(LapTime_s * 1e9) AS bigint) / 1000) / 1e6 AS s
+              FROM laps
+              UNION ALL SELECT Year, Race, LapNumber, 'Samples', floor(cast(trunc(Time_s * 1e9) AS bigint) / 1000) / 1e6
+              FROM tel SEMI JOIN laps USING ({KEY})
+              UNION ALL SELECT Year, Race, LapNumber, 'Skipped', 0e0 FROM laps ANTI JOIN tel USING ({KEY}))
+        GROUP BY ALL""",
+    "Seconds",
+)
+
 SERVED = """SELECT cast(Year AS int) AS year, Race AS race, LapNumber AS lapnumber, Driver AS driver,
   Compound AS compound, TyreLife AS tyrelife, StartFuel AS startfuel, FCL AS fcl,
   CASE WHEN LapTime_s IS NOT NULL THEN printf('0 days 00:%02d:%02d', us // 60000000, us // 1000000 % 60)
