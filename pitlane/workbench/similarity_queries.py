@@ -185,17 +185,24 @@ BY = ["user_id"]
 
 
 def samples_and_starts(spark, folder):
-    """Start times are purchases, moved by an hour; the other events are the samples."""
+    """Start times are purchases, moved by an hour; the other events are the samples.
+
+    Some of either have no time, as in delivered data.
+    """
     later = F.col("ts") + F.expr("INTERVAL '0 1:00:00' DAY TO SECOND")
     events = table(spark, folder, "events").select("user_id", "event_id", "ts", "value", "event_type")
     marks = events.where(F.col("event_type") == "purchase")
-    starts = marks.select("user_id", F.col("event_id").alias("start_id"), later.alias("start"))
-    return events.where(F.col("event_type") != "purchase").drop("event_type"), starts
+    known = F.when(F.col("event_id") % 13 != 0, later)
+    starts = marks.select("user_id", F.col("event_id").alias("start_id"), known.alias("start"))
+    samples = events.where(F.col("event_type") != "purchase").drop("event_type")
+    return samples.withColumn("ts", F.when(F.col("event_id") % 17 != 0, F.col("ts"))), starts
 
 
 NEAR = [
-    "samples AS (SELECT user_id, event_id, ts, value FROM events WHERE event_type <> 'purchase')",
-    "starts AS (SELECT user_id, event_id AS start_id, ts + INTERVAL 1 HOUR AS start FROM events "
+    "samples AS (SELECT user_id, event_id, CASE WHEN event_id % 17 <> 0 THEN ts END AS ts, value "
+    "FROM events WHERE event_type <> 'purchase')",
+    "starts AS (SELECT user_id, event_id AS start_id, "
+    "CASE WHEN event_id % 13 <> 0 THEN ts + INTERVAL 1 HOUR END AS start FROM events "
     "WHERE event_type = 'purchase')",
     """near AS (SELECT s.user_id, s.start_id, s.start,
          CASE WHEN p.ts IS NULL OR n.ts - s.start < s.start - p.ts THEN n.event_id ELSE p.event_id END
@@ -246,12 +253,13 @@ sql(
               THEN 0 ELSE 1 + coalesce((SELECT count(*) FROM b WHERE b.user_id = s.user_id
                 AND b.pos <= s.pos AND NOT last), 0) END AS int) AS LapNumber
        FROM placed s LEFT JOIN (SELECT user_id, pos AS closing FROM b WHERE last) c
-         ON s.user_id = c.user_id""",
+         ON s.user_id = c.user_id
+       UNION ALL SELECT user_id, event_id, ts, NULL FROM samples WHERE ts IS NULL""",
     "",
     [
         *NEAR,
         "placed AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos "
-        "FROM samples)",
+        "FROM samples WHERE ts IS NOT NULL)",
         """b AS (SELECT near.user_id, pos, start = max(start) OVER (PARTITION BY near.user_id) AS last
              FROM near JOIN placed ON near.event_id = placed.event_id)""",
     ],
@@ -263,7 +271,7 @@ def lap_slice(spark, folder):
     """Samples between each user's first two start times."""
     samples, starts = samples_and_starts(spark, folder)
     order = Window.partitionBy("user_id").orderBy("start")
-    two = starts.withColumn("n", F.row_number().over(order)).where(F.col("n") <= 2)
+    two = starts.where(F.col("start").isNotNull()).withColumn("n", F.row_number().over(order)).where(F.col("n") <= 2)
     bounds = two.groupBy("user_id").agg(F.min("start").alias("begin"), F.max("start").alias("end"))
     return matching.lap_slice(samples, bounds, BY, "ts", "event_id", "begin", "end").drop("value")
 
@@ -272,7 +280,7 @@ sql(
     "lap_slice", "",
     """SELECT s.user_id, s.event_id, s.ts FROM samples s JOIN (
          SELECT user_id, min(ts) AS a, max(ts) AS b FROM (SELECT near.*, row_number() OVER
-           (PARTITION BY user_id ORDER BY start) AS n FROM near) WHERE n <= 2 GROUP BY user_id) e
+           (PARTITION BY user_id ORDER BY start) AS n FROM near WHERE start IS NOT NULL) WHERE n <= 2 GROUP BY user_id) e
        ON s.user_id = e.user_id WHERE s.ts >= a AND s.ts < b""",
     "", NEAR,
 )
