@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
-from pitlane.llm.common import id_and_text, map_arrow, per_process, texts_of
+from pitlane.llm.common import LARGE, id_and_text, map_arrow, per_process, texts_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -39,9 +39,9 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 BITS = 28
 LONG = 512
 # Words kept in a process are at most twice this many.
-CACHE_WORDS = 350_000
+CACHE_WORDS = 250_000
 # Rows of one recursive query.
-ROWS = 300_000
+ROWS = 150_000
 
 ENCODE = f"""
 WITH RECURSIVE state(k, tok, nxt, rank, round) AS (
@@ -134,7 +134,7 @@ class Coder:
         np.minimum.at(lowest, right, merged)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.db = duckdb.connect(
-            config={"threads": 1, "memory_limit": "300MB", "temp_directory": tempfile.mkdtemp(prefix="bpe-")}
+            config={"threads": 1, "memory_limit": "150MB", "temp_directory": tempfile.mkdtemp(prefix="bpe-")}
         )
         tables = {
             "merges": pa.table(
@@ -150,11 +150,14 @@ class Coder:
             self.db.register("given", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        self.new: dict[str, tuple[int, bytes, bytes]] = {}
-        self.old: dict[str, tuple[int, bytes, bytes]] = {}
-
-    def look_up(self, words: set[str]) -> dict[str, tuple[int, bytes, bytes]]:
-        """(number of ids, ids, decoded bytes) of each word."""
+        # Ids of each word, as little-endian 32-bit integers.
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        # Decoded bytes, kept only where they differ from the word's own.
+        self.changed: dict[str, bytes] = {}
+
+    def look_up(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of each word."""
         if len(self.new) > CACHE_WORDS:
             self.old, self.new = self.new, {}
         missing = []
@@ -186,8 +189,10 @@ class Coder:
         tokens = ids["tok"].to_numpy().astype("<u4")
         ends = np.searchsorted(ids["word"].to_numpy(), np.arange(len(words) + 1))
         for i, word in enumerate(words):
-            part = tokens[ends[i] : ends[i + 1]]
-            self.new[word] = (len(part), part.tobytes(), bytes.fromhex(decoded[i]))
+            self.new[word] = tokens[ends[i] : ends[i + 1]].tobytes()
+            back = bytes.fromhex(decoded[i])
+            if back != word.encode():
+                self.changed[word] = back
 
     def rows(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lengths = np.array([len(w) for w in raw])
@@ -220,8 +225,12 @@ class Coder:
         return self.db.sql("SELECT word, pos AS k, tok::INT AS tok FROM long_done ORDER BY word, pos").to_arrow_table()
 
 
+def coder_name(path: str, pattern: str) -> str:
+    return f"{LARGE}bpe_{hashlib.md5(f'{path} {pattern}'.encode()).hexdigest()}"
+
+
 def coder(path: str, pattern: str) -> Coder:
-    return per_process("bpe_" + hashlib.md5(f"{path} {pattern}".encode()).hexdigest(), lambda: Coder(path, pattern))
+    return per_process(coder_name(path, pattern), lambda: Coder(path, pattern))
 
 
 def encode_texts(own: Coder, texts: list[str]) -> list[tuple[int, bytes, bytes]]:
@@ -230,8 +239,9 @@ def encode_texts(own: Coder, texts: list[str]) -> list[tuple[int, bytes, bytes]]
     known = own.look_up(set().union(*split))
     out = []
     for words in split:
-        found = [known[w] for w in words]
-        out.append((sum(f[0] for f in found), b"".join([f[1] for f in found]), b"".join([f[2] for f in found])))
+        ids = b"".join([known[w] for w in words])
+        decoded = b"".join([own.changed.get(w) or w.encode() for w in words]) if own.changed else "".join(words).encode()
+        out.append((len(ids) // 4, ids, decoded))
     return out
 
 
@@ -260,7 +270,7 @@ def ids_batch(batch: pa.RecordBatch, path: str, pattern: str) -> pa.RecordBatch:
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the token ids and the text decoded from them."""
     rows = id_and_text(df, id_col, text_col)
-    return map_arrow(rows, lambda b: ids_batch(b, path, pattern), "doc_id long, ids array<int>, decoded string")
+    return map_arrow(rows, lambda b: ids_batch(b, path, pattern), "doc_id long, ids array<int>, decoded string", keep=coder_name(path, pattern))
 
 
 def encode_digests(
@@ -268,4 +278,4 @@ def encode_digests(
 ) -> DataFrame:
     """`encode`, with digests of ids and decoded bytes in place of the lists."""
     rows = id_and_text(df, id_col, text_col)
-    return map_arrow(rows, lambda b: digest_batch(b, path, pattern), SCHEMA)
+    return map_arrow(rows, lambda b: digest_batch(b, path, pattern), SCHEMA, keep=coder_name(path, pattern))

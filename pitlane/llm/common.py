@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -19,7 +21,11 @@ from pitlane.settings import scratch_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bytes of text that a task handles at once (one longer text is handled alone).
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
+# Rows that Spark hands to Python at once while a table is stored.
+BATCH_ROWS_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+# Names of per-process values that other operators drop.
+LARGE = "large_"
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,19 +33,47 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to the shared scratch folder and read back: lineage ends there."""
+    """`df` written to the shared scratch folder and read back: lineage ends there.
+
+    Rows with texts or sets are large, so they go to Python in small batches meanwhile.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_ROWS_KEY)
+    spark.conf.set(BATCH_ROWS_KEY, min(BATCH_ROWS, int(before) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS_KEY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _home() -> dict[str, Any]:
+    return sys.modules.setdefault("_pitlane_process", types.ModuleType("_pitlane_process")).__dict__
+
+
 def per_process(name: str, make: Callable[[], Any]) -> Any:
     """A value made once per Python process and kept for its later tasks."""
-    home = sys.modules.setdefault("_pitlane_process", types.ModuleType("_pitlane_process"))
-    if not hasattr(home, name):
-        setattr(home, name, make())
-    return getattr(home, name)
+    home = _home()
+    if name not in home:
+        home[name] = make()
+    return home[name]
+
+
+def release(keep: str | None = None) -> None:
+    """Drop large per-process values of other operators, which this process may not need again.
+
+    Python processes outlive a job; without this each operator of a pipeline would
+    leave its state to the next one.
+    """
+    old = [n for n in _home() if n.startswith(LARGE) and n != keep]
+    for name in old:
+        del _home()[name]
+    if old:
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 def sizes(texts: pa.Array) -> np.ndarray:
@@ -66,10 +100,12 @@ def map_arrow(
     schema: str,
     column: str = "text",
     most: int = BLOCK_BYTES,
+    keep: str | None = None,
 ) -> DataFrame:
-    """`function` over bounded slices of `df`."""
+    """`function` over bounded slices of `df`; `keep` names the large per-process value it uses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(keep)
         for batch in batches:
             for part in slices(batch, column, most):
                 yield function(part)

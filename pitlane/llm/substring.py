@@ -28,14 +28,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import id_and_text, map_arrow
+from pitlane.llm.common import id_and_text, map_arrow, release
 from pitlane.llm.words import BASE, Words, grams, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LONGEST = 64
 # Super-k-mers of one minimiser that one task sorts together.
-BUCKET_ROWS = 4000
+BUCKET_ROWS = 1000
 # Packed bytes that a task gathers before it sorts.
 SORT_BYTES = 4_000_000
 
@@ -144,6 +144,7 @@ def sort_buckets(packs: DataFrame, width: int) -> DataFrame:
     """`later_windows` over whole (h, salt) groups; input partitions are sorted by them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:

@@ -32,7 +32,7 @@ from pitlane.llm.words import BASE, Words, grams, mix
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Labelled rows of either label that the fit reads at most.
-PER_CLASS = 3000
+PER_CLASS = 2000
 # Fit: rates, penalties, passes, and in how many sampled rows a feature must occur.
 ALPHA, BETA, L1, L2, PASSES, LEAST_ROWS = 1.0, 1.0, 10.0, 0.01, 12, 3
 STEM = 5
@@ -146,13 +146,14 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_clas
         arrays = [batch.column("doc_id"), batch.column("label"), pa.array(sets, pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays(arrays, ["doc_id", "label", "features"])
 
-    table = map_arrow(chosen, extract, "doc_id long, label int, features array<long>").toArrow().combine_chunks()
+    table = map_arrow(chosen, extract, "doc_id long, label int, features array<long>").toArrow()
     rows = []
     for chunk in table.to_batches():
         sets = chunk.column("features")
         flat, bounds = sets.values.to_numpy().view(np.uint64), sets.offsets.to_numpy()
         ids, marks = chunk.column("doc_id").to_pylist(), chunk.column("label").to_pylist()
         rows += [(doc, mark, flat[bounds[i] : bounds[i + 1]]) for i, (doc, mark) in enumerate(zip(ids, marks))]
+    del table
     # Neither the order of partitions nor that of repeated rows may change the fit.
     rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
     return fit([r[2] for r in rows], np.array([r[1] for r in rows], dtype=float))

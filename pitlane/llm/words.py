@@ -43,7 +43,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of BASE and of its inverse, at least `n` of them."""
     home = per_process("powers", dict)
     if "up" not in home or len(home["up"]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         for name, base in (("up", BASE), ("down", INVERSE)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
