@@ -39,7 +39,7 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 BITS = 28
 LONG = 512
 # Words kept in a process are at most twice this many.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 180_000
 # Rows of one recursive query.
 ROWS = 150_000
 

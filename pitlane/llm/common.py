@@ -70,10 +70,16 @@ def release(keep: str | None = None) -> None:
     for name in old:
         del _home()[name]
     if old:
-        gc.collect()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, as the process lives on beside others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def sizes(texts: pa.Array) -> np.ndarray:
@@ -109,6 +115,7 @@ def map_arrow(
         for batch in batches:
             for part in slices(batch, column, most):
                 yield function(part)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
