@@ -37,13 +37,19 @@ SCHEMA = "page_id long, url string, text string, n_chars long"
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)"""
-    r"""|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe)\b[^>]*(?:>.*?(?:</(?P=raw)[^>]*>|\Z)|\Z)"""
+    r"""|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe)\b"""
     r"""|<[!?][^>]*(?:>|\Z)"""
-    r"""|</(?P<end>[a-zA-Z][a-zA-Z0-9-]*)[^>]*(?:>|\Z)"""
-    r"""|<(?P<start>[a-zA-Z][a-zA-Z0-9-]*)(?P<attrs>(?:[^>"']++|"[^"]{0,4000}+"|'[^']{0,4000}+'|["'])*+)(?:>|\Z)""",
+    r"""|</(?P<end>[a-zA-Z][a-zA-Z0-9-]*)"""
+    r"""|<(?P<start>[a-zA-Z][a-zA-Z0-9-]*)""",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+# One attribute up to its opening quote, or all of it if the value has none.
+ATTRIBUTE = re.compile(r"""[\s/]*+(?:(?P<name>[^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:(?P<quote>["'])|(?P<bare>[^\s>]*+)))?+)?+""")
+RAW_ENDS = {
+    name: re.compile(f"</{name}[^>]*(?:>|\\Z)", re.IGNORECASE)
+    for name in "script style noscript template textarea title svg iframe".split()
+}
+NAMING = re.compile(r"\b(class|id|role)\Z", re.IGNORECASE)
 LETTERS = re.compile(r"[a-z]+")
 
 # Elements of HTML.
@@ -63,14 +69,33 @@ NOISE = frozenset(
 WRAPPER = frozenset("content main article post entry page wrapper container body story".split())
 
 
-def is_noise(name: str, attrs: str, in_article: bool) -> bool:
+def tag_end(page: str, at: int, last: dict[str, int]) -> tuple[int, list[str]]:
+    """Where the tag whose attributes begin at `at` ends (its `>`), and its class, id and role values.
+
+    Quotes count only after `=`, as in HTML.  `last` has the place of the page's last quote of
+    each kind: a quote that is never closed is an ordinary character, found without a search.
+    """
+    values = []
+    while True:
+        m = ATTRIBUTE.match(page, at)
+        at, value, quote = m.end(), m["bare"], m["quote"]
+        if quote and last[quote] >= at:
+            to = page.index(quote, at)
+            at, value = to + 1, page[at:to]
+        if value and NAMING.search(m["name"]):
+            values.append(value)
+        if at == len(page) or page[at] == ">":
+            return at, values
+
+
+def is_noise(name: str, values: list[str], in_article: bool) -> bool:
     if name in ("html", "body", "main", "article", "p", "h1"):
         return False
     if name in OUTSIDE:
         return not (name == "header" and in_article)
     words: set[str] = set()
-    for m in ATTRIBUTE.finditer(attrs):
-        words.update(LETTERS.findall((m[2] or m[3] or m[4] or "").lower()))
+    for value in values:
+        words.update(LETTERS.findall(value.lower()))
     found = words & NOISE
     if in_article:
         found -= {"header"}
@@ -87,6 +112,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     noise: str | None = None  # the boilerplate element that we are in
     depth = 0
     at = 0
+    last = {quote: page.rfind(quote) for quote in "\"'"}
 
     def flush() -> None:
         nonlocal linked
@@ -103,16 +129,25 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if in_link:
                 linked += len(text)
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         take(page[at : m.start()])
         at = m.end()
         start, end = m["start"], m["end"]
+        closed, values = False, []
+        if start or end or m["raw"]:
+            to, values = tag_end(page, at, last)
+            closed = page[at:to].endswith("/")
+            at = min(to + 1, len(page))
+        if m["raw"]:
+            # Its content is no markup; it ends at its own end tag.
+            stop = RAW_ENDS[m["raw"].lower()].search(page, at)
+            at = stop.end() if stop else len(page)
         if start:
             name = start.lower()
             if noise is not None:
                 if name in ("article", "main") and noise not in ("article", "main"):
                     noise = None  # the element was never closed
-                elif name == noise and not m["attrs"].endswith("/"):
+                elif name == noise and not closed:
                     depth += 1
                     continue
                 else:
@@ -121,7 +156,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 flush()
             if name in ("article", "main"):
                 article += 1
-            elif name not in VOID and is_noise(name, m["attrs"], article > 0):
+            elif name not in VOID and is_noise(name, values, article > 0):
                 flush()
                 noise, depth = name, 1
             elif name == "a":

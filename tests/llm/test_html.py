@@ -42,6 +42,22 @@ def test_cases(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("quote", ['"', "'"])
+@pytest.mark.parametrize("inside", ["x", "x>", "</p><p class=ad>"])
+@pytest.mark.parametrize("rest", ["", " id=a", " alt=it's", " href='/b' rel=\"c\"", "/"])
+def test_long_attributes(quote, inside, rest):
+    value = (inside * 5000)[:5000]
+    page = f"<article><p data-x={quote}{value}{quote}{rest}>{LONG}<a href=\"/a\">link</a> it's \"so\"<p title='b'>End.</p></article>"
+    assert main_text(page) == words(f"{LONG} link it's \"so\" End.")
+    page = f"<article><p>{LONG}<iframe srcdoc={quote}</iframe>{value}{quote}{rest}>no</iframe><p>End.</article>"
+    assert main_text(page) == words(f"{LONG} End.")
+
+
+def test_quotes_that_never_close_stay_linear():
+    assert main_text("<article>" + "<p a='x>b" + "<p a=\"x>b" * 30_001).startswith("b")
+    assert main_text("<article>" + "<p title=it's>a" * 30_000) == " ".join("a" * 30_000)
+
+
 def test_rows(spark):
     rows = [(1, "u", None, 0), (None, None, "<article>x</article>", 1), (2, "u", "<p>é&#233;</p>", 2), (2, "u", "<p>é&#233;</p>", 2)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
