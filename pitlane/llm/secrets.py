@@ -10,7 +10,8 @@ sensitive name and look like a key are reported where they were written.
 
 Defined cases: a null or empty text has no spans; a null id is carried through;
 repeated rows give repeated results; other columns are ignored.  Positions are
-code points, the end exclusive.  A name has at most 128 characters.
+code points, the end exclusive.  Neither names, the blanks behind them nor the
+literals of a constant are limited in number.
 """
 
 from __future__ import annotations
@@ -41,7 +42,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a run of 24 or more is found whole
 
 OPERATOR = re.compile(r":=|=>|==+|::+|:(?!/)|=")
-NAME_BEFORE = re.compile(r"""([A-Za-z_][A-Za-z0-9_.-]{0,127})["'\]]{0,2}[ \t]{0,8}\Z""")
+LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz_")
+NAME = LETTERS | frozenset("0123456789.-")
+# A type between a name's colon and its `=`, as in TypeScript, Python, Kotlin, Swift and Rust.
+_NESTED = r"""(?:<(?:[^<>\n=]|<[^<>\n=]*+>)*+>|\[(?:[^\[\]\n=]|\[[^\[\]\n=]*+\])*+\])"""
+_TYPE = rf"""[A-Za-z_][\w.]*+(?:::[A-Za-z_]\w*+)*+{_NESTED}*+[?!*]?+"""
+ANNOTATION = re.compile(
+    rf"""[ \t]*+[&*]?+(?:'[a-z_]++[ \t]++)?+(?:(?:const|mut|dyn)[ \t]++)?+{_TYPE}(?:[ \t]*+\|[ \t]*+{_TYPE})*+[ \t]*+=(?![=>])"""
+)
+TYPE_TEXT = re.compile(r"[&*]?[A-Za-z_.:]*[?!]?=?")
+# Names that are types wherever they stand before `=`; Go writes them behind the name.
+TYPES = frozenset("string String str Text text bytes byte char any Any".split())
 TERM = re.compile(
     r"""[ \t]*(?:(["'`])((?:\\.|(?!\1)[^\\\n])*)\1|([^\s"'`,;(){}\[\]<>+]+))""", re.DOTALL
 )
@@ -58,8 +69,6 @@ SENSITIVE = {
 HARMLESS = ("example", "changeme", "placeholder", "your", "xxxx", "null", "none", "true", "false", "todo")
 SCORE = 1.5
 MASK = "[secret]"
-# A name built from more literals than this is text, not a constant.
-MOST_PARTS = 64
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -78,25 +87,57 @@ def name_score(name: str) -> float:
     return min(1.0, sum(SENSITIVE.get(w, 0.0) for w in words))
 
 
+def is_harmless(value: str) -> bool:
+    """Whether no text with this in it is a key."""
+    return " " in value or any(w in value.lower() for w in HARMLESS)
+
+
 def literal_score(value: str) -> float:
     """How much a value looks like a generated key: length, variety and kinds of characters."""
-    if len(value) < 6 or any(w in value.lower() for w in HARMLESS):
+    if len(value) < 6 or is_harmless(value):
         return 0.0
     counts = Counter(value)
     entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
     kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    if " " in value or kinds < 2:
+    if kinds < 2:
         return 0.0
     return min(1.0, entropy / 3.0) * min(1.0, len(value) / 10)
 
 
+def name_before(text: str, end: int) -> tuple[str, int]:
+    """The name that ends before `end`, but for blanks and up to two closing marks, and where it begins."""
+    while end and text[end - 1] in " \t":
+        end -= 1
+    for _ in range(2):
+        if end and text[end - 1] in "\"']":
+            end -= 1
+    start = end
+    while start and text[start - 1] in NAME:
+        start -= 1
+    while start < end and text[start] not in LETTERS:
+        start += 1
+    return text[start:end], start
+
+
 def pairs(text: str):
-    """(name, terms) of each assignment; a term is (is_literal, value, start, end)."""
+    """(names, terms) of each assignment; a term is (is_literal, value, start, end).
+
+    There are two names if what stands before `=` may be the type of the name before it.
+    """
+    annotated: dict[int, str] = {}
     for op in OPERATOR.finditer(text):
         if op[0].startswith(("==", "::")):
             continue
-        name = NAME_BEFORE.search(text[max(0, op.start() - 140) : op.start()])
-        if not name:
+        name, start = name_before(text, op.start())
+        names = [name] if name else []
+        typed = op[0] == ":" and name and ANNOTATION.match(text, op.end())
+        if typed:
+            annotated[typed.end() - 1] = name
+        elif op[0] == "=":
+            owner = annotated.get(op.start()) or (name in TYPES and text[start - 1 : start] in (" ", "\t") and name_before(text, start)[0])
+            if owner:
+                names = [owner] if not name or name in TYPES else [owner, name]
+        if not names:
             continue
         terms, at = [], op.end()
         while m := TERM.match(text, at):
@@ -107,27 +148,53 @@ def pairs(text: str):
             if not more:
                 break
             at = more.end()
-        if terms:
-            yield name[1], terms
+        # A type in letters only is no value.
+        if terms and not (typed and all(TYPE_TEXT.fullmatch(t[1]) for t in terms)):
+            yield names, terms
+
+
+class Constant:
+    """What a name stands for: literals, and earlier constants by reference."""
+
+    __slots__ = ("harmless", "terms")
+
+    def __init__(self, terms: list):
+        self.terms = terms
+        # One such part makes the whole harmless.
+        self.harmless = any(t.harmless if isinstance(t, Constant) else is_harmless(t[0]) for t in terms)
+
+    def parts(self) -> list[tuple[str, int, int]]:
+        """The literals, each once, in the order of their first use; each constant is opened once."""
+        out: dict[tuple[str, int, int], None] = {}
+        opened = {id(self)}
+        stack = [iter(self.terms)]
+        while stack:
+            for t in stack[-1]:
+                if not isinstance(t, Constant):
+                    out[t] = None
+                elif id(t) not in opened:
+                    opened.add(id(t))
+                    stack.append(iter(t.terms))
+                    break
+            else:
+                stack.pop()
+        return list(out)
 
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of literals that reach a sensitive name, each once."""
     if ":" not in text and "=" not in text:
         return []
-    known: dict[str, list[tuple[str, int, int]]] = {}
+    known: dict[str, Constant] = {}
     found = set()
-    for name, terms in pairs(text):
-        parts: list[tuple[str, int, int]] = []
-        for literal, value, start, end in terms:
-            if not literal and value in known:
-                parts += known[value]
-            else:
-                parts.append((value, start, end))
-        parts = list(dict.fromkeys(parts))
-        known[name] = parts if len(parts) <= MOST_PARTS else []
-        target = name_score(name)
-        if target and target + literal_score("".join(p[0] for p in parts)) >= SCORE:
+    for names, terms in pairs(text):
+        constant = Constant([known[v] if not literal and v in known else (v, s, e) for literal, v, s, e in terms])
+        known.update(dict.fromkeys(names, constant))
+        target = max(map(name_score, names))
+        if not target or constant.harmless:
+            continue
+        parts = constant.parts()
+        if target + literal_score("".join(p[0] for p in parts)) >= SCORE:
             found.update(("literal", s, e) for v, s, e in parts if e > s)
     return sorted(found)
 

@@ -2,6 +2,7 @@ import hashlib
 import re
 
 from pitlane.llm.secrets import base_spans, literal_spans, mask_secrets, scan_secrets
+from pitlane.llm.secrets import masked as mask
 
 
 def naive(text):
@@ -51,6 +52,35 @@ def test_constants_reach_their_target():
     assert found(code) == ["a8f7K2", "Zq91xx"]
 
 
+def test_aligned_names():
+    for blanks in (" " * 9, "\t" * 30, " " * 100_000):
+        assert found(f"aws_secret_access_key{blanks}= Zx81kQp07LmN42\nregion{blanks}= eu12345-west\n") == ["Zx81kQp07LmN42"]
+    assert found("p." * 200 + 'secretKey = "k9Qz81LmX0aa"') == ["k9Qz81LmX0aa"]
+
+
+def test_constants_of_many_literals():
+    pieces = [f"a{i}Z" for i in range(500)]
+    one = "secret_value = " + " + ".join(f'"{p}"' for p in pieces)
+    assert found(one) == pieces
+    assert found(one.replace("secret_value", "all") + "\npassword = all\n") == pieces
+    chain = 'x = "a0Z"\n' + "".join(f'x = x + "{p}"\n' for p in pieces[1:]) + "token = x\n"
+    assert found(chain) == pieces
+    doubled = 'x = "a8f7K2qW91"\n' + "x = x + x\n" * 500 + "token = x\n"
+    assert found(doubled) == ["a8f7K2qW91"]
+
+
+def test_type_annotations():
+    for typed in (
+        "apiKey: string", "apiKey : string", "apiKey:string", "api_key: Optional[str]", "let api_key: &'static str", "apiKey: string | null",
+        "apiKey: Map<string, List<string>>", "val apiKey: String?", "api_key: std::string::String", "var apiKey string", "api_key: dict[str, str]",
+    ):
+        assert found(f'{typed} = "k9Qz81LmX0aa"\n') == ["k9Qz81LmX0aa"], typed
+    assert found('colour: string = "blue12345678"\napiKey: string = ""\nkey, colour: string == "blue12345678"') == []
+    assert found('Settings: db_password = "k9Qz81LmX0aa"') == ["k9Qz81LmX0aa"]
+    assert found("secret_key: Zx81kQp07LmN42=\n") == ["Zx81kQp07LmN42="]
+    assert mask("apiKey: text = 'k9Qz81LmX0aa'") == "apiKey: text = '[secret]'"
+
+
 def test_harmless_values_are_left_alone():
     assert found('password = "changeme"\ntitle: The secret of the house\ntoken = None\nx == "a1b2c3d4"') == []
 
