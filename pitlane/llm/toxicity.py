@@ -7,7 +7,9 @@ term that leaves most weights at zero; only the other ones are broadcast.
 
 Labels are read only where ``crc32(id as text) % 5 != 0``.  The fit uses a bounded,
 documented sample: the `per_class` labelled rows of either label with the smallest
-hash of their id.  Scoring covers every row and every word.
+hash of their id; the intercept is then moved by the difference between the log odds of
+the table and those of the sample, so that the size of the table does not matter.
+Scoring covers every row and every word.
 
 Defined cases: null and empty texts get the score of the intercept; a null id counts
 as the text "" (held out); without labelled rows of both
@@ -135,8 +137,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_clas
     usable = labels.select("doc_id", F.col(label_col).cast("int").alias("label")).where(
         F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
+    usable = usable.where("label IN (0, 1)").distinct()
+    totals = {r.label: r["count"] for r in usable.groupBy("label").count().collect()}
     order = [F.xxhash64("doc_id"), "doc_id"]
-    parts = [usable.where(F.col("label") == k).distinct().orderBy(*order).limit(per_class) for k in (0, 1)]
+    parts = [usable.where(F.col("label") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     sample = parts[0].unionByName(parts[1])
     # At most 2 * per_class rows, so the broadcast is bounded.
     chosen = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
@@ -156,7 +160,12 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_clas
     del table
     # Neither the order of partitions nor that of repeated rows may change the fit.
     rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
-    return fit([r[2] for r in rows], np.array([r[1] for r in rows], dtype=float))
+    model = fit([r[2] for r in rows], np.array([r[1] for r in rows], dtype=float))
+    if model.fitted:
+        # The share of each label's rows that the sample has.
+        taken = {k: min(n, per_class) / n for k, n in totals.items()}
+        model.bias += float(np.log(taken[0] / taken[1]))
+    return model
 
 
 def score(df: DataFrame, model: Weights, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

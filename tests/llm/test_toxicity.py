@@ -54,6 +54,18 @@ def test_labels_of_held_out_rows_are_not_read(spark, tables):
     assert np.array_equal(a.hashes, b.hashes) and np.array_equal(a.values, b.values) and a.bias == b.bias
 
 
+def test_intercept_does_not_depend_on_the_sample_size(spark):
+    # One word in common says little, so that the classes' odds decide.
+    rows = [(i, f"{'maybe' if i % 3 == 0 else 'plain'} text", int(i % 10 == 0)) for i in range(3000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    asked = docs.limit(0).unionByName(spark.createDataFrame([(-1, "maybe text"), (-2, "plain text")], docs.schema))
+    whole, part = (
+        {r.doc_id: r.score for r in score(asked, train(docs, labels, per_class=n)).collect()} for n in (10_000, 200)
+    )
+    assert all(abs(whole[i] - part[i]) < 0.06 and part[i] < 0.25 for i in whole)
+
+
 def test_weights_are_sparse_and_scoring_equals_the_definition():
     column = pa.array([t for _, t, _ in ROWS[:200]])
     sets = feature_sets(column)
