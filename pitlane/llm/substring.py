@@ -8,6 +8,8 @@ marked, and the words it covers are removed.
 
 * Only super-k-mers whose minimiser occurs more than once travel: equal windows have
   equal minimisers, so nothing can be missed.  The counts are pre-aggregated.
+* Lists of minimisers and of runs belong to a row key `g`, the hash of id and text, so that
+  they are as long as one text at most, however many rows have no id or repeat one.
 * A bucket with many super-k-mers is salted.  Each part marks what is later inside the
   part; its first occurrences are then compared across the parts.
 
@@ -80,12 +82,17 @@ def super_kmers(words: Words, width: int, grain: int) -> tuple[np.ndarray, ...]:
 
 def find(batch: pa.RecordBatch, width: int, grain: int) -> pa.RecordBatch:
     value, text, _, _, weight = super_kmers(Words(batch.column("text")), width, grain)
-    arrays = [pa.array(value.view(np.int64)), batch.column("d").take(pa.array(text)), pa.array(weight, pa.int8())]
-    return pa.RecordBatch.from_arrays(arrays, ["h", "d", "weight"])
+    arrays = [pa.array(value.view(np.int64)), batch.column("g").take(pa.array(text)), pa.array(weight, pa.int8())]
+    return pa.RecordBatch.from_arrays(arrays, ["h", "g", "weight"])
 
 
 def pack(batch: pa.RecordBatch, width: int, grain: int) -> pa.RecordBatch:
-    """The super-k-mers of each text whose minimiser is wanted, as strings."""
+    """The super-k-mers of each text whose minimiser is wanted, as strings.
+
+    Of neighbouring rows with one key (equal id and text) one is enough.
+    """
+    key = batch.column("g").to_numpy()
+    batch = batch.filter(pa.array(np.append(True, key[1:] != key[:-1])[: len(key)]))
     words = Words(batch.column("text"))
     value, row, start, n, _ = super_kmers(words, width, grain)
     lists = batch.column("wanted")
@@ -189,18 +196,25 @@ def cut(batch: pa.RecordBatch, width: int, digest: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept_sha256" if digest else "kept"])
 
 
+def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, the id `d` that orders and the row key `g`."""
+    d = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
+    g = F.xxhash64(d, F.coalesce("text", F.lit("")))
+    return id_and_text(df, id_col, text_col).select("doc_id", "text", d.alias("d"), g.alias("g"))
+
+
 def repeated_runs(base: DataFrame, width: int, grain: int) -> DataFrame:
-    """(d, runs): where the later windows of each document's texts start."""
-    kmers = map_arrow(base.select("d", "text"), lambda b: find(b, width, grain), "h long, d long, weight byte")
+    """(g, runs): where the later windows of each key's text start; `d` tells keys that are equal by chance apart."""
+    kmers = map_arrow(base.select("g", "text"), lambda b: find(b, width, grain), "h long, g long, weight byte")
     counts = kmers.groupBy("h").agg(F.sum("weight").alias("c")).where("c > 1")
     salts = F.ceil(F.col("c") / BUCKET_ROWS).cast("int").alias("salts")
-    wanted = kmers.select("h", "d").join(counts, "h").select("d", F.struct("h", salts).alias("kmer"))
+    wanted = kmers.select("h", "g").join(counts, "h").select("g", F.struct("h", salts).alias("kmer"))
     # A text's list is as long as the text at most.
-    lists = wanted.groupBy("d").agg(F.collect_set("kmer").alias("wanted"))
+    lists = wanted.groupBy("g").agg(F.collect_set("kmer").alias("wanted"))
     # Both joins with the texts keep the same columns, so that the texts are shuffled once.
-    joined = base.join(lists, "d").select(*base.columns, "wanted")
+    joined = base.join(lists, "g").select(*base.columns, "wanted")
     packs = map_arrow(joined, lambda b: pack(b, width, grain), "h long, salts int, d long, g long, s int, packed string")
-    packs = packs.withColumn("salt", F.pmod(F.xxhash64("d", "s"), F.col("salts")).cast("int"))
+    packs = packs.withColumn("salt", F.pmod(F.xxhash64("g", "s"), F.col("salts")).cast("int"))
     keys = ["h", "salt"]
     found = sort_buckets(packs.repartition(*keys).sortWithinPartitions(*keys), width)
     # Parts of a salted bucket: at most one row for each part has a given window.
@@ -208,7 +222,7 @@ def repeated_runs(base: DataFrame, width: int, grain: int) -> DataFrame:
     first = F.min(place).over(Window.partitionBy("part", "w"))
     parts = found.withColumn("part", F.when(F.col("w").isNull(), F.xxhash64("d", "g", "s")))
     later = parts.select("d", "g", "s", "n", "w", (place > first).alias("later")).where("w IS NULL OR later")
-    return later.groupBy("d").agg(F.collect_set(F.struct("g", "s", "n")).alias("runs"))
+    return later.groupBy("g").agg(F.collect_set(F.struct("d", "s", "n")).alias("runs"))
 
 
 def remove_repeats(
@@ -218,14 +232,9 @@ def remove_repeats(
 
     With `digest` the kept words are given as their SHA-256 (`kept_sha256`).
     """
-    base = id_and_text(df, id_col, text_col).select(
-        "doc_id",
-        "text",
-        F.coalesce("doc_id", F.lit(-(2**63))).alias("d"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("g"),
-    )
+    base = keyed(df, id_col, text_col)
     runs = repeated_runs(base, width, grain)
     last = "kept_sha256" if digest else "kept"
-    mine = F.transform(F.filter("runs", lambda r: r["g"] == F.col("g")), lambda r: F.struct(r["s"].alias("s"), r["n"].alias("n")))
-    joined = base.join(runs, "d", "left").select(*base.columns, mine.alias("runs"))
+    mine = F.transform(F.filter("runs", lambda r: r["d"] == F.col("d")), lambda r: F.struct(r["s"].alias("s"), r["n"].alias("n")))
+    joined = base.join(runs, "g", "left").select(*base.columns, mine.alias("runs"))
     return map_arrow(joined, lambda b: cut(b, width, digest), f"doc_id long, n_words long, n_removed long, {last} string")

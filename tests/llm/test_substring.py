@@ -56,6 +56,20 @@ def test_equal_to_brute_force(spark, monkeypatch, bucket, width, grain):
     assert sorted(map(tuple, out), key=str) == naive(rows, width)
 
 
+@pytest.mark.parametrize("bucket", [4000, 3])
+def test_rows_without_own_id(spark, monkeypatch, bucket):
+    monkeypatch.setattr(substring, "BUCKET_ROWS", bucket)
+    passages = [" ".join(rng.choice(VOCABULARY, 40)) for _ in range(10)]
+    rows = [(None if i % 3 else 7, f"{passages[i % 10]} own{i} {passages[(i + 3) % 10]}") for i in range(150)]
+    rows += [(50 + i, p) for i, p in enumerate(passages)] + [(None, rows[1][1])] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = remove_repeats(df, digest=True).collect()
+    assert sorted(map(tuple, out), key=str) == naive(rows, 20)
+    # What is gathered for a row is bounded by its own text (81 words), not by all that share its id.
+    runs = substring.repeated_runs(substring.keyed(df, "doc_id", "text"), 20, 4)
+    assert max(len(r.runs) for r in runs.collect()) <= 81
+
+
 def test_texts_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a b c d x"), (2, "q a b c")], "doc_id long, text string")
     out = {r.doc_id: r.kept for r in remove_repeats(df, 3, 2).collect()}
