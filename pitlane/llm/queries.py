@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitlane.llm import pii, quality
 from pitlane.llm.bpe import encode_digests
-from pitlane.llm.common import read_table
+from pitlane.llm.common import read_table, stored
 from pitlane.llm.decontam import find_items
 from pitlane.llm.html import extract
+from pitlane.llm.mixing import KEY, SIZE, SOURCE, count_words, mix_counted
 from pitlane.llm.neardup import near_duplicates
 from pitlane.llm.secrets import scan_secrets
 from pitlane.llm.substring import remove_repeats
@@ -120,6 +121,40 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score(docs, train(docs, read_table(spark, folder, "labels")))
 
 
+def op12_mix(spark: SparkSession, folder: str) -> DataFrame:
+    # Texts are read once; the rest works on the counts.
+    counted = count_words(read_table(spark, folder, "documents")).select("doc_id", "source", SOURCE, SIZE, KEY)
+    return mix_counted(stored(counted, "counted")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
+OP12_SQL = """
+WITH counted AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+    md5(concat_ws('|', '12', coalesce('v' || doc_id, 'n'), md5(coalesce(text, '')), coalesce('v' || source, 'n'))) AS k
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w,
+    row_number() OVER (ORDER BY source NULLS LAST) AS r
+  FROM counted GROUP BY source
+), filled AS (
+  SELECT *, (sum(source_size) OVER ())::BIGINT - 3 * coalesce((sum(source_size) OVER before)::BIGINT, 0) AS left_,
+    (sum(w) OVER () - coalesce(sum(w) OVER before, 0))::BIGINT AS w_
+  FROM sources WINDOW before AS (ORDER BY source_size / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT left_, w_ FROM filled WHERE 3 * source_size * w_ > left_ * w ORDER BY source_size / w, r LIMIT 1
+), aims AS (
+  SELECT source, source_size, coalesce(least(w * (SELECT left_ FROM level) / (SELECT w_ FROM level), 3 * source_size::DOUBLE), 0) AS target FROM sources
+), drawn AS (
+  SELECT doc_id, size, source_size, target, c.source, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+    ('0x' || substr(md5(k || '|' || row_number() OVER (PARTITION BY k)), 1, 13))::BIGINT / 4503599627370496 AS coin
+  FROM counted c JOIN aims a ON c.source IS NOT DISTINCT FROM a.source
+)
+SELECT doc_id, size, source_size, target, (floor(rate) + (coin < rate - floor(rate))::INT)::INT AS copies,
+  ((floor(rate) + (coin < rate - floor(rate))::INT) * size)::BIGINT AS taken, source
+FROM drawn
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
@@ -131,5 +166,6 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_html": op10_html,
+    "op12_mix": op12_mix,
 }
-ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL, "op4_topk": OP4_SQL, "op7_substring": OP7_SQL}
+ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL, "op4_topk": OP4_SQL, "op7_substring": OP7_SQL, "op12_mix": OP12_SQL}
