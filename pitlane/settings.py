@@ -67,3 +67,14 @@ def materialize(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def drop_scratch(df: DataFrame) -> None:
+    """Delete a scratch table that no plan reads any more; other paths are left alone."""
+    spark = df.sparkSession
+    home = _scratch_home(spark, spark.sparkContext.applicationId, shared_folder(spark))
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        if home.rsplit("/", 1)[-1] in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
