@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitlane.llm import pii, quality
 from pitlane.llm.bpe import encode_digests
+from pitlane.llm.centroids import clustered
 from pitlane.llm.common import read_table, stored
 from pitlane.llm.decontam import find_items
 from pitlane.llm.html import extract
@@ -155,6 +156,39 @@ FROM drawn
 """
 
 
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return clustered(read_table(spark, folder, "embeddings"))
+
+
+def _op13_sql(k: int = 8, rounds: int = 10) -> str:
+    """Each round: the nearest centroid of every vector, then the floor of every cluster's mean."""
+    nearest = """near{i} AS MATERIALIZED (
+  SELECT r, any_value(v) AS v, min({{'d': list_sum(list_transform(range(1, 65), lambda i: (v[i] - m[i]) * (v[i] - m[i])))::BIGINT, 'c': c}}) AS best
+  FROM whole, centre{i} GROUP BY r
+)"""
+    moved = """centre{j} AS MATERIALIZED (
+  SELECT c, coalesce(list(mean ORDER BY i) FILTER (i IS NOT NULL), any_value(m)) AS m FROM centre{i} LEFT JOIN (
+    SELECT best.c AS c, i, ((sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*))::BIGINT AS mean
+    FROM (SELECT best, unnest(v) AS x, unnest(range(64)) AS i FROM near{i}) GROUP BY best.c, i) USING (c) GROUP BY c
+)"""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(nearest.format(i=i))
+        if i < rounds:
+            steps.append(moved.format(i=i, j=i + 1))
+    return f"""WITH whole AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM (SELECT * FROM embeddings WHERE len(list_filter(embedding, lambda x: isfinite(x))) = 64 AND len(embedding) = 64)
+), centre0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v AS m FROM whole
+  WHERE vec_id IS NOT NULL ORDER BY c LIMIT {k}
+), {", ".join(steps)}
+SELECT vec_id, best.c::INT AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia,
+  (sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM near{rounds} JOIN whole USING (r) JOIN centre{rounds} ON centre{rounds}.c = best.c
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_bpe": op2_bpe,
@@ -167,5 +201,6 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_html": op10_html,
     "op12_mix": op12_mix,
+    "op13_centroids": op13_centroids,
 }
-ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL, "op4_topk": OP4_SQL, "op7_substring": OP7_SQL, "op12_mix": OP12_SQL}
+ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL, "op4_topk": OP4_SQL, "op7_substring": OP7_SQL, "op12_mix": OP12_SQL, "op13_centroids": _op13_sql()}
