@@ -11,6 +11,7 @@ from pitlane.llm import pii, quality
 from pitlane.llm.bpe import encode_digests
 from pitlane.llm.centroids import clustered
 from pitlane.llm.common import read_table, stored
+from pitlane.llm.conversations import report_of_damaged
 from pitlane.llm.decontam import find_items
 from pitlane.llm.html import extract
 from pitlane.llm.mixing import KEY, SIZE, SOURCE, count_words, mix_counted
@@ -122,6 +123,64 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score(docs, train(docs, read_table(spark, folder, "labels")))
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return report_of_damaged(read_table(spark, folder, "conversations"))
+
+
+# The checksum bit by bit: each character is followed by eight shifts (-1).
+CRC32_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split({0}, ''),
+    lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END))"""
+OP11_SQL = f"""
+WITH RECURSIVE drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {CRC32_SQL.format("concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))")} % 20 AS draw
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role, unnest(range(CASE WHEN draw = 3 THEN 2 ELSE 1 END)) AS copy,
+    CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM drawn WHERE draw <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+    regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS ending, left(role, 1) AS initial FROM damaged
+), judged AS (
+  SELECT *, ending = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM placed
+), rows_ AS (
+  SELECT *, blank OR again AS must, NOT blank AND NOT again AND ending NOT IN ('.', '!', '?') AS cut FROM judged
+), inserts(p, q, c, x, made) AS (VALUES
+  (0, 0, 0, '', ''), (0, 2, 3, 'I', 'user:' || chr(10)), (0, 3, 6, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+  (1, 1, 0, '', ''), (1, 2, 3, 'I', 'user:' || chr(10)), (1, 3, 6, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+  (2, 2, 0, '', ''), (2, 3, 3, 'I', 'assistant:' || chr(10)), (3, 3, 0, '', ''), (3, 2, 3, 'I', 'user:' || chr(10))
+), edits(q, initial, t, c, x, new_role) AS (
+  SELECT q, NULL::VARCHAR, q, 4, 'D', NULL::VARCHAR FROM (VALUES (0), (1), (2), (3)) v(q)
+  UNION ALL VALUES (0, 's', 1, 0, 'K', NULL::VARCHAR), (0, 'u', 2, 0, 'K', NULL), (1, 'u', 2, 0, 'K', NULL), (2, 'a', 3, 0, 'K', NULL), (3, 'u', 2, 0, 'K', NULL)
+  UNION ALL VALUES (0, NULL::VARCHAR, 2, 3, 'R', 'user'), (1, NULL, 2, 3, 'R', 'user'), (2, NULL, 3, 3, 'R', 'assistant'), (3, NULL, 2, 3, 'R', 'user')
+), paths AS (
+  SELECT conv_id, 0::BIGINT AS n, 0 AS state, {{'cost': 0::BIGINT, 'audit': '', 'made': ''}} AS best FROM rows_ GROUP BY conv_id
+  UNION ALL
+  SELECT r.conv_id, r.n, e.t, min({{'cost': best.cost + i.c + e.c + CASE WHEN e.x <> 'D' AND r.cut THEN 3 ELSE 0 END, 'audit': best.audit || i.x || e.x,
+    'made': best.made || i.made || CASE WHEN e.x = 'D' THEN '' ELSE coalesce(e.new_role, r.role) || ':' || r.text || chr(10) END}})
+  FROM paths p JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.n = p.n + 1
+    JOIN inserts i ON i.p = p.state JOIN edits e ON e.q = i.q AND (e.x = 'D' OR NOT r.must) AND (e.x <> 'K' OR e.initial = r.initial)
+  GROUP BY r.conv_id, r.n, e.t
+), ended AS (
+  SELECT p.conv_id, min({{'cost': best.cost + i.c, 'audit': best.audit || i.x, 'made': best.made || i.made}}) AS best
+  FROM paths p JOIN (SELECT conv_id, max(n) AS n FROM rows_ GROUP BY conv_id) z ON z.conv_id IS NOT DISTINCT FROM p.conv_id AND z.n = p.n
+    JOIN inserts i ON i.p = p.state AND i.q IN (0, 3) GROUP BY p.conv_id
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut) AS truncated,
+    count(*) FILTER (n > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM rows_ GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(best.made[:-2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 def op12_mix(spark: SparkSession, folder: str) -> DataFrame:
     # Texts are read once; the rest works on the counts.
     counted = count_words(read_table(spark, folder, "documents")).select("doc_id", "source", SOURCE, SIZE, KEY)
@@ -200,7 +259,15 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_html": op10_html,
+    "op11_conversations": op11_conversations,
     "op12_mix": op12_mix,
     "op13_centroids": op13_centroids,
 }
-ORACLES: dict[str, str] = {"op3_neardup": OP3_SQL, "op4_topk": OP4_SQL, "op7_substring": OP7_SQL, "op12_mix": OP12_SQL, "op13_centroids": _op13_sql()}
+ORACLES: dict[str, str] = {
+    "op3_neardup": OP3_SQL,
+    "op4_topk": OP4_SQL,
+    "op7_substring": OP7_SQL,
+    "op11_conversations": OP11_SQL,
+    "op12_mix": OP12_SQL,
+    "op13_centroids": _op13_sql(),
+}
