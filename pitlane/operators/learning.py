@@ -20,7 +20,7 @@ from pitlane.constants import MODEL_FEATURES
 from pitlane.functions.durations import durations_to_seconds
 from pitlane.functions.scalars import clean_inf
 from pitlane.operators.laps import renumber_laps
-from pitlane.operators.series import Series, checked_broadcast
+from pitlane.operators.series import Series, checked_broadcast, hand_down
 from pitlane.settings import materialize
 
 VECTOR = "_features"
@@ -104,7 +104,7 @@ def model_dataset(
     Infinite values count as missing, incomplete laps go, durations become
     seconds, and laps are renumbered per driver and track.
     """
-    known = durations_to_seconds(clean_inf(season).dropna())
+    known = hand_down(durations_to_seconds(clean_inf(season).dropna()), season)
     numbered = renumber_laps(known, ["Driver", "Track"], ["LapNumber", "Year"])
     return numbered.select(*(keep or ["Year", "Track", "Driver", "LapNumber"]), *features, label)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pitlane.constants import ACC_LIMIT_G, EPSILON, GRAVITY, KMH_PER_MPS, LAP_KEY, SAMPLE_ORDER
 from pitlane.functions.scalars import TURN, round_half_even, wrapped_angle
-from pitlane.operators.series import Series, attach_totals
+from pitlane.operators.series import Series, attach_totals, hand_down, measured
 
 # Weights of the low-noise differentiator by neighbour distance.
 SMOOTH_WEIGHTS = {1: 5.0 / 32.0, 2: 4.0 / 32.0, 3: 1.0 / 32.0}
@@ -199,7 +199,8 @@ def accelerations(
     Longitudinal: derivative of speed over time.  Lateral: speed squared times
     path curvature.
     """
-    s = Series(df.withColumn("_v", F.col("Speed") / KMH_PER_MPS), keys, order, reach=3)
+    measured(df, keys)
+    s = Series(hand_down(df.withColumn("_v", F.col("Speed") / KMH_PER_MPS), df), keys, order, reach=3)
     s.with_neighbours(["Time_s", "_v", *(PATH if lateral else [])])
     first = {"_lon": _centered("Time_s", "_v") / GRAVITY}
     made = {"_lon": "LonAcc"}
@@ -211,7 +212,7 @@ def accelerations(
         s.with_columns(first)
     _repair(s, made)
     rounded = [round_half_even(F.col(c), 5).alias(c) for c in made.values()]
-    return s.rows().select(*df.columns, *rounded)
+    return hand_down(s.rows().select(*df.columns, *rounded), df)
 
 
 def with_lap_sums(
@@ -219,7 +220,7 @@ def with_lap_sums(
 ) -> DataFrame:
     """`accelerations` plus absolute values and their sums over the lap."""
     acc = accelerations(df, keys, order)
-    acc = acc.withColumns({"AbsLonAcc": F.abs("LonAcc"), "AbsLatAcc": F.abs("LatAcc")})
+    acc = hand_down(acc.withColumns({"AbsLonAcc": F.abs("LonAcc"), "AbsLatAcc": F.abs("LatAcc")}), df)
     sums = {"SumLonAcc": F.sum("AbsLonAcc"), "SumLatAcc": F.sum("AbsLatAcc")}
     # A lap without any value sums to 0.
     return attach_totals(acc, keys, sums).fillna(0.0, list(sums))

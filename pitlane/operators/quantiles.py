@@ -26,7 +26,7 @@ def percentiles(
     range-partitioned running count of their value counts.
     """
     narrow = df.select(*keys, *[c for c in wanted if c not in keys])
-    hot = hot_groups(narrow, keys, setting(df.sparkSession, PERCENTILE_ROWS, PERCENTILE_ROWS_DEFAULT))
+    hot = hot_groups(df, keys, setting(df.sparkSession, PERCENTILE_ROWS, PERCENTILE_ROWS_DEFAULT))
     exact = [
         F.percentile(F.col(c).cast("double"), F.lit(q)).alias(name)
         for c, names in wanted.items()

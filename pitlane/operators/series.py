@@ -14,16 +14,18 @@ unsegmented one:
 * running aggregates receive the aggregate of all earlier segments, computed
   from one small row per segment.
 
-Whether hot groups exist is checked on row counts before the plan is built, once for
-the same rows and keys.
+Whether hot groups exist is checked on row counts before the plan is built.  What was
+found is noted on the DataFrame and handed down to those made of its rows, so a chain
+over the same keys counts once; stored tables bring counts of their own.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pitlane.settings import (
@@ -43,33 +45,112 @@ def hot_limit(df: DataFrame) -> int:
     return setting(df.sparkSession, HOT_GROUP_ROWS, HOT_GROUP_ROWS_DEFAULT)
 
 
-# What was found before, by session: (optimized plan of the keys, keys, limit, hot keys).
-_FOUND: WeakKeyDictionary = WeakKeyDictionary()
-_REMEMBERED = 200
+@dataclass(frozen=True)
+class Sizes:
+    """No group of `keys` has more than `most` rows.
+
+    `hot` lists the groups above `limit` (and their sizes) where they were looked for.
+    """
+
+    keys: tuple[str, ...]
+    most: int
+    limit: int | None = None
+    hot: DataFrame | None = None
+
+
+# What is known of a DataFrame.  It belongs to that very object: a table that is read
+# again starts with nothing, so an answer never outlives the rows it was found on.
+_SIZES: WeakKeyDictionary[DataFrame, tuple[Sizes, ...]] = WeakKeyDictionary()
+
+
+# Counts of earlier plans of this session, for the same rows under another DataFrame.
+_COUNTED: WeakKeyDictionary = WeakKeyDictionary()
+_REMEMBERED = 100
 
 
-def _known(df: DataFrame, limit: int) -> list | None:
-    """An earlier answer for the same rows: columns that are not keys don't matter."""
+def _snapshot(df: DataFrame) -> tuple:
+    """The optimized plan and which listings of files it reads.
+
+    A table that is read again has a listing of its own, so files written in between
+    are never answered for by an older count.
+    """
     plan = df._jdf.queryExecution().optimizedPlan()
-    for entry in _FOUND.get(df.sparkSession, []):
-        if entry[1] == df.columns and entry[2] == limit and plan.sameResult(entry[0]):
-            return entry
+    leaves = plan.collectLeaves()
+    system = df.sparkSession._jvm.java.lang.System
+    listings = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith(("LogicalRelation", "Relation")):
+            relation = leaf.relation()
+            listings.append(system.identityHashCode(relation.location() if "HadoopFsRelation" in relation.getClass().getName() else relation))
+    return plan, listings
+
+
+def _counted_before(keyed: DataFrame, snapshot: tuple) -> tuple[Sizes, ...] | None:
+    plan, listings = snapshot
+    for old, old_listings, columns, sizes in _COUNTED.get(keyed.sparkSession, []):
+        if columns == keyed.columns and old_listings == listings and plan.sameResult(old):
+            return sizes
     return None
 
 
-def _remember(df: DataFrame, limit: int, found: DataFrame | None) -> None:
-    entries = _FOUND.setdefault(df.sparkSession, [])
-    entries.append((df._jdf.queryExecution().optimizedPlan(), df.columns, limit, found))
-    del entries[:-_REMEMBERED]
+def know(df: DataFrame, *sizes: Sizes) -> DataFrame:
+    """Note that `sizes` hold for `df`."""
+    _SIZES[df] = (*_SIZES.get(df, ()), *sizes)
+    return df
+
+
+def known_sizes(df: DataFrame) -> tuple[Sizes, ...]:
+    return _SIZES.get(df, ())
 
 
-def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame | None:
+def hand_down(new: DataFrame, *old: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """Note on `new` what is known of the tables its rows come from; returns `new`.
+
+    To be used where each row of `old` gives at most one row of `new` with the same keys.
+    `names` translates keys that another column determines one to one.  Rows of several
+    tables add up.
+    """
+    swap = names or {}
+    found: dict[tuple[str, ...], list[Sizes]] = {}
+    for df in old:
+        for s in known_sizes(df):
+            found.setdefault(tuple(swap.get(k, k) for k in s.keys), []).append(s)
+    for keys, sizes in found.items():
+        if len(old) == 1:
+            for s in sizes:
+                know(new, replace(s, keys=keys, hot=None if swap else s.hot, limit=None if swap else s.limit))
+        else:
+            each = [min((s.most for s in known_sizes(df) if set(s.keys) <= set(keys)), default=None) for df in old]
+            if None not in each:
+                know(new, Sizes(keys, sum(each)))
+    return new
+
+
+def most_rows(df: DataFrame, keys: list[str]) -> int | None:
+    """The least known bound on the groups of `keys`; groups by fewer keys are larger, so theirs count too."""
+    return min((s.most for s in known_sizes(df) if set(s.keys) <= set(keys)), default=None)
+
+
+def measured(df: DataFrame, keys: list[str]) -> DataFrame:
+    """`df` with the size of its largest group known, counted if need be."""
+    hot_groups(df, keys, exact=False)
+    return df
+
+
+def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None, exact: bool = True) -> DataFrame | None:
     """Keys and sizes of the groups too large for one task, or None if there are none.
 
     A hot group has more than `limit` rows (default: `hot_limit`), so there are
-    at most ``rows / limit`` of them.
+    at most ``rows / limit`` of them.  Without `exact` groups may be listed that were
+    hot in the table the rows come from.
     """
-    return hot_groups_of([(df, keys)], limit or hot_limit(df))[0]
+    limit = limit or hot_limit(df)
+    if not exact and (most_rows(df, keys) or 0) > limit:
+        for s in known_sizes(df):
+            if s.keys == tuple(keys) and s.limit == limit and s.hot is not None:
+                return s.hot
+    return hot_groups_of([(df, keys)], limit)[0]
 
 
 def hot_groups_of(
@@ -77,24 +158,41 @@ def hot_groups_of(
 ) -> list[DataFrame | None]:
     """`hot_groups` of several tables; one job looks for the largest group of each.
 
-    Rows are counted, whatever their size in files.  Answers are kept: a chain of
-    operators over the same rows and keys counts once.
+    Rows are counted, whatever their size in files, unless a known bound answers.
     """
-    narrow = [df.select(*keys) for df, keys in tables]
-    known = [_known(df, limit) for df in narrow]
-    counts = {
-        i: df.groupBy(*tables[i][1]).agg(F.count(F.lit(1)).alias("_rows"))
-        for i, df in enumerate(narrow)
-        if known[i] is None
-    }
-    found: list[DataFrame | None] = [entry[3] if entry else None for entry in known]
-    if counts:
-        tops = [c.agg(F.max("_rows").alias("top")).withColumn("i", F.lit(i)) for i, c in counts.items()]
-        for row in reduce(DataFrame.unionByName, tops).collect():
-            if (row.top or 0) > limit:
-                found[row.i] = materialize(counts[row.i].where(F.col("_rows") > limit))
-        for i in counts:
-            _remember(narrow[i], limit, found[i])
+    found: list[DataFrame | None] = [None] * len(tables)
+    counts, totals, snapshots = {}, {}, {}
+    for i, (df, keys) in enumerate(tables):
+        bound = most_rows(df, keys)
+        if bound is None or bound > limit:
+            keyed = df.select(*keys)
+            snapshots[i] = _snapshot(keyed)
+            earlier = _counted_before(keyed, snapshots[i])
+            if earlier:
+                know(df, *earlier)
+                answer = [s for s in earlier if s.keys == tuple(keys) and (s.most <= limit or s.limit == limit)]
+                if answer:
+                    found[i] = answer[0].hot if answer[0].most > limit else None
+                    continue
+            counts[i] = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+            totals[i] = Observation()
+    if not counts:
+        return found
+    # The largest groups of a task first: no second shuffle.
+    tops = [
+        c.select("_rows", F.lit(i).alias("i")).observe(totals[i], F.sum("_rows").alias("rows")).orderBy(F.desc("_rows")).limit(1)
+        for i, c in counts.items()
+    ]
+    top = {row.i: row["_rows"] for row in reduce(DataFrame.unionByName, tops).collect()}
+    for i, count in counts.items():
+        if top.get(i, 0) > limit:
+            found[i] = materialize(count.where(F.col("_rows") > limit))
+        whole = Sizes((), totals[i].get["rows"] or 0)
+        sizes = (Sizes(tuple(tables[i][1]), top.get(i, 0), limit, found[i]), whole)
+        know(tables[i][0], *sizes)
+        memory = _COUNTED.setdefault(tables[i][0].sparkSession, [])
+        memory.append((*snapshots[i], tables[i][0].select(*tables[i][1]).columns, sizes))
+        del memory[:-_REMEMBERED]
     return found
 
 
@@ -135,7 +233,9 @@ class Series:
         self.keys = list(keys)
         self.order = list(order)
         self.reach = reach
-        self.hot = hot_groups(df, self.keys)
+        self.source = df
+        self.changed: set[str] = set()
+        self.hot = hot_groups(df, self.keys, exact=False)
         self.parts = self.keys if self.hot is None else [*self.keys, SEGMENT]
         self.df = df if self.hot is None else self._cut(df)
 
@@ -164,6 +264,7 @@ class Series:
     # -- building ----------------------------------------------------------
 
     def with_columns(self, columns: dict[str, Column]) -> Series:
+        self.changed |= set(columns)
         self.df = self.df.withColumns(columns)
         return self
 
@@ -192,6 +293,7 @@ class Series:
             made = {n: _aggregate(k, c).over(frame) for n, (k, c) in columns.items()}
             return self.with_columns(made)
 
+        self.changed |= set(columns)
         own = {n: (k, F.when(F.col(CORE), c)) for n, (k, c) in columns.items()}
         inputs = self.df.withColumns({f"_in_{n}": c for n, (_, c) in own.items()})
         carried = self._carry(inputs, {n: k for n, (k, _) in own.items()}, backwards)
@@ -212,9 +314,9 @@ class Series:
 
     def rows(self) -> DataFrame:
         """The result: every input row once, without the helper columns."""
-        if self.hot is None:
-            return self.df
-        return self.df.where(CORE).drop(SEGMENT, CORE)
+        out = self.df if self.hot is None else self.df.where(CORE).drop(SEGMENT, CORE)
+        kept = [s for s in known_sizes(self.source) if not self.changed & set(s.keys)]
+        return out if out is self.source else know(out, *kept)
 
     # -- hot groups --------------------------------------------------------
 
@@ -342,13 +444,13 @@ def attach_small(df: DataFrame, small: DataFrame, keys: list[str], rows: int) ->
 
 def attach_totals(df: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
     """Group aggregates on every row of the group, safe for hot groups."""
-    hot = hot_groups(df, keys)
+    hot = hot_groups(df, keys, exact=False)
     whole = Window.partitionBy(*keys)
     if hot is None:
-        return df.withColumns({n: c.over(whole) for n, c in columns.items()})
+        return hand_down(df.withColumns({n: c.over(whole) for n, c in columns.items()}), df)
     marked = mark_hot(df, hot, keys)
     cold = marked.where(F.col("_rows").isNull()).drop("_rows")
     large = marked.where(F.col("_rows").isNotNull()).drop("_rows")
     sums = large.groupBy(*keys).agg(*[c.alias(n) for n, c in columns.items()])
     small = cold.withColumns({n: c.over(whole) for n, c in columns.items()})
-    return small.unionByName(attach_small(large, sums, keys, hot.count()))
+    return hand_down(small.unionByName(attach_small(large, sums, keys, hot.count())), df)

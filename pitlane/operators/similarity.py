@@ -22,7 +22,15 @@ from pyspark.sql.functions import pandas_udf
 from pitlane.constants import DRIVER_KEY, LAP_KEY, SAMPLE_ORDER
 from pitlane.operators.laps import fastest_lap
 from pitlane.operators.motion import accelerations
-from pitlane.operators.series import Series, checked_broadcast, hot_groups_of
+from pitlane.operators.series import (
+    Series,
+    Sizes,
+    checked_broadcast,
+    hand_down,
+    hot_groups_of,
+    know,
+    most_rows,
+)
 from pitlane.settings import (
     WARP_BLOCK,
     WARP_BLOCK_DEFAULT,
@@ -193,7 +201,7 @@ def distances(
     size = setting(samples.sparkSession, WARP_BLOCK, WARP_BLOCK_DEFAULT)
     signals = list(columns)
     long_laps, long_refs = hot_groups_of(
-        [(samples.select(*keys), keys), (references.select(*on), on)], size
+        [(samples, keys), (references, on)], size
     )
     short, long = _split(samples, long_laps, keys)
     ref_short, ref_long = _split(references, long_refs, on)
@@ -213,7 +221,13 @@ def distances(
 
 
 def _tasks(samples: DataFrame, references: DataFrame, keys: list[str], on: list[str]) -> int:
-    """Tasks for the pairs of series, by the cells of their matrices; bytes say little here."""
+    """Tasks for the pairs of series, by the cells of their matrices; bytes say little here.
+
+    Known sizes bound the cells: all samples times the longest reference.
+    """
+    all_rows, longest = most_rows(samples, []), most_rows(references, on)
+    if all_rows is not None and longest is not None:
+        return max(samples.sparkSession.sparkContext.defaultParallelism, all_rows * longest // TASK_CELLS)
     ours = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     theirs = references.groupBy(*on).agg(F.count(F.lit(1)).alias("_m"))
     cells = _join(ours, theirs, on).agg(F.sum(F.col("_n").cast("double") * F.col("_m"))).first()[0]
@@ -305,9 +319,13 @@ def reference_signal(
 
     def of(samples: DataFrame, session: str) -> DataFrame:
         laps = chosen.where(F.col("Session") == session)
-        return samples.join(laps, LAP_KEY, "left_semi")
+        return hand_down(samples.join(laps, LAP_KEY, "left_semi"), samples)
 
-    return accelerations(of(quali_tel, "Q").unionByName(of(race_tel, "R")))
+    both = of(quali_tel, "Q"), of(race_tel, "R")
+    made = accelerations(hand_down(both[0].unionByName(both[1]), *both))
+    # A driver has one reference lap.
+    longest = most_rows(made, LAP_KEY)
+    return made if longest is None else know(made, Sizes(tuple(DRIVER_KEY), longest))
 
 
 STYLE = {"LonAcc": "LonDistanceDTW", "LatAcc": "LatDistanceDTW"}

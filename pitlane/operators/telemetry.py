@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from pitlane.constants import LAP_KEY, SAMPLE_ORDER
 from pitlane.operators.motion import accelerations
 from pitlane.operators.quantiles import percentiles
-from pitlane.operators.series import Series, attach_totals
+from pitlane.operators.series import Series, attach_totals, hand_down, measured
 
 
 def regular_laps(df: DataFrame) -> DataFrame:
     """Rows of whole lap numbers from 1 up; others never form a lap."""
     lap = F.col("LapNumber")
-    return df.where((lap >= 1) & (lap == F.floor(lap)))
+    return hand_down(df.where((lap >= 1) & (lap == F.floor(lap))), df)
 
 
 def with_mean_speed(df: DataFrame, keys: list[str] = LAP_KEY) -> DataFrame:
@@ -32,6 +32,7 @@ def lap_features(
     The windows and the aggregate share the partitioning by `keys`, so samples
     are shuffled once.
     """
+    measured(df, keys)
     return (
         accelerations(regular_laps(df), keys, order)
         .groupBy(*keys)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pitlane.constants import SESSION_COLUMNS
 from pitlane.functions.durations import seconds_to_interval
 from pitlane.operators.laps import join_features, with_fuel
+from pitlane.operators.series import hand_down
 from pitlane.operators.telemetry import lap_features
 
 
@@ -19,4 +20,5 @@ def race_features(laps: DataFrame, telemetry: DataFrame) -> DataFrame:
     """
     joined = join_features(with_fuel(laps), lap_features(telemetry))
     timed = joined.withColumn("LapTime", seconds_to_interval(F.col("LapTime_s")))
-    return timed.select("Year", "Race", *SESSION_COLUMNS, "LapTime_s")
+    # One row for each lap, as features are one row for each lap too.
+    return hand_down(timed.select("Year", "Race", *SESSION_COLUMNS, "LapTime_s"), laps)

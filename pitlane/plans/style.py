@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame
 
 from pitlane.constants import LAP_KEY
 from pitlane.operators.motion import accelerations
+from pitlane.operators.series import hand_down, measured
 from pitlane.operators.similarity import reference_signal, style_distances
 
 
 def landed(laps: DataFrame, telemetry: DataFrame) -> DataFrame:
     """Laps whose telemetry arrived."""
-    return laps.join(telemetry.select(*LAP_KEY), LAP_KEY, "left_semi")
+    return hand_down(laps.join(telemetry.select(*LAP_KEY), LAP_KEY, "left_semi"), laps)
 
 
 def style(
     race_laps: DataFrame, race_tel: DataFrame, quali_laps: DataFrame, quali_tel: DataFrame
 ) -> DataFrame:
+    for samples in (race_tel, quali_tel):
+        measured(samples, LAP_KEY)
     references = reference_signal(
         landed(quali_laps, quali_tel), quali_tel, landed(race_laps, race_tel), race_tel
     )
@@ -25,4 +28,4 @@ def style(
 
 def with_style(laps: DataFrame, distances: DataFrame) -> DataFrame:
     """All laps with their distances; laps without one keep NULL."""
-    return laps.join(distances, LAP_KEY, "left")
+    return hand_down(laps.join(distances, LAP_KEY, "left"), laps)

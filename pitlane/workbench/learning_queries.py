@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from pitlane.constants import LAP_KEY, MODEL_FEATURES
 from pitlane.functions.scalars import quadratic_features
 from pitlane.operators import learning, statistics
+from pitlane.operators.series import hand_down
 from pitlane.plans import evaluation, race, strategy
 from pitlane.plans import style as style_plan
 from pitlane.workbench.book import query, sql
 from pitlane.workbench.lap_queries import SPEED_CTES, STINTS
-from pitlane.workbench.similarity_queries import ARRAYS, style, style_sql
+from pitlane.workbench.similarity_queries import ARRAYS, style_sql
 from pitlane.workbench.telemetry_queries import KEY, LAP_FEATURES, LAP_FUEL
 from pitlane.workbench.views import laps, tel
 
@@ -106,10 +107,10 @@ sql(
 def season(spark, folder):
     """Processed laps with style distances and the track name."""
     own, samples = laps(spark, folder), tel(spark, folder)
-    made = race.race_features(own, samples).drop("LapTime_s")
+    raced = race.race_features(own, samples)
     number = F.substring("Driver", 2, 20).alias("DriverNumber")
-    made = made.select("*", number, F.col("Race").alias("Track"))
-    return style_plan.with_style(made, style(spark, folder))
+    made = raced.drop("LapTime_s").select("*", number, F.col("Race").alias("Track"))
+    return style_plan.with_style(hand_down(made, raced), style_plan.style(own, samples, own, samples))
 
 
 @query("model_dataset")

@@ -10,13 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane.constants import TRACKS
-from pitlane.operators.series import Series
+from pitlane.operators.series import Series, hand_down
 
 RACES = [name for name, _, _ in TRACKS]
 
 
+# Columns of the test tables that laps and samples are made of; reading them needs no look into a file.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def _season(number: str) -> list:
@@ -54,9 +64,10 @@ def laps(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
     driver = orders.withColumn("DriverNumber", F.col("o_custkey").cast("string"))
     numbered = Series(driver, ["DriverNumber"], ["o_orderkey"]).position("LapNumber").rows()
+    # Each order has one customer, and a driver one number and one name.
     joined = numbered.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     key, lap = F.col("o_orderkey"), F.col("LapNumber").cast("int")
-    return joined.select(
+    made = joined.select(
         *_season("o_custkey"),
         "DriverNumber",
         F.concat(F.lit("C"), "DriverNumber").alias("Driver"),
@@ -72,6 +83,7 @@ def laps(spark: SparkSession, folder: str) -> DataFrame:
         (240 + key % 71).cast("double").alias("SpeedI2"),
         (260 + key % 53).cast("double").alias("SpeedFL"),
     )
+    return hand_down(hand_down(made, numbered), numbered, names={"DriverNumber": "Driver"})
 
 
 _RACE_LIST = "[" + ", ".join(f"'{r}'" for r in RACES) + "]"

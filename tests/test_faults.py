@@ -10,7 +10,7 @@ from pitlane.operators.learning import label_encode, train_test_split
 from pitlane.operators.matching import nearest, tag_laps
 from pitlane.operators.motion import outlier_repair
 from pitlane.operators.quantiles import iqr_filter
-from pitlane.operators.series import hot_groups
+from pitlane.operators.series import Series, hand_down, hot_groups, most_rows
 from pitlane.operators.similarity import distances
 from pitlane.settings import BROADCAST_ROWS
 
@@ -132,3 +132,39 @@ def test_text_to_duration(spark):
     assert {r.t: r.us for r in df.select("t", text_micros(F.col("t")).alias("us")).collect()} == cases
     one = df.where("t = '0 days 00:01:31.344000'").select(text_to_interval(F.col("t")).alias("i")).first().i
     assert one.total_seconds() == 91.344
+
+
+def test_counts_do_not_outlive_a_rewrite(spark, hot, tmp_path):
+    path = str(tmp_path / "t")
+    with hot(100):
+        for rows, hot_keys in ((50, None), (5000, 1), (60, None)):
+            spark.range(rows).selectExpr("1 AS k", "id").write.mode("overwrite").parquet(path)
+            found = hot_groups(spark.read.parquet(path), ["k"])
+            assert (found and found.count()) == hot_keys
+
+
+def test_known_sizes_answer_without_a_job(spark, hot):
+    def jobs():
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+    df = spark.range(400).selectExpr("id % 4 AS a", "id % 40 AS b", "id")
+    with hot(150):
+        assert hot_groups(df, ["a"]) is None and most_rows(df, ["a", "b"]) == 100 and most_rows(df, []) == 400
+        part = hand_down(df.where("id < 90"), df)
+        before = jobs()
+        # Groups by more keys and of fewer rows are no larger.
+        assert hot_groups(df, ["b", "a"]) is None and hot_groups(part, ["a"]) is None
+        assert Series(part, ["a"], ["id"]).position("n").rows() is not None
+        assert jobs() == before
+        both = hand_down(part.unionByName(part), part, part)
+        assert most_rows(both, ["a"]) == 200 and hot_groups(both, ["a"]) is None  # counted: 46
+        assert jobs() > before
+    renamed = hand_down(df.withColumnRenamed("a", "c"), df, names={"a": "c"})
+    assert most_rows(renamed, ["c"]) == 100 and most_rows(renamed, ["a"]) == 400
+
+
+def test_columns_that_a_series_replaces_lose_their_sizes(spark):
+    df = spark.range(100).selectExpr("id % 4 AS a", "id")
+    assert hot_groups(df, ["a"]) is None
+    s = Series(df, ["a"], ["id"]).with_columns({"a": F.lit(1)})
+    assert most_rows(s.rows(), ["a"]) == 100  # only the bound of the whole table is left

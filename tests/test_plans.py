@@ -53,3 +53,12 @@ def test_python_only_for_warping(spark):
     for name in ("race_features", "ema", "lap_tagging", "boxplot_stats", "strategy_report"):
         assert "Python" not in plan(QUERIES[name](spark, FOLDER)), name
     assert "ArrowEvalPython" in plan(QUERIES["dtw_distance"](spark, FOLDER))
+
+
+def test_planning_counts_each_source_once(spark):
+    """Sizes are handed down the chain: laps and samples are counted once each."""
+    jobs = spark.sparkContext.statusTracker()
+    for name in ("model_dataset", "dtw_style"):
+        before = len(jobs.getJobIdsForGroup(None))
+        QUERIES[name](spark, FOLDER)
+        assert len(jobs.getJobIdsForGroup(None)) - before <= 5, name
