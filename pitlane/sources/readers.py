@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 
 from pitlane import schemas
 from pitlane.functions.durations import interval_to_seconds
-
-
-# Folder name of a missing partition value.
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+from pitlane.operators.series import hand_down
+from pitlane.sources.landing import NO_VALUE, with_sizes
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -26,21 +24,21 @@ def read_partitioned(
     spark: SparkSession, path: str, schema: str, partitions: str = schemas.PARTITIONS, **only
 ) -> DataFrame:
     """A Parquet table partitioned into folders, limited to the given partition values."""
-    df = spark.read.schema(f"{schema}, {partitions}").parquet(path)
+    df = with_sizes(spark.read.schema(f"{schema}, {partitions}").parquet(path), path)
     tests = [F.col(name) == value for name, value in only.items()]
-    return df.where(reduce(lambda a, b: a & b, tests)) if tests else df
+    return hand_down(df.where(reduce(lambda a, b: a & b, tests)), df) if tests else df
 
 
 def read_laps(spark: SparkSession, path: str, **only) -> DataFrame:
     """Stored laps with `LapTime_s`; `only` may fix Year, Race, Session."""
     laps = read_partitioned(spark, path, schemas.LAPS, **only)
-    return schemas.with_seconds(laps, {"LapTime": "LapTime_s"})
+    return hand_down(schemas.with_seconds(laps, {"LapTime": "LapTime_s"}), laps)
 
 
 def read_telemetry(spark: SparkSession, path: str, **only) -> DataFrame:
     """Stored samples with `Time_s`."""
     samples = read_partitioned(spark, path, schemas.TELEMETRY, **only)
-    return schemas.with_seconds(samples, {"Time": "Time_s"})
+    return hand_down(schemas.with_seconds(samples, {"Time": "Time_s"}), samples)
 
 
 def read_session(spark: SparkSession, laps: str, telemetry: str, **only) -> dict[str, DataFrame]:
@@ -69,7 +67,8 @@ def race_list(spark: SparkSession, path: str) -> DataFrame:
     names = set()
     for depth in ("", "/*"):
         for found in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}{depth}/Race=*")) or []:
-            names.add(unquote(found.getPath().getName().removeprefix("Race=")))
+            if not found.getPath().getParent().getName().startswith(("_", ".")):
+                names.add(unquote(found.getPath().getName().removeprefix("Race=")))
     rows = [(None if name == NO_VALUE else name,) for name in sorted(names)]
     return spark.createDataFrame(rows, "Race STRING")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pitlane import schemas
 from pitlane.functions.durations import interval_micros, interval_text
 from pitlane.operators.shaping import serving_columns
-from pitlane.sources.readers import exists
+from pitlane.sources.landing import land
 
 RACE = ["Year", "Race"]
 SESSION = [*RACE, "Session"]
@@ -27,13 +27,11 @@ def balanced(df: DataFrame, partitions: list[str]) -> DataFrame:
 
 
 def write_if_absent(df: DataFrame, path: str, partitions: list[str] = SESSION) -> None:
-    """Add only partitions that are not stored yet; stored ones are never touched."""
-    spark = df.sparkSession
-    if exists(spark, path):
-        stored = spark.read.parquet(path).select(*partitions).distinct()
-        same = [F.col(p).cast(df.schema[p].dataType) for p in partitions]
-        df = df.join(stored.select(*same), partitions, "left_anti")
-    balanced(df, partitions).write.mode("append").partitionBy(*partitions).parquet(path)
+    """Add only partitions that are not stored yet; stored ones are never touched.
+
+    A partition is stored whole or not at all, whatever breaks on the way (`landing`).
+    """
+    land(df, path, partitions)
 
 
 def write_processed(df: DataFrame, path: str, partitions: list[str] = RACE) -> None:
