@@ -34,14 +34,12 @@ class Files:
     """The few calls of a file system that landing needs."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.jvm = spark._jvm
+        self.make_path = spark._jvm.org.apache.hadoop.fs.Path
+        self.as_text = spark._jvm.org.apache.commons.io.IOUtils.toString
         self.system = self.path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def path(self, *parts: str):
-        made = self.jvm.org.apache.hadoop.fs.Path(parts[0])
-        for part in parts[1:]:
-            made = self.jvm.org.apache.hadoop.fs.Path(made, self.jvm.org.apache.hadoop.fs.Path(None, None, part))
-        return made
+        return self.make_path("/".join(parts))
 
     def exists(self, *parts: str) -> bool:
         return self.system.exists(self.path(*parts))
@@ -53,7 +51,7 @@ class Files:
     def read(self, *parts: str) -> str:
         stream = self.system.open(self.path(*parts))
         try:
-            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self.as_text(stream, "UTF-8")
         finally:
             stream.close()
 
@@ -126,8 +124,10 @@ def land(df: DataFrame, path: str, partitions: list[str]) -> None:
     fresh.hint("rebalance", *partitions).write.partitionBy(*partitions).parquet(staging)
     files = Files(spark, path)
     places = files.partitions(depth, staging)
+    known = set(files.partitions(depth, path))
     for place in places:
-        files.delete(path, *place)  # left over from a broken delivery
+        if place in known:
+            files.delete(path, *place)  # left over from a broken delivery
         files.move((staging, *place), (path, *place))
     files.write(json.dumps([list(p) for p in places]), f"{path}/{MANIFESTS}", f"{name}.json")
     files.delete(staging)
@@ -151,7 +151,7 @@ def note_sizes(spark: SparkSession, path: str, like: DataFrame, places: list[tup
     """Count the new partitions by key, add them to the stored counts and note the largest groups."""
     files, notes = Files(spark, path), []
     table = spark.read.schema(like.schema).parquet(path)
-    fresh = spark.read.schema(like.schema).option("basePath", path).parquet(*[str(files.path(path, *p).toString()) for p in places])
+    fresh = spark.read.schema(like.schema).option("basePath", path).parquet(*["/".join((path, *p)) for p in places])
     for keys in KEYS:
         if not set(keys) <= set(like.columns):
             continue
