@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane import schemas
+from pitlane.constants import LAP_KEY, SAMPLE_ORDER
 from pitlane.functions.durations import interval_micros, interval_text
 from pitlane.operators.shaping import serving_columns
 from pitlane.sources.landing import land
@@ -40,6 +41,22 @@ def write_processed(df: DataFrame, path: str, partitions: list[str] = RACE) -> N
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
+def write_bucketed(
+    samples: DataFrame, table: str, path: str | None = None, keys: list[str] = LAP_KEY,
+    order: list[str] = SAMPLE_ORDER, buckets: int | None = None,
+) -> None:
+    """Store samples as a table of buckets by the lap key, sorted by time in each.
+
+    Windows over a lap and joins by the lap key then read a bucket per task and need no
+    exchange of the samples.  One task writes a bucket's file, so choose `buckets` (default: the
+    shuffle partitions of the session) for the size that the table will have.
+    """
+    number = buckets or int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = samples.repartition(number, *keys).write.mode("overwrite").format("parquet")
+    writer = writer.bucketBy(number, *keys).sortBy(*order)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def write_season(df: DataFrame, path: str) -> int:
     """Write a consolidated season and return its number of rows, counted while writing."""
     seen = Observation()

@@ -63,6 +63,17 @@ def write_processed(spark, folder):
 sql("write_processed", ALL, "SELECT * FROM processed", PROCESSED_DOUBLES, [*CHAIN, PROCESSED])
 
 
+@query("bucketed_features")
+def bucketed_features(spark, folder):
+    """The race job over samples stored in buckets by lap."""
+    table = f"samples_{uuid.uuid4().hex}"
+    writers.write_bucketed(tel(spark, folder), table, scratch_path(spark, "samples"))
+    return lap_time_micros(race.race_features(laps(spark, folder), spark.table(table)))
+
+
+sql("bucketed_features", ALL, "SELECT * FROM processed", PROCESSED_DOUBLES, [*CHAIN, PROCESSED])
+
+
 @query("scan_processed")
 def scan_processed(spark, folder):
     path = stored(spark, folder)

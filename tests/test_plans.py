@@ -8,6 +8,8 @@ import pytest
 from pitlane.constants import LAP_KEY
 from pitlane.operators import laps as lap_ops
 from pitlane.operators import telemetry
+from pitlane.plans.race import race_features
+from pitlane.sources.writers import write_bucketed
 from pitlane.workbench import QUERIES
 from pitlane.workbench.views import laps, tel
 
@@ -62,3 +64,22 @@ def test_planning_counts_each_source_once(spark):
         before = len(jobs.getJobIdsForGroup(None))
         QUERIES[name](spark, FOLDER)
         assert len(jobs.getJobIdsForGroup(None)) - before <= 5, name
+
+
+def test_bucketed_samples_are_not_shuffled(spark, tmp_path):
+    """Windows, sums and the join with laps read the buckets as they lie."""
+    write_bucketed(tel(spark, FOLDER), "samples_in_buckets", str(tmp_path / "b"), buckets=5)
+    samples = spark.table("samples_in_buckets")
+    text = plan(telemetry.lap_features(samples))
+    assert "Exchange" not in text and "Bucketed: true" in text
+    # Of the whole job only laps and their dimensions move.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = plan(race_features(laps(spark, FOLDER), samples))
+        plain = plan(race_features(laps(spark, FOLDER), tel(spark, FOLDER)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joined.count("Exchange hashpartitioning") == plain.count("Exchange hashpartitioning") - 1
+    moved = [line for line in joined.split("\n") if "Exchange" in line]
+    assert moved and not any("SampleId" in line or "Time_s#" in line for line in moved)
+    spark.sql("DROP TABLE samples_in_buckets")
