@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import os
 import random
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Model
 from pyspark.ml.clustering import KMeans
@@ -12,7 +16,7 @@ from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +24,8 @@ from pitlane.constants import MODEL_FEATURES
 from pitlane.functions.durations import durations_to_seconds
 from pitlane.functions.scalars import clean_inf
 from pitlane.operators.laps import renumber_laps
-from pitlane.operators.series import Series, checked_broadcast, hand_down
-from pitlane.settings import materialize
+from pitlane.operators.series import Series, Sizes, checked_broadcast, hand_down, know
+from pitlane.settings import materialize, scratch_path
 
 VECTOR = "_features"
 
@@ -32,31 +36,120 @@ VECTOR = "_features"
 def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
     """Replace text columns by the rank of their value, from 0; NULL stays NULL.
 
-    Ranks come from the distinct values only, numbered over a range shuffle if
-    there are too many for one task.
+    One grouping of (column, value) pairs gives the dictionaries of all columns, written once
+    and counted while written; ranks come from the distinct values only, numbered over a
+    range shuffle if there are too many for one task.
     """
-    for c in columns:
-        values = df.where(F.col(c).isNotNull()).select(c).distinct()
-        ranks = Series(values, [], [c]).position("_rank").rows()
-        codes = ranks.select(c, (F.col("_rank") - 1).cast("int").alias("_code"))
+    spark = df.sparkSession
+    pairs = F.array(*[F.struct(F.lit(i).alias("_of"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(columns)])
+    values = df.select(F.explode(pairs).alias("_p")).select("_p.*").where("_value IS NOT NULL").distinct()
+    seen, path = Observation(), scratch_path(spark, "dictionary")
+    values.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    rows = seen.get["rows"]
+    stored = know(spark.read.schema(values.schema).parquet(path), Sizes((), rows))
+    ranks = Series(stored, ["_of"], ["_value"]).position("_rank").rows()
+    for i, c in enumerate(columns):
+        own = ranks.where(F.col("_of") == i)
+        codes = own.select(F.col("_value").cast(df.schema[c].dataType).alias(c), (F.col("_rank") - 1).cast("int").alias("_code"))
         # Few values with many rows each would gather in few tasks, so their codes are broadcast.
-        codes = checked_broadcast(materialize(codes))
-        df = df.join(codes, c, "left").drop(c).withColumnRenamed("_code", c)
+        df = df.join(checked_broadcast(codes, rows), c, "left").drop(c).withColumnRenamed("_code", c)
     return df
 
 
-def _parts(df: DataFrame, order: list[str], starts) -> DataFrame:
+# A bin of a histogram is looked into only down to so many rows.
+BIN_ROWS = 5_000
+DIGITS = 4
+
+
+def sort_code(df: DataFrame, order: list[str]) -> Column | None:
+    """Text of hexadecimal digits that sorts like the order columns; None for types without such a text."""
+    parts = []
+    for c in order:
+        kind, value = df.schema[c].dataType, F.col(c)
+        if isinstance(kind, T.StringType):
+            code = F.hex(F.encode(value, "UTF-8"))
+        elif isinstance(kind, T.IntegralType):
+            code = F.lpad(F.hex(value.cast("long").bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+        else:
+            return None
+        # A blank sorts before every digit; missing values come first.
+        parts.append(F.coalesce(F.concat(F.lit("1"), code, F.lit(" ")), F.lit("0 ")))
+    return F.concat(*parts)
+
+
+def rank_cuts(codes: DataFrame, ranks: Callable[[int], list[int]], skip: int = 0) -> list[str | None]:
+    """The codes (column `code`) at some 1-based ranks; None beyond the last row.
+
+    A histogram of the leading digits shows in which bins the ranks fall; only those bins are
+    divided again, until few rows are left to look at.  Nothing is numbered or moved.
+    """
+    def histogram(width: int, rows: DataFrame) -> dict[str, int]:
+        bins = rows.groupBy(F.substring("code", 1, width).alias("bin")).count()
+        return {r.bin: r["count"] for r in bins.collect()}
+
+    width = skip + DIGITS
+    bins = histogram(width, codes)
+    wanted = ranks(sum(bins.values()))
+
+    def places(bins: dict[str, int], ranks_in: dict[int, int]) -> dict[int, tuple[str, int, int]]:
+        """{index of the rank: (bin, rank inside it, rows of the bin)}."""
+        out, order, before, at = {}, sorted(ranks_in, key=ranks_in.get), 0, 0
+        for name in sorted(bins):
+            while at < len(order) and ranks_in[order[at]] <= before + bins[name]:
+                out[order[at]] = (name, ranks_in[order[at]] - before, bins[name])
+                at += 1
+            before += bins[name]
+        return out
+
+    found = places(bins, dict(enumerate(wanted)))
+    done: dict[int, str] = {}
+    while True:
+        open_ = {i: p for i, p in found.items() if p[2] > BIN_ROWS and i not in done}
+        if not open_:
+            break
+        inside = codes.where(F.substring("code", 1, width).isin(sorted({p[0] for p in open_.values()})))
+        width += DIGITS
+        deeper = histogram(width, inside)
+        for i, (name, rank, _) in open_.items():
+            mine = {b: n for b, n in deeper.items() if b.startswith(name)}
+            found[i] = places(mine, {i: rank})[i]
+            if all(len(b) < width for b in mine) or found[i][0] == name:
+                done[i] = found[i][0]  # equal codes, which no longer prefix divides
+    ask = {i: p for i, p in found.items() if i not in done}
+    if ask:
+        tests = [F.col("code").startswith(name) for name in sorted({p[0] for p in ask.values()})]
+        few = sorted(r.code for r in codes.where(reduce(lambda a, b: a | b, tests)).collect())
+        for i, (name, rank, _) in ask.items():
+            done[i] = [c for c in few if c.startswith(name)][rank - 1]
+    return [done.get(i) for i in range(len(wanted))]
+
+
+def _common(codes: DataFrame) -> int:
+    """How many leading digits all codes share."""
+    low, high = codes.agg(F.min("code"), F.max("code")).first()
+    return len(os.path.commonprefix([low or "", high or ""]))
+
+
+def _parts(df: DataFrame, order: list[str], starts: Callable[[int], list[int]], code: Column | None = None) -> DataFrame:
     """Add `_part`: how many of the given parts start at or before the row.
 
-    `starts` gives the 1-based first positions of the parts after the first one,
-    as an array over the row count `_n`.  Only the order columns are numbered;
-    the few rows found at those positions then divide the whole table without
-    moving it.
+    `starts` gives the 1-based first ranks of the parts after the first one for a number of
+    rows.  The codes found at those ranks are literals in the plan of the whole table.
     """
+    made = sort_code(df, order) if code is None else code
+    if made is None:
+        return _parts_by_position(df, order, starts)
+    codes = df.select(made.alias("code"))
+    cuts = rank_cuts(codes, starts, 0 if code is not None else _common(codes))
+    at_or_after = [F.when(made >= F.lit(c), 1).otherwise(0) for c in cuts if c is not None]
+    return df.withColumn("_part", reduce(lambda a, b: a + b, at_or_after, F.lit(0)))
+
+
+def _parts_by_position(df: DataFrame, order: list[str], starts: Callable[[int], list[int]]) -> DataFrame:
+    """`_parts` for order columns without a sort code: rows are numbered, only their order columns move."""
     narrow = materialize(df.select(*order))
     placed = Series(narrow, [], order).position("_at").rows()
-    size = F.broadcast(narrow.agg(F.count(F.lit(1)).alias("_n")))
-    first = placed.join(size).where(F.array_contains(starts(F.col("_n")), F.col("_at")))
+    first = placed.where(F.col("_at").isin(starts(narrow.count())))
     bounds = first.agg(F.collect_list(F.struct(*order)).alias("_bounds"))
     wide = df.join(F.broadcast(bounds))
     row = F.struct(*order)
@@ -70,25 +163,19 @@ def train_test_split(
     """Add `Part`: the first ceil(share * n) rows by a seeded hash of the keys are "test".
 
     The hash is the MD5 of the keys and the seed joined by ``|``, so any engine can repeat it.
+    Rows with equal keys are in one part.
     """
-    hashed = df.withColumn("_hash", F.md5(F.concat_ws("|", *keys, F.lit(seed)).cast("binary")))
-
-    def starts(n: Column) -> Column:
-        return F.array(F.ceil(n * share) + 1)
-
-    parted = _parts(hashed, ["_hash", *keys], starts)
+    code = F.md5(F.concat_ws("|", *keys, F.lit(seed)).cast("binary"))
+    parted = _parts(df, keys, lambda n: [math.ceil(n * share) + 1], code)
     part = F.when(F.col("_part") == 0, "test").otherwise("train")
-    return parted.withColumn("Part", part).drop("_hash", "_part")
+    return parted.withColumn("Part", part).drop("_part")
 
 
 def kfold(df: DataFrame, order: list[str], folds: int = 5) -> DataFrame:
     """Add `Fold`, 0-based contiguous folds; the first n % k are one row longer."""
 
-    def starts(n: Column) -> Column:
-        size, extra = F.floor(n / folds), n % folds
-        return F.array(
-            *[F.lit(i) * size + F.least(F.lit(i).cast("long"), extra) + 1 for i in range(1, folds)]
-        )
+    def starts(n: int) -> list[int]:
+        return [i * (n // folds) + min(i, n % folds) + 1 for i in range(1, folds)]
 
     return _parts(df, order, starts).withColumnRenamed("_part", "Fold")
 

@@ -145,3 +145,52 @@ def test_evaluation(table):
     rows = evaluation.evaluate(keyed, ["Kind", "a", "b"], "y", ["id"], ["Kind"], maxIter=3).collect()
     assert {r.Track for r in rows} == {"x", "y", "z"}
     assert all(r.Linear_R2 > 0.9 and r.Boosted_R2 > 0.5 for r in rows)
+
+
+def rows_of(spark, n, seed=5):
+    draw = np.random.default_rng(seed)
+    names = ["", "a", "ab", "b", "é", "\U00010000", "￿", None]
+    rows = [(names[draw.integers(8)], int(draw.integers(-(2**62), 2**62)) if i % 3 else int(i), i) for i in range(n)]
+    return spark.createDataFrame(rows, "s string, x long, i int"), rows
+
+
+@pytest.mark.parametrize("limit", [1, 7, 5000])
+def test_cuts_by_histogram_are_exact(spark, monkeypatch, limit):
+    monkeypatch.setattr(learning, "BIN_ROWS", limit)
+    df, rows = rows_of(spark, 401)
+    found = {r.i: r.Fold for r in learning.kfold(df, ["s", "x", "i"], 7).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1], r[2]))
+    size = [401 // 7 + (i < 401 % 7) for i in range(7)]
+    want = {r[2]: f for r, f in zip(order, [f for f, n in enumerate(size) for _ in range(n)])}
+    assert found == want
+    parts = learning.train_test_split(df, ["i"], 0.3, 9).where("Part = 'test'")
+    assert parts.count() == math.ceil(401 * 0.3)
+
+
+def test_equal_codes_and_other_types(spark, monkeypatch):
+    monkeypatch.setattr(learning, "BIN_ROWS", 3)
+    same = spark.createDataFrame([("k", i) for i in range(40)], "k string, i int")
+    assert {r.Fold for r in learning.kfold(same, ["k"], 4).collect()} == {3}  # no cut inside equal rows
+    real = spark.createDataFrame([(float(i),) for i in range(10)], "x double")
+    assert [r.Fold for r in learning.kfold(real, ["x"], 5).orderBy("x").collect()] == [i // 2 for i in range(10)]
+    assert learning.kfold(same.limit(0), ["k"], 4).count() == 0
+
+
+def test_planning_jobs_of_preparation(spark, tmp_path):
+    """A split starts three jobs, dictionaries of any number of columns two."""
+    path = str(tmp_path / "t")
+    spark.range(3000).selectExpr("id", *[f"cast(id % {n} AS string) AS c{n}" for n in range(2, 12)]).write.parquet(path)
+    df = spark.read.parquet(path)
+    jobs = spark.sparkContext.statusTracker()
+
+    def started(make):
+        before = len(jobs.getJobIdsForGroup(None))
+        make()
+        return len(jobs.getJobIdsForGroup(None)) - before
+
+    assert started(lambda: learning.train_test_split(df, ["id"])) <= 3
+    assert started(lambda: learning.kfold(df, ["id"])) <= 5
+    text = [f"c{n}" for n in range(2, 12)]
+    assert started(lambda: learning.label_encode(df, text)) <= 3
+    made = learning.label_encode(df, text).agg(*[F.max(c).alias(c) for c in text]).first()
+    assert list(made) == [n - 1 for n in range(2, 12)]
