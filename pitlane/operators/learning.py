@@ -8,6 +8,7 @@ import random
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Model
 from pyspark.ml.clustering import KMeans
@@ -24,6 +25,7 @@ from pitlane.constants import MODEL_FEATURES
 from pitlane.functions.durations import durations_to_seconds
 from pitlane.functions.scalars import clean_inf
 from pitlane.operators.laps import renumber_laps
+from pitlane.operators.statistics import standard_scale
 from pitlane.operators.series import Series, Sizes, checked_broadcast, hand_down, know
 from pitlane.settings import materialize, scratch_path
 
@@ -227,9 +229,10 @@ def linear(df: DataFrame, features: list[str], label: str) -> Fitted:
 
 
 def tree(
-    df: DataFrame, features: list[str], label: str, depth: int = 5, leaf: int = 1, seed: int = 12
+    df: DataFrame, features: list[str], label: str, depth: int = 5, leaf: int = 1, seed: int = 12, bins: int = 32
 ) -> Fitted:
-    made = DecisionTreeRegressor(maxDepth=depth, minInstancesPerNode=leaf, seed=seed)
+    """A regression tree; with more `bins` than a feature has values every split is tried."""
+    made = DecisionTreeRegressor(maxDepth=depth, minInstancesPerNode=leaf, seed=seed, maxBins=bins)
     return _fit(made, df, features, label)
 
 
@@ -315,20 +318,82 @@ def cross_validated_mse(
         ready.unpersist()
 
 
-# Search spaces: parameter name and a draw from its range.
-TREE_SPACE = {
-    "maxDepth": lambda r: r.randint(2, 20),
-    "minInstancesPerNode": lambda r: r.randint(1, 10),
-}
+@dataclass(frozen=True)
+class Range:
+    """The values a parameter may take: numbers from low to high, whole or not, or as text."""
+
+    low: float
+    high: float
+    whole: bool = False
+    text: bool = False
+
+    def __call__(self, draw: random.Random) -> float:
+        return draw.randint(int(self.low), int(self.high)) if self.whole else draw.uniform(self.low, self.high)
+
+    def bells(self, values: list[float]) -> list[tuple[float, float]]:
+        """(centre, width) around each value: as wide as the larger gap beside it."""
+        order = [self.low, *sorted(values), self.high]
+        least = (self.high - self.low) / min(100, len(values) + 1)
+        return [(v, max(v - before, after - v, least)) for before, v, after in zip(order, order[1:], order[2:])]
+
+    def near(self, bells: list[tuple[float, float]], draw: random.Random) -> float:
+        """A draw from one of the bells, or now and then from the whole range."""
+        i = draw.randrange(len(bells) + 1)
+        if i == len(bells):
+            return self(draw)
+        value = min(max(draw.gauss(*bells[i]), self.low), self.high)
+        return round(value) if self.whole else value
+
+    def density(self, value: float, bells: list[tuple[float, float]]) -> float:
+        even = 1 / (self.high - self.low)
+        return (sum(math.exp(-(((value - c) / w) ** 2) / 2) / (2.5066 * w) for c, w in bells) + even) / (len(bells) + 1)
+
+
+# Search spaces: parameter name and its range.
+TREE_SPACE = {"maxDepth": Range(2, 20, whole=True), "minInstancesPerNode": Range(1, 10, whole=True)}
 BOOSTED_SPACE = {
-    "maxDepth": lambda r: r.randint(3, 10),
-    "stepSize": lambda r: r.uniform(0.01, 0.3),
-    "maxIter": lambda r: r.randint(50, 300),
-    "minInstancesPerNode": lambda r: r.randint(1, 7),
-    "subsamplingRate": lambda r: r.uniform(0.6, 1.0),
-    "featureSubsetStrategy": lambda r: str(r.uniform(0.6, 1.0)),
-    "minInfoGain": lambda r: r.uniform(0.0, 5.0),
+    "maxDepth": Range(3, 10, whole=True),
+    "stepSize": Range(0.01, 0.3),
+    "maxIter": Range(50, 300, whole=True),
+    "minInstancesPerNode": Range(1, 7, whole=True),
+    "subsamplingRate": Range(0.6, 1.0),
+    "featureSubsetStrategy": Range(0.6, 1.0, text=True),
+    "minInfoGain": Range(0.0, 5.0),
 }
+WARM_UP, GOOD_SHARE, CANDIDATES = 8, 0.15, 24
+
+
+def next_trial(space: dict, tried: list[tuple[dict, float]], draw: random.Random) -> dict:
+    """Parameters worth trying next.
+
+    The first trials are even draws.  Later, of every parameter some values are drawn near
+    those of the best trials, and the one is taken whose density among the
+    good trials is highest against its density among the others.
+    """
+    ranged = all(isinstance(r, Range) for r in space.values())
+    if len(tried) < WARM_UP or not ranged:
+        return {name: pick(draw) for name, pick in space.items()}
+    order = sorted(tried, key=lambda t: t[1])
+    size = max(2, math.ceil(GOOD_SHARE * len(order)))
+    good, bad = order[:size], order[size:]
+    made = {}
+    for name, r in space.items():
+        best, rest = (r.bells([t[0][name] for t in part]) for part in (good, bad))
+        options = [r.near(best, draw) for _ in range(CANDIDATES)]
+        made[name] = max(options, key=lambda v: r.density(v, best) / r.density(v, rest))
+    return made
+
+
+def adaptive_search(
+    space: dict, evaluate: Callable[[list[dict]], list[float]], trials: int, batch: int = 4, seed: int = 42
+) -> list[tuple[dict, float]]:
+    """Parameters and scores of all trials; `batch` of them are evaluated at once, then the next are drawn."""
+    draw = random.Random(seed)
+    tried: list[tuple[dict, float]] = []
+    while len(tried) < trials:
+        some = [next_trial(space, tried, draw) for _ in range(min(batch, trials - len(tried)))]
+        tried += zip(some, evaluate(some), strict=True)
+    return tried
 
 
 def tune(
@@ -342,34 +407,41 @@ def tune(
     parallelism: int = 4,
     seed: int = 42,
 ) -> tuple[Fitted, DataFrame]:
-    """Random search for the parameters with the least cross-validated MSE.
+    """Adaptive search for the parameters with the least cross-validated MSE.
 
-    Returns the model refitted with the best parameters and one row per trial.
+    `parallelism` trials are fitted at once.  Returns the model refitted with the best
+    parameters and one row per trial.
     """
-    draw = random.Random(seed)
-    grid = []
-    for _ in range(trials):
-        grid.append({estimator.getParam(name): pick(draw) for name, pick in space.items()})
+    estimator = estimator.setFeaturesCol(VECTOR).setLabelCol(label)
+
+    def settings(trial: dict) -> dict:
+        text = {n for n, r in space.items() if isinstance(r, Range) and r.text}
+        return {estimator.getParam(n): str(v) if n in text else v for n, v in trial.items()}
+
     known = df.select(*features, F.col(label).cast("double").alias(label)).dropna()
-    ready = assemble(known, features).persist()
+    fold = (F.abs(F.xxhash64(F.lit(seed), *known.columns) % folds)).alias("_fold")
+    ready = assemble(known.select("*", fold), features).select(VECTOR, label, "_fold").persist()
     try:
-        validator = CrossValidator(
-            estimator=estimator.setFeaturesCol(VECTOR).setLabelCol(label),
-            estimatorParamMaps=grid,
-            evaluator=RegressionEvaluator(labelCol=label, metricName="mse"),
-            numFolds=folds,
-            parallelism=parallelism,
-            seed=seed,
-        )
-        found = validator.fit(ready)
+        judge = RegressionEvaluator(labelCol=label, metricName="mse")
+
+        def fold_error(job: tuple[dict, int]) -> float:
+            trial, i = job
+            model = estimator.fit(ready.where(F.col("_fold") != i), settings(trial))
+            return judge.evaluate(model.transform(ready.where(F.col("_fold") == i)))
+
+        def evaluate(some: list[dict]) -> list[float]:
+            with ThreadPool(parallelism) as pool:
+                errors = pool.map(fold_error, [(t, i) for t in some for i in range(folds)])
+            return [sum(errors[i : i + folds]) / folds for i in range(0, len(errors), folds)]
+
+        tried = adaptive_search(space, evaluate, trials, parallelism, seed)
+        best = min(tried, key=lambda t: t[1])[0]
+        model = estimator.fit(ready, settings(best))
     finally:
         ready.unpersist()
-    rows = [
-        (i, ", ".join(f"{p.name}={v}" for p, v in params.items()), float(score))
-        for i, (params, score) in enumerate(zip(grid, found.avgMetrics))
-    ]
+    rows = [(i, ", ".join(f"{n}={v}" for n, v in params.items()), float(score)) for i, (params, score) in enumerate(tried)]
     table = df.sparkSession.createDataFrame(rows, "trial int, params string, MSE double")
-    return Fitted(found.bestModel, features), table
+    return Fitted(model, features), table
 
 
 # -- grouping and projection -----------------------------------------------
@@ -393,12 +465,57 @@ def cluster(df: DataFrame, features: list[str], k: int = 3, seed: int = 42) -> D
     return model.transform(ready).drop("_scaled")
 
 
+def lloyd(
+    df: DataFrame, keys: list[str], features: list[str], k: int = 3, steps: int = 8, seed: int = 42
+) -> DataFrame:
+    """(keys, Cluster): k-means that any engine can repeat.
+
+    Features are scaled by their population deviation.  The first centroid is the row with the
+    least MD5 of keys and seed, each further one the row farthest from those chosen, ties to
+    the lesser hash; then a fixed number of steps assigns rows to the nearest centroid (ties
+    to the smaller number) and moves it to their mean.  Rows with a missing feature are left
+    out; an empty cluster keeps its centroid.  The driver sees k centroids a step.
+    """
+    known = standard_scale(df.dropna(subset=features), features)
+    mark = F.md5(F.concat_ws("|", *keys, F.lit(seed)).cast("binary")).alias("_mark")
+    path = scratch_path(df.sparkSession, "points")
+    known.select(*keys, mark, F.array(*[F.col(c) for c in features]).alias("_x")).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+
+    def apart(centre: list[float]) -> Column:
+        gaps = F.transform("_x", lambda x, i: x - F.element_at(F.array(*[F.lit(float(v)) for v in centre]), i + 1))
+        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap * gap)
+
+    first = rows.orderBy("_mark").first()
+    if first is None:
+        return rows.select(*keys, F.lit(0).alias("Cluster"))
+    centres = [first["_x"]]
+    while len(centres) < k:
+        nearest = F.array_min(F.array(*[apart(c) for c in centres]))
+        centres.append(rows.orderBy(nearest.desc(), "_mark").first()["_x"])
+
+    def own() -> Column:
+        distances = F.array(*[apart(c) for c in centres])
+        return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+
+    for _ in range(steps):
+        means = [F.avg(F.element_at("_x", i + 1)).alias(f"m{i}") for i in range(len(features))]
+        for r in rows.groupBy(own().alias("Cluster")).agg(*means).collect():
+            centres[r.Cluster] = list(r[1:])
+    return rows.select(*keys, own().alias("Cluster"))
+
+
 def project(df: DataFrame, features: list[str], k: int = 2) -> DataFrame:
-    """Add `PC1`, `PC2`, ...: the leading components of the scaled features."""
+    """Add `PC1`, `PC2`, ...: the leading components of the scaled features.
+
+    A component points to where its largest loading is positive.
+    """
     ready = scaled_vectors(df, features)
     model = PCA(k=k, inputCol="_scaled", outputCol="_pc").fit(ready)
     parts = vector_to_array(F.col("_pc"))
-    made = model.transform(ready).withColumns({f"PC{i + 1}": parts[i] for i in range(k)})
+    loadings = model.pc.toArray()
+    signs = [1.0 if loadings[abs(loadings[:, i]).round(9).argmax(), i] >= 0 else -1.0 for i in range(k)]
+    made = model.transform(ready).withColumns({f"PC{i + 1}": parts[i] * signs[i] for i in range(k)})
     return made.drop("_scaled", "_pc")
 
 

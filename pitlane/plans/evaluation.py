@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pitlane.operators import learning, statistics
 from pitlane.operators.quantiles import iqr_filter
 from pitlane.operators.shaping import drop_missing, melt, of_drivers
+from pitlane.settings import materialize
 
 
 def evaluate(
@@ -27,13 +28,11 @@ def evaluate(
     """
     ready = learning.numeric(learning.label_encode(dataset, text), features)
     ready = statistics.standard_scale(ready, features)
-    parts = learning.train_test_split(ready, keys, 0.2, seed).persist()
-    try:
-        train = parts.where(F.col("Part") == "train")
-        boosted = learning.boosted(train, features, label, **params)
-        linear = learning.linear(train, features, label)
-    finally:
-        parts.unpersist()
+    # Stored, as both fits and the scores, which are read later, go over the same rows.
+    parts = materialize(learning.train_test_split(ready, keys, 0.2, seed))
+    train = parts.where(F.col("Part") == "train")
+    boosted = learning.boosted(train, features, label, **params)
+    linear = learning.linear(train, features, label)
     scored = linear.score(boosted.score(parts, "Boosted"), "Linear")
     return statistics.regression_metrics(
         scored, label, {"Boosted": "Boosted", "Linear": "Linear"}, [group]

@@ -9,6 +9,7 @@ from pitlane.constants import DRIVER_KEY, LAP_KEY
 from pitlane.functions import durations, scalars
 from pitlane.operators import laps as lap_ops
 from pitlane.operators import quantiles, shaping, statistics, telemetry
+from pitlane.workbench import algebra
 from pitlane.workbench.book import query, sql
 from pitlane.workbench.telemetry_queries import KEY, LAP_FEATURES, LAP_FUEL, STEPS
 from pitlane.workbench.views import _RACE_LIST, RACES, _season, laps, table, tel
@@ -681,14 +682,22 @@ sql(
 
 @query("vif")
 def vif(spark, folder):
-    return statistics.variance_inflation(laps(spark, folder), ["LapTime_s", "SpeedI1"])
+    return statistics.variance_inflation(laps(spark, folder), INFLATED)
 
 
+INFLATED = ["TyreLife", "SpeedI1", "SpeedI2", "SpeedFL", "Position", "LapTime_s"]
 sql(
     "vif", "laps",
-    """SELECT unnest(['LapTime_s', 'SpeedI1']) AS feature, 1 / (1 - c * c) AS VIF FROM
-       (SELECT corr(LapTime_s, SpeedI1) AS c FROM laps)""",
+    f"SELECT unnest({INFLATED}) AS feature, unnest(list_transform(range(1, {len(INFLATED) + 1}), "
+    f"lambda i: m[i][{len(INFLATED)} + i])) AS VIF FROM solved WHERE j = {len(INFLATED) + 1}",
     "VIF",
+    [
+        "complete AS (SELECT * FROM laps WHERE LapTime_s IS NOT NULL AND SpeedI1 IS NOT NULL)",
+        "related AS (SELECT 0 AS g, ["
+        + ", ".join("[" + ", ".join(f"corr({a}, {b})" for b in INFLATED) + "]" for a in INFLATED)
+        + "] AS a FROM complete)",
+        algebra.inverse("solved", "related", len(INFLATED)),
+    ],
 )
 
 
@@ -762,17 +771,15 @@ sql(
 
 @query("paired_ttest")
 def paired_ttest(spark, folder):
-    made = statistics.paired_ttest(predicted(spark, folder), "LapTime_s", "Guess")
-    return made.select("n", "df", "statistic", "significant")
+    return statistics.paired_ttest(predicted(spark, folder), "LapTime_s", "Guess")
 
 
 sql(
     "paired_ttest", "laps",
-    """SELECT count(d) AS n, count(d) - 1 AS df,
-              avg(d) / (stddev_samp(d) / sqrt(count(d))) AS statistic,
-              abs(avg(d) / (stddev_samp(d) / sqrt(count(d)))) > 1.9601e0 AS significant
-       FROM (SELECT LapTime_s - SpeedI1 / 5 AS d FROM laps)""",
-    "statistic",
+    f"""SELECT *, pvalue < 0.05e0 AS significant FROM (SELECT *, {algebra.two_sided_p("statistic", "df")} AS pvalue FROM (
+          SELECT count(d) AS n, count(d) - 1 AS df, avg(d) / (stddev_samp(d) / sqrt(count(d))) AS statistic
+          FROM (SELECT LapTime_s - SpeedI1 / 5 AS d FROM laps)))""",
+    "statistic pvalue",
 )
 
 

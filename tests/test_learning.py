@@ -1,10 +1,11 @@
 """Statistics and models against direct calculation."""
 
 import math
+import random
 
 import numpy as np
 import pytest
-from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
 from pitlane.constants import MODEL_FEATURES
@@ -194,3 +195,53 @@ def test_planning_jobs_of_preparation(spark, tmp_path):
     assert started(lambda: learning.label_encode(df, text)) <= 3
     made = learning.label_encode(df, text).agg(*[F.max(c).alias(c) for c in text]).first()
     assert list(made) == [n - 1 for n in range(2, 12)]
+
+
+def surface(trial):
+    """One valley, narrow in x and wide in y, with a slope that whole numbers see."""
+    return (trial["x"] - 0.83) ** 2 * 40 + (trial["y"] - 3.1) ** 2 + abs(trial["n"] - 17) / 4
+
+
+def test_adaptive_search_beats_even_draws():
+    space = {"x": learning.Range(0, 1), "y": learning.Range(-5, 10), "n": learning.Range(1, 40, whole=True)}
+    better = 0
+    for seed in range(60):
+        tried = learning.adaptive_search(space, lambda some: [surface(t) for t in some], 60, 4, seed)
+        assert len(tried) == 60 and all(r.low <= t[name] <= r.high for t, _ in tried for name, r in space.items())
+        draw = random.Random(1000 + seed)
+        even = min(surface({name: pick(draw) for name, pick in space.items()}) for _ in range(60))
+        better += min(score for _, score in tried) < even
+    assert better >= 38  # of 60: even odds would give so many in one of forty cases
+    assert all(isinstance(t["n"], int) for t, _ in tried)
+
+
+def test_search_of_the_boosted_space(table, points):
+    """Every parameter of the space reaches the estimator; rounds are few to keep the test short."""
+    space = {**learning.BOOSTED_SPACE, "maxIter": learning.Range(2, 3, whole=True), "maxDepth": learning.Range(3, 4, whole=True)}
+    best, trials = learning.tune(GBTRegressor(seed=1), space, table, ["a", "b"], "y", 3, 2)
+    row = trials.orderBy("MSE").first()
+    assert trials.count() == 3 and all(name in row.params for name in space)
+    assert learning.mse(best.score(table), "y") < points[2].var()
+
+
+def test_repeatable_clusters(spark):
+    draw = np.random.default_rng(3)
+    middle = [(0, 0), (6, 0), (0, 8), (9, 9)]
+    rows = [(i, *(float(m + d) for m, d in zip(middle[i % 4], draw.normal(size=2)))) for i in range(200)]
+    df = spark.createDataFrame([*rows, (900, None, 1.0)], "id int, a double, b double")
+    found = {r.id: r.Cluster for r in learning.lloyd(df, ["id"], ["a", "b"], 4).collect()}
+    assert len(found) == 200 and len({(i % 4, c) for i, c in found.items()}) == 4
+    again = learning.lloyd(df.repartition(7), ["id"], ["a", "b"], 4).collect()
+    assert found == {r.id: r.Cluster for r in again}
+    same = spark.createDataFrame([(i, 1.0, 2.0) for i in range(5)], df.schema)
+    assert {r.Cluster for r in learning.lloyd(same, ["id"], ["a", "b"], 3).collect()} == {0}
+    assert learning.lloyd(same.limit(0), ["id"], ["a", "b"], 3).count() == 0
+
+
+def test_components_point_to_their_largest_loading(table, points):
+    values, vectors = np.linalg.eigh(np.corrcoef(points))
+    z = np.array([(p - p.mean()) / p.std(ddof=1) for p in points]).T
+    for i in (1, 2):
+        axis = vectors[:, -i] * np.sign(vectors[np.abs(vectors[:, -i]).argmax(), -i])
+        got = [r[0] for r in learning.project(table, ["a", "b", "y"]).orderBy("id").select(f"PC{i}").collect()]
+        assert got == pytest.approx(list(z @ axis))
