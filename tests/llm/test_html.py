@@ -74,3 +74,85 @@ def test_whole_pages_equal_their_article(spark):
         inner = re.split("</?article>", pages[r.page_id])[1]
         want = words(html.unescape(re.sub("<(br|/?p|/?h1)>", " ", inner).replace("<b>", "").replace("</b>", "")))
         assert r.text == want and r.n_chars == len(want)
+
+
+PAGES = [
+    # Optional end tags.
+    (f"<ul><li class='nav-item'>Home<li class='nav-item'>Other</ul><p>{LONG}</p>", LONG),
+    (f"<datalist><option value=a>A<option value=b>B</datalist><p>{LONG}</p>", LONG),
+    (f"<article><table><tr><td class=ad>Buy<td>cell<tr><td>two</table><dl><dt>t<dd class='related'>x<dt>u<dd>v</dl><p>{LONG}</article>", f"cell two t u v {LONG}"),
+    (f"<body><p class=advert>Buy now {LONG}<p>{LONG}<div class=share>Share</div><p>End.", f"{LONG} End."),
+    # Whole class tokens only.
+    (f"<article><p>{LONG}</p><div class='share-price-table'>12.5</div><section class='social-history'>h</section><section id='side-effects'>e</section></article>", f"{LONG} 12.5 h e"),
+    (f"<body><div class='share-price-story'><p>{LONG}</p></div></body>", LONG),
+    (f"<article><div class='ad-box'>{LONG}</div><div class='relatedPosts'>r</div><p>{LONG}</p><div id='cookie_notice'>c</div></article>", LONG),
+    # Reader comments.
+    (f"<article><p>{LONG}</p></article><section class='comments'><article class='comment'>{LONG}</article></section>", LONG),
+    (f"<article><p>{LONG}</p><div id='comments'><article class='comment-body'>{LONG}</article></div></article>", LONG),
+    (f"<aside><article>Teaser {LONG}</article></aside><main><p>{LONG}</p></main>", LONG),
+    (f"<article><p>{LONG}</p><p class='advert'>Buy</p></article><article class='comment'>Reader {LONG}</article>", LONG),
+    # Short lines around the text, without an article element.
+    (f"<body><h1>Title</h1><p>{LONG}</p><ul><li>a<li>b<li>c<li>d<li>e</ul><p>Last words.</p></body>", f"Title {LONG} a b c d e Last words."),
+    (f"<body><div>Menu</div><div><h1>T</h1><p>{LONG}</p><ul><li>a</li><li>b</li><li>c</li><li>d</li></ul><p>x</p></div><div>tail</div>", f"T {LONG} a b c d x"),
+    # Never closed, and closed twice.
+    (f"<div class=menu>m<article><p>{LONG}</article>", LONG), (f"<article></div></span><p>{LONG}</p></b></article></article>", LONG),
+    (f"<article><p><a href=x>one <a href=y>two</a> {LONG}</p></article>", f"one two {LONG}"),
+    (f"<article><article><p>in {LONG}</p></article><p>out</p></article>", f"in {LONG} out"),
+    (f"<article><span class=ad>buy <span>this</span> now</span><p>{LONG}</p></article>", LONG),
+]
+
+
+@pytest.mark.parametrize("page,text", PAGES)
+def test_structure(page, text):
+    assert main_text(page) == words(text)
+
+
+def test_random_pages_equal_a_plain_reader():
+    """Pages of nested blocks, some of them boilerplate, against the text they were made of."""
+    import random
+
+    draw = random.Random(10)
+    noise = ["<nav>{}</nav>", "<aside>{}</aside>", "<div class='ad'>{}</div>", "<section id='comments'>{}</section>", "<p class='share-links'>{}</p>"]
+    blocks = ["<p>{}</p>", "<p>{}", "<div>{}</div>", "<blockquote><p>{}</blockquote>", "<ul><li>{}<li class='x-y'>{}</ul>", "<section class='price-ad-history'>{}</section>"]
+    count = [0]
+
+    def sentence():
+        count[0] += 1
+        return f"Sentence {count[0]} " + "with words " * draw.randint(0, 20) + "ends."
+
+    def made(depth):
+        """(markup, kept sentences)"""
+        markup, kept = [], []
+        for _ in range(draw.randint(1, 4)):
+            if draw.random() < 0.25:
+                markup.append(draw.choice(noise).format(sentence()))
+            elif depth and draw.random() < 0.3:
+                inner = made(depth - 1)
+                markup.append(draw.choice(["<div>{}</div>", "<section>{}</section>", "<article>{}</article>"]).format(inner[0]))
+                kept += inner[1]
+            else:
+                block = draw.choice(blocks)
+                own = [sentence() for _ in range(block.count("{}"))]
+                markup.append(block.format(*own))
+                kept += own
+        return "\n".join(markup), kept
+
+    for _ in range(300):
+        markup, kept = made(3)
+        page = f"<html><body><nav><ul><li><a href=/>Home</a></ul></nav><article>{markup}</article><footer>me</footer></body></html>"
+        assert main_text(page) == words(" ".join(kept)), page
+
+
+def test_large_pages_take_linear_time():
+    import time
+
+    def seconds(page):
+        began = time.perf_counter()
+        main_text(page)
+        return time.perf_counter() - began
+
+    for piece in (f"<p class=x>{LONG}</p>", "<div>", "</div>", "<li>a", "<span class=ad>x", "<td>x</p>", "<a href=x>y", "<b>x</i>"):
+        size = 500_000 // len(piece)
+        small, large = seconds("<body>" + piece * size), seconds("<body>" + piece * size * 4)
+        assert large < 9 * small + 1, piece
+    assert seconds(f"<article><p>{LONG}</p></article>" + f"<p>{LONG}</p>" * (5_000_000 // len(LONG))) < 20
