@@ -4,9 +4,12 @@
 what was found.  Three base kinds come from fixed
 patterns (`assign`, `access`, `hex`).  The lexer adds the kind `literal`: every
 ``name = value`` or ``name: value`` pair is split into a target name and an
-expression of literals and names joined by ``+``; names seen earlier in the same
-text are replaced by the literals they stand for; literals that reach a
-sensitive name and look like a key are reported where they were written.
+expression of literals and names, joined by ``+`` or side by side, in brackets or not;
+quoted texts may have prefixes or triple quotes, values may be indented blocks, arguments
+of a call, or texts and attributes of elements; in ``a:b:value`` both names count.  Names
+seen earlier in the same text are replaced by the literals they stand for; literals that
+reach a sensitive name and look like a key are reported where they were written.  Every
+part of a text is read a bounded number of times, so time grows with its length.
 
 Defined cases: a null or empty text has no spans; a null id is carried through;
 repeated rows give repeated results; other columns are ignored.  Positions are
@@ -21,6 +24,7 @@ import math
 import re
 import sys
 from collections import Counter
+from itertools import chain
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -53,10 +57,24 @@ ANNOTATION = re.compile(
 TYPE_TEXT = re.compile(r"[&*]?[A-Za-z_.:]*[?!]?=?")
 # Names that are types wherever they stand before `=`; Go writes them behind the name.
 TYPES = frozenset("string String str Text text bytes byte char any Any".split())
+# A value: a quoted text (prefixed, or over lines in triple quotes), or a bare one.  A bare value ends at
+# the next operator, but for the `=` that pads its end and the colon of an address.
+_BARE = r"""[^\s"'`,;(){}\[\]<>+&=:]"""
 TERM = re.compile(
-    r"""[ \t]*(?:(["'`])((?:\\.|(?!\1)[^\\\n])*)\1|([^\s"'`,;(){}\[\]<>+]+))""", re.DOTALL
+    rf"""[ \t]*+(?:[rRbBuUfF]{{1,2}}(?=["']))?(?:(?P<triple>\"{{3}}|'{{3}})(?P<long>.*?)(?P=triple)"""
+    rf"""|(?P<quote>["'`])(?P<text>(?:\\.|(?!(?P=quote))[^\\\n])*+)(?P=quote)"""
+    rf"""|(?P<bare>(?:{_BARE}|:(?=/))++(?:={{1,2}}(?!{_BARE}|[=:]))?))""",
+    re.DOTALL,
 )
-PLUS = re.compile(r"[ \t]*\+")
+OPEN, CLOSE, PLUS, NEXT_QUOTED = (re.compile(p) for p in (r"[ \t]*+\(", r"\s*+\)", r"[ \t]*+\+", r"""[ \t]*+[rRbBuUfF]{0,2}["']"""))
+BLANKS = re.compile(r"\s*+")
+# Quoted arguments directly inside a call, up to its end, an inner call, an operator or the end of the line.
+ARGUMENT = re.compile(r"""(?P<stop>[()\n=+]|\Z)|(?P<quote>["'`])(?P<text>(?:\\.|(?!(?P=quote))[^\\\n])*+)(?P=quote)|.""", re.DOTALL)
+BLOCK = re.compile(r"[ \t]*+[|>][+-]?[0-9]?[ \t]*+(?:#[^\n]*+)?\n")
+BLOCK_LINE = re.compile(r"(?P<indent>[ ]*+)(?P<text>[^\n]*+)(?:\n|\Z)")
+ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)(?P<rest>(?:\s[^<>]*+)?)>(?P<text>[^<>]++)</")
+ATTRIBUTE = re.compile(r"""(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)\s*+=\s*+(?P<quote>["'])(?P<text>[^"'<>]*+)(?P=quote)""")
+TAG = re.compile(r"<[A-Za-z_][A-Za-z0-9_.-]*+\s(?P<rest>[^<>]++)>")
 WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
 
@@ -94,14 +112,18 @@ def is_harmless(value: str) -> bool:
 
 def literal_score(value: str) -> float:
     """How much a value looks like a generated key: length, variety and kinds of characters."""
-    if len(value) < 6 or is_harmless(value):
+    return 0.0 if is_harmless(value) else counted_score(Counter(value), len(value))
+
+
+def counted_score(counts: Counter, size: int) -> float:
+    """`literal_score` of a text with these characters, in any order."""
+    if size < 6:
         return 0.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    if kinds < 2:
+    entropy = -sum(n / size * math.log2(n / size) for n in counts.values())
+    kinds = {"a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "" for c in counts}
+    if len(kinds) < 2:
         return 0.0
-    return min(1.0, entropy / 3.0) * min(1.0, len(value) / 10)
+    return min(1.0, entropy / 3.0) * min(1.0, size / 10)
 
 
 def name_before(text: str, end: int) -> tuple[str, int]:
@@ -125,6 +147,7 @@ def pairs(text: str):
     There are two names if what stands before `=` may be the type of the name before it.
     """
     annotated: dict[int, str] = {}
+    carried, value_start = "", -1
     for op in OPERATOR.finditer(text):
         if op[0].startswith(("==", "::")):
             continue
@@ -139,63 +162,159 @@ def pairs(text: str):
                 names = [owner] if not name or name in TYPES else [owner, name]
         if not names:
             continue
-        terms, at = [], op.end()
-        while m := TERM.match(text, at):
-            quoted = m[1] is not None
-            value, span = (m[2], m.span(2)) if quoted else (m[3], m.span(3))
-            terms.append((quoted or not IDENTIFIER.match(value), value, *span))
-            more = PLUS.match(text, m.end())
-            if not more:
-                break
-            at = more.end()
+        # In a run like a:b:value each name stands for what follows it.
+        chained = op[0] == ":" and start == value_start and op.start() == start + len(name)
+        if chained and name_score(carried) > max(map(name_score, names)):
+            names = [*names, carried]
+        carried = max(names, key=name_score)
+        if block_value(text, op):
+            terms, alternatives = block_terms(text, op, start), []
+        else:
+            terms, alternatives = expression(text, op.end())
+        value_start = terms[0][2] if terms else -1
+        # A word before a colon is the next name of the run.
+        if len(terms) == 1 and text[terms[0][3] : terms[0][3] + 1] == ":" and not any(c.isdigit() for c in terms[0][1]):
+            continue
         # A type in letters only is no value.
         if terms and not (typed and all(TYPE_TEXT.fullmatch(t[1]) for t in terms)):
             yield names, terms
+        for term in alternatives:
+            yield names, [term]
+
+
+def expression(text: str, at: int) -> tuple[list, list]:
+    """(terms joined by `+`, adjacency or brackets; quoted arguments of calls)."""
+    terms, alternatives, depth = [], [], 0
+    while True:
+        while m := OPEN.match(text, at):
+            depth, at = depth + 1, m.end()
+        if depth:
+            at = BLANKS.match(text, at).end()
+        m = TERM.match(text, at)
+        if not m:
+            break
+        at = m.end()
+        bare = m["bare"]
+        if bare is not None:
+            if text[at : at + 1] == "(" and IDENTIFIER.match(bare):
+                found, at = arguments(text, at + 1)
+                alternatives += found
+            else:
+                terms.append((not IDENTIFIER.match(bare), bare, *m.span("bare")))
+        else:
+            group = "long" if m["triple"] else "text"
+            terms.append((True, m[group], *m.span(group)))
+        while depth and (m := CLOSE.match(text, at)):
+            depth, at = depth - 1, m.end()
+        here = BLANKS.match(text, at).end() if depth else at
+        more = PLUS.match(text, here)
+        if more:
+            at = more.end()
+        elif bare is None and NEXT_QUOTED.match(text, here):
+            at = here
+        else:
+            break
+    return terms, alternatives
+
+
+def arguments(text: str, at: int) -> tuple[list, int]:
+    """Quoted arguments that hold a digit; a name of a variable or a file does not say what is in it."""
+    found = []
+    while True:
+        m = ARGUMENT.match(text, at)
+        if m["stop"] is not None:
+            return found, m.end() if m["stop"] == ")" else m.start()
+        if m["quote"] and any(c.isdigit() for c in m["text"]):
+            found.append((True, m["text"], *m.span("text")))
+        at = m.end()
+
+
+def block_value(text: str, op: re.Match) -> bool:
+    return op[0] == ":" and BLOCK.match(text, op.end()) is not None
+
+
+def block_terms(text: str, op: re.Match, start: int) -> list:
+    """The lines of a block that is indented below its key."""
+    line = text.rfind("\n", 0, start) + 1
+    indent = len(text[line:start]) - len(text[line:start].lstrip(" -"))
+    at, terms = BLOCK.match(text, op.end()).end(), []
+    while at < len(text):
+        m = BLOCK_LINE.match(text, at)
+        value = m["text"].rstrip()
+        if value and len(m["indent"]) <= indent:
+            break
+        if value:
+            terms.append((True, value, m.start("text"), m.start("text") + len(value)))
+        at = m.end()
+    return terms
+
+
+def element_pairs(text: str):
+    """(names, terms) of elements with a text, and of tags with a key or name and a value."""
+    for m in ELEMENT.finditer(text):
+        value = m["text"].strip()
+        at = m.start("text") + m["text"].index(value)
+        keys = [a["text"] for a in ATTRIBUTE.finditer(m["rest"]) if a["name"].lower() in ("key", "name", "id")]
+        yield [m["name"], *keys], [(True, value, at, at + len(value))]
+    for m in TAG.finditer(text):
+        found = {a["name"].lower(): a for a in ATTRIBUTE.finditer(text, m.start("rest"), m.end("rest"))}
+        key, value = found.get("key") or found.get("name"), found.get("value")
+        if key and value:
+            yield [key["text"]], [(True, value["text"], *value.span("text"))]
 
 
 class Constant:
-    """What a name stands for: literals, and earlier constants by reference."""
+    """What a name stands for: literals, and earlier constants by reference.
+
+    Its characters are counted from the counts of its parts, so a long chain of constants
+    is neither joined nor opened again for each of its links.
+    """
 
-    __slots__ = ("harmless", "terms")
+    __slots__ = ("counts", "harmless", "reported", "size", "terms")
 
     def __init__(self, terms: list):
-        self.terms = terms
+        self.terms, self.reported = terms, False
         # One such part makes the whole harmless.
         self.harmless = any(t.harmless if isinstance(t, Constant) else is_harmless(t[0]) for t in terms)
-
-    def parts(self) -> list[tuple[str, int, int]]:
-        """The literals, each once, in the order of their first use; each constant is opened once."""
-        out: dict[tuple[str, int, int], None] = {}
-        opened = {id(self)}
-        stack = [iter(self.terms)]
+        self.counts, self.size = Counter(), 0
+        for t in terms:
+            self.counts.update(t.counts if isinstance(t, Constant) else t[0])
+            self.size += t.size if isinstance(t, Constant) else len(t[0])
+        if self.size > 2**60:  # a text that is doubled again and again: only the shares matter
+            self.counts = Counter({c: n >> 30 for c, n in self.counts.items() if n >> 30})
+            self.size = sum(self.counts.values())
+
+    def report(self) -> list[tuple[int, int]]:
+        """Where its literals are written, but for constants that were reported before."""
+        out, stack = [], [self]
         while stack:
-            for t in stack[-1]:
-                if not isinstance(t, Constant):
-                    out[t] = None
-                elif id(t) not in opened:
-                    opened.add(id(t))
-                    stack.append(iter(t.terms))
-                    break
-            else:
-                stack.pop()
-        return list(out)
+            constant = stack.pop()
+            if constant.reported:
+                continue
+            constant.reported = True
+            for t in constant.terms:
+                if isinstance(t, Constant):
+                    stack.append(t)
+                elif t[2] > t[1]:
+                    out.append((t[1], t[2]))
+        return out
 
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of literals that reach a sensitive name, each once."""
-    if ":" not in text and "=" not in text:
+    has_pairs = ":" in text or "=" in text
+    if not has_pairs and "</" not in text:
         return []
     known: dict[str, Constant] = {}
     found = set()
-    for names, terms in pairs(text):
-        constant = Constant([known[v] if not literal and v in known else (v, s, e) for literal, v, s, e in terms])
+    for names, terms in chain(pairs(text) if has_pairs else (), element_pairs(text) if "<" in text else ()):
+        parts = [known[v] if not literal and v in known else (v, s, e) for literal, v, s, e in terms]
+        # A name for another name is no constant of its own.
+        constant = parts[0] if len(parts) == 1 and isinstance(parts[0], Constant) else Constant(parts)
         known.update(dict.fromkeys(names, constant))
         target = max(map(name_score, names))
-        if not target or constant.harmless:
-            continue
-        parts = constant.parts()
-        if target + literal_score("".join(p[0] for p in parts)) >= SCORE:
-            found.update(("literal", s, e) for v, s, e in parts if e > s)
+        if target and not constant.harmless and not constant.reported and target + counted_score(constant.counts, constant.size) >= SCORE:
+            found.update(("literal", *span) for span in constant.report())
     return sorted(found)
 
 

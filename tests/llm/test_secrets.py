@@ -101,3 +101,74 @@ def test_masking(spark):
     assert out[1].text == "password=[secret] and [secret]." and out[1].other == "x"
     assert out[2].text is None and out[3].text == "token: [secret]"
     assert mask_secrets(df).columns == df.columns
+
+
+KEY = "k9Qz81LmX0aa"
+
+
+def test_other_ways_to_write_a_value():
+    for text, want in (
+        (f'password = "{KEY[:6]}" "{KEY[6:]}"', [KEY[:6], KEY[6:]]),
+        (f'password = ("{KEY[:6]}" + "{KEY[6:]}")', [KEY[:6], KEY[6:]]),
+        (f'password = (\n    "{KEY[:6]}"\n    "{KEY[6:]}"\n)\n', [KEY[:6], KEY[6:]]),
+        (f'password = f"{KEY}"; x = 1', [KEY]),
+        (f'db_secret = rb\'{KEY}\'', [KEY]),
+        (f'password = """{KEY}"""', [KEY]),
+        (f'client_secret: |\n  {KEY}\nregion: eu-1\n', [KEY]),
+        (f'a:\n  - client_secret: >-\n      {KEY[:6]}\n\n      {KEY[6:]}\n  - region: eu-1\n', [KEY[:6], KEY[6:]]),
+        (f'client_secret = decode("{KEY}")', [KEY]),
+        (f'client_secret = os.getenv("DB_PASSWORD", "{KEY}")', [KEY]),
+        (f'<dbPassword type="x"> {KEY} </dbPassword>', [KEY]),
+        (f'<entry key="client_secret">{KEY}</entry>', [KEY]),
+        (f'<add value="{KEY}" key="clientSecret"/>', [KEY]),
+        (f'client_secret: user:{KEY}', [KEY]), (f'auth:client_secret:{KEY}', [KEY]),
+        (f'https://x.y/?a=1&client_secret={KEY}&b=2', [KEY]), (f'client_secret = https://x.y/{KEY}', [f"https://x.y/{KEY}"]),
+    ):
+        assert found(text) == want, text
+
+
+def test_what_stays_no_secret():
+    for text in ('colour = paint("blue12345678")', "<title>k9Qz81LmX0aa</title>", "password: |\nnext: a1b2c3d4e5\n", 'a:b:k9Qz81LmX0aa', 'secret_name = call("no digits")'):
+        assert found(text) == [], text
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    for piece in ("k1=v1&", "a=", "a:", "a: ", 'a="b"+', "a=(", "a=f(", "a: b|", "a=b ", "a:b<", 'a="""', "<a b=c>d</", "token=", "x: |\n ", "secret:a"):
+        text = piece * (1_000_000 // len(piece))
+        began = time.perf_counter()
+        literal_spans(text)
+        assert time.perf_counter() - began < 8, piece  # measured below 2 s alone
+
+
+def plain_lexer(text):
+    """Literals of one assignment a line, read character by character."""
+    from pitlane.llm.secrets import SCORE, literal_score, name_score
+
+    out, at = [], 0
+    for line in text.split("\n"):
+        name, _, value = line.partition(" = ")
+        parts = []
+        for part in value.split(" + "):
+            place = at + line.index(part, len(name) + 3) if part else at
+            parts.append((part[1:-1], place + 1) if part[:1] in "\"'" else (part, place))
+        if name_score(name) and name_score(name) + literal_score("".join(p for p, _ in parts)) >= SCORE:
+            out += [("literal", s, s + len(p)) for p, s in parts]
+        at += len(line) + 1
+    return sorted(out)
+
+
+def test_equal_to_a_plain_lexer():
+    import random
+
+    draw = random.Random(1)
+    letters = "abcXYZ0189"
+    for _ in range(200):
+        lines = []
+        for i in range(draw.randint(1, 12)):
+            name = draw.choice(["db_password", "colour", "clientSecret", "size", "api.key", "token"])
+            parts = [f'"{"".join(draw.choices(letters, k=draw.randint(1, 14)))}{i}"' for _ in range(draw.randint(1, 3))]
+            lines.append(f"{name} = " + " + ".join(dict.fromkeys(parts)))
+        text = "\n".join(lines)
+        assert literal_spans(text) == plain_lexer(text), text
