@@ -6,6 +6,7 @@ import ctypes
 import gc
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -82,6 +83,25 @@ def give_back() -> None:
         trim(0)
 
 
+class Shared:
+    """A value broadcast as bytes, by value: tasks can load it where this package is not installed.
+
+    A process loads it once and keeps the last one.
+    """
+
+    def __init__(self, df: DataFrame, value: Any):
+        self.bytes = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+        self.key = uuid.uuid4().hex
+
+    @property
+    def value(self) -> Any:
+        held = per_process("shared", dict)
+        if self.key not in held:
+            held.clear()
+            held[self.key] = cloudpickle.loads(self.bytes.value)
+        return held[self.key]
+
+
 def sizes(texts: pa.Array) -> np.ndarray:
     """Bytes of each text; null counts as empty."""
     import pyarrow.compute as pc

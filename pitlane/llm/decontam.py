@@ -37,7 +37,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import map_arrow
+from pitlane.llm.common import Shared, map_arrow
 from pitlane.llm.words import BASE, Words, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -236,17 +236,18 @@ def find_items(
     id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """One row per input row: doc_id, contaminated, n_items and the sorted ids of the items it holds."""
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.array().cast("array<long>").alias("items"))
-    for block in blocks_of(items, item_id, item_text):
-        shared = df.sparkSession.sparkContext.broadcast(Index(block, edits, recall))
-
-        def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            found = shared.value.items_in(batch.column("text"))
-            both = [sorted({*a, *b}) for a, b in zip(batch.column("items").to_pylist(), found, strict=True)]
-            arrays = [batch.column("doc_id"), batch.column("text"), pa.array(both, pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(arrays, ["doc_id", "text", "items"])
-
-        rows = map_arrow(rows, run, "doc_id long, text string, items array<long>")
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    blocks = [Shared(df, Index(block, edits, recall)) for block in blocks_of(items, item_id, item_text)]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """One block after the other, so that a process holds one index."""
+        found: list[set[int]] = [set() for _ in range(batch.num_rows)]
+        for block in blocks:
+            for own, more in zip(found, block.value.items_in(batch.column("text")), strict=True):
+                own.update(more)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([sorted(x) for x in found], pa.list_(pa.int64()))], ["doc_id", "items"])
+
+    rows = map_arrow(rows, run, "doc_id long, items array<long>")
     n = F.size("items").cast("long")
     return rows.select("doc_id", (n > 0).alias("contaminated"), n.alias("n_items"), "items")
 
@@ -256,11 +257,11 @@ def keep_clean(
     text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """The rows of `df` that hold no item, with all their columns."""
-    for block in blocks_of(items, item_id, item_text):
-        shared = df.sparkSession.sparkContext.broadcast(Index(block, edits, recall))
+    blocks = [Shared(df, Index(block, edits, recall)) for block in blocks_of(items, item_id, item_text)]
 
-        def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            return batch.filter(pa.array([not x for x in shared.value.items_in(batch.column(text_col))], pa.bool_()))
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        for block in blocks:  # what one block finds need not be searched for the next
+            batch = batch.filter(pa.array([not x for x in block.value.items_in(batch.column(text_col))], pa.bool_()))
+        return batch
 
-        df = map_arrow(df, run, df.schema, text_col)
-    return df
+    return map_arrow(df, run, df.schema, text_col)

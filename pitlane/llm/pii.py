@@ -31,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import id_and_text, map_arrow, stored, texts_of
+from pitlane.llm.common import Shared, id_and_text, map_arrow, stored, texts_of
 from pitlane.llm.tagger import Tagger, classes_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -215,7 +215,7 @@ def train(docs: DataFrame, text_col: str = "text", per_kind: int = PER_KIND) ->
 
 def scan(df: DataFrame, model: Tagger | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: counts, the base digest and all spans."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(df, model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = texts_of(batch.column("text"))

@@ -30,7 +30,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import few, map_arrow, stored
+from pitlane.llm.common import Shared, few, map_arrow, stored
 from pitlane.llm.words import BASE, Words, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -173,7 +173,7 @@ def classify(
     df: DataFrame, model: Classifier | None, host: str | Column = "source", path: str | Column = "lang", id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: doc_id, evidence, site_prior, posterior and kept."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(df, model)
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     rows = df.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),

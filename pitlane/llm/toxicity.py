@@ -19,6 +19,7 @@ kinds every score is 0; repeated rows give repeated results; other columns are i
 from __future__ import annotations
 
 import sys
+import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import id_and_text, map_arrow
+from pitlane.llm.common import Shared, id_and_text, map_arrow, stored
 from pitlane.llm.words import BASE, Words, grams, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -147,14 +148,23 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_clas
 
     def extract(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [s.view(np.int64) for s in feature_sets(batch.column("text"))]
-        arrays = [batch.column("doc_id"), batch.column("label"), pa.array(sets, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "label", "features"])
-
-    table = map_arrow(chosen, extract, "doc_id long, label int, features array<long>").toArrow()
+        rows = [uuid.uuid4().hex for _ in sets]
+        arrays = [pa.array(rows), batch.column("doc_id"), batch.column("label"), pa.array(sets, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "label", "features"])
+
+    # Most features occur in one text only, however long it is; they are counted and left out before
+    # anything goes to the driver, as the fit has no use for them.
+    sampled = stored(map_arrow(chosen, extract, "row string, doc_id long, label int, features array<long>"), "sampled")
+    each = sampled.select("row", F.explode("features").alias("feature"))
+    common = each.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_ROWS).select("feature")
+    lists = each.join(common, "feature").groupBy("row").agg(F.sort_array(F.collect_list("feature")).alias("features"))
+    table = sampled.select("row", "doc_id", "label").join(lists, "row", "left").select(
+        "doc_id", "label", F.coalesce("features", F.array().cast("array<long>")).alias("features")
+    ).toArrow()
     rows = []
     for chunk in table.to_batches():
         sets = chunk.column("features")
-        flat, bounds = sets.values.to_numpy().view(np.uint64), sets.offsets.to_numpy()
+        flat, bounds = np.asarray(sets.values.to_numpy(zero_copy_only=False), dtype=np.int64).view(np.uint64), sets.offsets.to_numpy()
         ids, marks = chunk.column("doc_id").to_pylist(), chunk.column("label").to_pylist()
         rows += [(doc, mark, flat[bounds[i] : bounds[i + 1]]) for i, (doc, mark) in enumerate(zip(ids, marks))]
     del table
@@ -170,7 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_clas
 
 def score(df: DataFrame, model: Weights, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: held_out, score and predicted."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(df, model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         scores = score_texts(batch.column("text"), shared.value)
@@ -187,7 +197,7 @@ def score(df: DataFrame, model: Weights, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(df: DataFrame, model: Weights, text_col: str = "text") -> DataFrame:
     """The rows of `df` that are not predicted toxic, with all their columns."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(df, model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array(score_texts(batch.column(text_col), shared.value) < 0.5))
