@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitlane.llm.common import few, id_and_text, map_arrow, stored
 from pitlane.llm.components import components
@@ -209,6 +210,13 @@ def near_duplicates(
 
     Two texts are linked if 100 * shared shingles >= percent * united shingles.
     """
+    return judged_sets(df, width, percent, id_col, text_col).drop("set_key")
+
+
+def judged_sets(
+    df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`near_duplicates` with a key of each row's set, which tells rows of one id apart."""
     docs = id_and_text(df, id_col, text_col)
     rows = stored(describe(docs, width), "sets")
     real = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
@@ -253,5 +261,17 @@ def near_duplicates(
     named = named.select("set_key", F.coalesce("label", "rep").alias("component"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.drop("sketch").join(named, "set_key", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "set_key"
     )
+
+
+def set_keys(df: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`df` with `set_key`, which equals that of `judged_sets` for equal texts; null without shingles."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(batch.column(text_col), width)
+        keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "set_key"])
+
+    rows = df.drop("set_key")
+    return map_arrow(rows, run, T.StructType([*rows.schema.fields, T.StructField("set_key", T.BinaryType())]), text_col)
