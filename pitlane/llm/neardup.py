@@ -265,13 +265,12 @@ def judged_sets(
     )
 
 
-def set_keys(df: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`df` with `set_key`, which equals that of `judged_sets` for equal texts; null without shingles."""
+def set_keys(df: DataFrame, width: int = 5, name: str = "_set_key", text_col: str = "text") -> DataFrame:
+    """`df` with a column that equals the `set_key` of `judged_sets` for equal texts; null without shingles."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column(text_col), width)
         keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "set_key"])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, name])
 
-    rows = df.drop("set_key")
-    return map_arrow(rows, run, T.StructType([*rows.schema.fields, T.StructField("set_key", T.BinaryType())]), text_col)
+    return map_arrow(df, run, T.StructType([*df.schema.fields, T.StructField(name, T.BinaryType())]), text_col)

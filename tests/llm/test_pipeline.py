@@ -92,3 +92,12 @@ def test_stages_keep_the_columns(spark, folder):
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
 def test_on_the_test_tables(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_a_repeated_id_keeps_its_other_text(spark, tmp_path):
+    one, two, three = (" ".join(body(40)) for _ in range(3))
+    rows = [(1, one, "k"), (5, one, "k"), (5, two, "k"), (5, None, "k"), (6, three, "k"), (6, three, "k"), (None, one, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, set_key string")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, one, "k"), (5, two, "k"), (5, None, "k"), (6, three, "k"), (None, one, "k")], key=repr)
