@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pitlane.llm import decontam, toxicity
 from pitlane.llm.bpe import encode_digests
 from pitlane.llm.common import read_table, stored
-from pitlane.llm.neardup import near_duplicates
+from pitlane.llm.neardup import judged_sets, set_keys
 from pitlane.llm.secrets import mask_secrets
 
 
@@ -33,9 +33,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows without an id stay; of rows that repeat an id with the same text one stays.
     """
-    judged = stored(near_duplicates(docs, width=5, percent=80), "judged")
-    gone = judged.where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    judged = stored(judged_sets(docs, width=5, percent=80), "judged")
+    lost = stored(judged.where("NOT kept").select("doc_id").distinct(), "lost")
+    # An id may be repeated with another text, which stays although this one goes.
+    mixed = stored(judged.where("kept").join(lost, "doc_id", "left_semi").select("doc_id").distinct(), "mixed")
+    left = docs.join(lost, "doc_id", "left_anti").select(docs.columns)
+    if mixed.limit(1).count():
+        stay = judged.where("kept").join(mixed, "doc_id", "left_semi").select(F.col("doc_id").alias("_id"), F.col("set_key").alias("_key")).distinct()
+        keyed = set_keys(docs.join(mixed, "doc_id", "left_semi").select(docs.columns), 5)
+        same = keyed["doc_id"].eqNullSafe(stay["_id"]) & keyed["_set_key"].eqNullSafe(stay["_key"])
+        left = left.unionByName(keyed.join(stay, same, "left_semi").select(docs.columns))
     # Repeated ids are rare, so only their rows are compared with each other.
     often = stored(judged.where("kept AND doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if not often.limit(1).count():
