@@ -1,20 +1,22 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
 The CGK embedding reads a sequence by a random walk: at each step it writes the current
-word and moves on or stays, by a random bit of (step, word).  Two sequences that differ
-by few edits write nearly the same output, so edit distance becomes Hamming distance.
-An LSH key is a sample of `SAMPLES` output positions among the first `STEPS`; repeated
-walks and samples raise the recall.
-
-Windows begin at every word of every text, and keys of an item begin at each of its words
-that leaves room for the walk, so any stretch that survives the edits can meet.  A key is
-checked sample by sample: a window goes on only while what it wrote so far begins some
-item's key, which gives the same matches as comparing whole keys.
-
-Each candidate (text, item, place) is verified: the least edit distance, in characters,
-between the item and any part of the item-sized window with slack to both sides must be
-at most `edits` times the item's length.  Both are compared with A-Z lower-cased and
-words joined by one space.
+character and moves on or stays, by a random bit of (step, character).  Sequences that
+differ by few edits write nearly the same output, so edit distance becomes Hamming
+distance.  An LSH key is a sample of the output; repeated walks raise the recall.
+
+Windows have the item's size and begin at every word of every text.  A walk over a whole
+window would meet an edit in almost every item, so a window is read by many walks, one
+from each of its words; a walk from a word is the same for all windows that hold it.
+How many samples make a key follows from the item's own words and length: as many as let
+at least one of its walks pass untouched with the wanted chance if `edits` of its
+characters were changed at random (`samples_for`).  A walk goes on only while what it
+wrote so far begins some item's key, which gives the same matches as comparing whole keys.
+
+Each candidate window, with slack to both sides, is verified.  It must hold as many of the
+item's three-byte pieces as `edits` leave in any case; then the least edit distance, in
+characters, between the item and any part of it must be at most `edits` times the item's
+length.  Both are compared with A-Z lower-cased and words joined by one space.
 
 Items are read in blocks of at most `BLOCK_CHARS` characters (or one longer item), each
 broadcast; every block meets all texts.
@@ -29,7 +31,7 @@ from __future__ import annotations
 import math
 import sys
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,29 +44,43 @@ from pitlane.llm.words import BASE, Words, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STEPS, SAMPLES = 12, 8
-# Words that a walk passes before its key is used.
-LEAST_WORDS = 4
-EDITS, RECALL = 0.2, 0.999
-BLOCK_CHARS = 8_000_000
-SLOTS = 1 << 20
+WALKS = 4
+# Numbers of samples a key may have; walks are checked there.
+DEPTHS = (*range(1, 9), *range(10, 30, 2))
+# Sampled steps among all, and the characters that a walk passes for each sample.
+DENSITY, PASSED = 0.75, 0.67
+# Depths at which walks are thinned out whatever the keys' lengths.
+CHECKS = (8, 12)
+STEPS = math.ceil(DEPTHS[-1] / DENSITY) + 1
+EDITS, RECALL = 0.2, 0.9
+BLOCK_CHARS = 2_000_000
+SLOTS, PIECES = 1 << 20, 1 << 12
 UPPER = {i: i + 32 for i in range(65, 91)}
+VALUES = mix(np.arange(1, 257, dtype=np.uint64) * BASE)
 
 
-def repeats(edits: float, recall: float, places: int = 8) -> int:
-    """Walks needed so that an item with `places` starting words is met with this chance.
+def samples_for(words: int, size: int, edits: float, recall: float) -> int:
+    """Samples of a key of an item with so many words and bytes.
 
-    One walk meets if the words it passes are untouched: about STEPS / 2 + 1 of them.
+    A walk meets if what it passes is untouched.  Walks from different words count as
+    independent, the four from one word as two and a half.
     """
-    once = (1 - edits) ** (STEPS / 2 + 1)
-    return max(2, math.ceil(math.log(1 - recall) / (places * math.log(1 - once))))
+    best = DEPTHS[0]
+    for depth in DEPTHS:
+        once = (1 - edits) ** (depth * PASSED + 0.5)
+        fits = depth * PASSED + 1 <= size
+        if fits and (1 - once) ** (2.5 * words) <= 1 - recall:
+            best = depth
+    return best
 
 
-def plan(number: int) -> tuple[np.ndarray, list[int]]:
-    """The random bits' seeds and the sampled steps of a walk; the first step is sampled."""
+def plan(number: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a walk: the move of each (step, byte), and whether a step is sampled."""
     rng = np.random.default_rng(1000 + number)
-    steps = sorted(rng.choice(np.arange(1, STEPS), SAMPLES - 1, replace=False).tolist())
-    return rng.integers(0, 2**63, STEPS).astype(np.uint64), [0, *steps]
+    moves = rng.integers(0, 2, (STEPS, 256))
+    sampled = np.ones(STEPS, dtype=bool)
+    sampled[1 + rng.choice(STEPS - 1, STEPS - DEPTHS[-1], replace=False)] = False
+    return moves, sampled
 
 
 def words_of(text: str) -> list[str]:
@@ -72,30 +88,60 @@ def words_of(text: str) -> list[str]:
     return [w.decode("utf-8", "surrogatepass") for w in text.translate(UPPER).encode("utf-8", "surrogatepass").split()]
 
 
-def walks(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, number: int, keep) -> Iterator[tuple]:
-    """Walk from all `starts` at once; `keep(sample, keys)` says which go on.
-
-    Yields (sample, starts, keys, words passed) after each sample.  Words of a walk lie before `ends`.
+class Flat:
+    """Texts as bytes, A-Z lower-cased, each word followed by one space; words begin at `start`."""
+
+    def __init__(self, column: pa.Array):
+        words = Words(column)
+        sizes = words.end - words.start + 1
+        ends = np.cumsum(sizes)
+        self.start = ends - sizes
+        source = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(self.start - words.start, sizes)
+        # The place of the last word's space may lie behind the last byte.
+        found = np.append(words.bytes, np.uint8(32))[source]
+        found[(found >= 65) & (found <= 90)] += 32
+        found[ends - 1] = 32
+        self.bytes = np.concatenate((found, np.zeros(STEPS, np.uint8)))
+        edges = np.concatenate(([0], ends))
+        self.low, self.high = edges[words.bounds[:-1]], np.maximum(edges[words.bounds[1:]] - 1, edges[words.bounds[:-1]])
+        self.words = words.counts
+        self.text = words.text
+
+    def pieces(self) -> np.ndarray:
+        """The code of the three bytes at each place."""
+        b = self.bytes.astype(np.int64)
+        code = b[:-2] * 0x9E3779B1 + b[1:-1] * 0x85EBCA77 + b[2:] * 0xC2B2AE3D
+        return (code >> 13) & (PIECES - 1)
+
+
+def walks(flat: Flat, number: int, depths: list[int], keep: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Walk from all words at once; `keep(depth, keys)` gives the positions of those that go on.
+
+    Yields (depth, words, keys) at each depth, before they are thinned out.  Walks end with their text.
     """
-    seeds, steps = plan(number)
-    at, key, begun = starts.copy(), np.zeros(len(starts), np.uint64), starts
-    sample = 0
+    moves, sampled = plan(number)
+    word = np.arange(len(flat.start))
+    at, key = flat.start.copy(), np.zeros(len(word), np.uint64)
+    high = flat.high[flat.text]
+    taken = 0
     for step in range(STEPS):
-        inside = at < ends
-        if not inside.all():
-            at, ends, key, begun = at[inside], ends[inside], key[inside], begun[inside]
         if not len(at):
             return
-        words = hashes[at]
-        if step == steps[sample]:
-            key = mix(key * BASE + words)
-            go = keep(sample, key)
-            at, ends, key, begun, words = at[go], ends[go], key[go], begun[go], words[go]
-            yield sample, begun, key, at - begun
-            sample += 1
-            if sample == SAMPLES:
-                return
-        at = at + (mix(words ^ seeds[step]) >> np.uint64(63)).astype(np.int64)
+        byte = np.take(flat.bytes, at)
+        if sampled[step]:
+            key = key * BASE + np.take(VALUES, byte)
+            taken += 1
+            if taken in depths:
+                inside = np.flatnonzero(at < high)
+                if len(inside) < len(at):
+                    word, at, key, high, byte = word[inside], at[inside], key[inside], high[inside], byte[inside]
+                mixed = mix(key)
+                yield taken, word, mixed
+                if taken == depths[-1]:
+                    return
+                go = keep(taken, mixed)
+                word, at, key, high, byte = word[go], at[go], key[go], high[go], byte[go]
+        at = at + np.take(moves[step], byte)
 
 
 class Index:
@@ -104,105 +150,148 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], edits: float, recall: float):
         self.edits = edits
         self.items = [(i, " ".join(words_of(t))) for i, t in items]
-        words = Words(pa.array([t for _, t in self.items], pa.string()))
-        self.sizes = words.counts
-        self.count = repeats(edits, recall)
-        # For each walk and sample: the sorted beginnings of keys, and who owns a key that ends there.
-        self.beginnings: list[list[np.ndarray]] = []
-        self.owners: list[list[dict[int, list[tuple[int, int]]]]] = []
-        starts = np.arange(len(words.start))
-        item = words.text
-        ends = words.bounds[1:][item]
-        for number in range(self.count):
-            # `keep` returns positions or a mask; here all walks go on.
-            found = list(walks(words.hash, starts, ends, number, lambda _, k: np.ones(len(k), bool)))
-            full = {s: (b, k) for s, b, k, _ in found}
-            reach = np.zeros(len(starts), np.int64)
-            for s, b, _, passed in found:
-                # Keys of few words would meet everywhere; an item falls back on them if it has no other.
-                reach[b] = (s + 1) * 100 + np.minimum(passed, LEAST_WORDS)
-            best = np.zeros(len(self.items), np.int64)
-            np.maximum.at(best, item, reach)
-            owners, beginnings = [], []
-            for s in range(SAMPLES):
-                b, k = full.get(s, (starts[:0], np.zeros(0, np.uint64)))
-                # A key ends at the last sample, or sooner for items too short for the walk.
-                own: dict[int, list[tuple[int, int]]] = defaultdict(list)
-                ending = reach[b] == best[item[b]]
-                last = (reach[b] // 100 == s + 1) & ending
-                for w, key in zip(b[last].tolist(), k[last].tolist(), strict=True):
-                    own[key].append((int(item[w]), int(w - words.bounds[item[w]])))
-                owners.append(dict(own))
-                beginnings.append(np.unique(k[ending]))
-            self.owners.append(owners)
-            self.beginnings.append(beginnings)
-
-    def candidates(self, words: Words) -> dict[tuple[int, int], list[int]]:
-        """Word positions at which an item may begin, by (text, item)."""
-        found: dict[tuple[int, int], set[int]] = defaultdict(set)
-        text = words.text
-        starts, ends = np.arange(len(words.start)), words.bounds[1:][text]
-        for number in range(self.count):
-            tables = []
-            for known in self.beginnings[number]:
-                table = np.zeros(SLOTS, dtype=bool)
-                table[(known & np.uint64(SLOTS - 1)).astype(np.int64)] = True
-                tables.append(table)
-
-            def keep(sample: int, keys: np.ndarray) -> np.ndarray:
-                near = np.flatnonzero(tables[sample][(keys & np.uint64(SLOTS - 1)).astype(np.int64)])
-                known = self.beginnings[number][sample]
-                at = np.minimum(np.searchsorted(known, keys[near]), len(known) - 1)
-                return near[known[at] == keys[near]]
-
-            for sample, begun, keys, _ in walks(words.hash, starts, ends, number, keep):
-                owners = self.owners[number][sample]
-                if owners:
-                    for w, key in zip(begun.tolist(), keys.tolist(), strict=True):
-                        for item, offset in owners.get(key, ()):
-                            found[int(text[w]), item].add(w - int(words.bounds[text[w]]) - offset)
-        return {k: sorted(v) for k, v in found.items()}
+        self.items = [(i, t) for i, t in self.items if t]
+        flat = Flat(pa.array([t.encode("utf-8", "surrogatepass").decode("utf-8", "replace") for _, t in self.items], pa.string()))
+        self.sizes = flat.high - flat.low
+        wanted = np.array([samples_for(w, n, edits, recall) for w, n in zip(flat.words.tolist(), self.sizes.tolist(), strict=True)], np.int64)
+        self.most = np.array([math.floor(edits * len(t)) for _, t in self.items], np.int64)
+        widths = [sorted((len(c.encode("utf-8", "replace")) for c in t), reverse=True) for _, t in self.items]
+        # Pieces that the most edits can spoil, widest characters first, and bytes by which they can shift the rest.
+        self.spoilt = np.array([sum(w + 2 for w in ws[:k]) for ws, k in zip(widths, self.most.tolist(), strict=True)], np.int64)
+        self.slack = np.array([sum(ws[:k]) + 2 for ws, k in zip(widths, self.most.tolist(), strict=True)], np.int64)
+        self.letters = [letters_of(t) for _, t in self.items]
+        codes = flat.pieces()
+        self.codes = [codes[a : max(a, b - 2)].astype(np.int16) for a, b in zip(flat.low.tolist(), flat.high.tolist(), strict=True)]
+        offset = flat.start - flat.low[flat.text]
+        # For each walk and depth: beginnings of longer keys, and sorted keys with the item and place of each.
+        self.tables: list[dict[int, tuple[np.ndarray, ...]]] = []
+        self.depths: list[int] = []
+        for number in range(WALKS):
+            found = {d: (w, k) for d, w, k in walks(flat, number, list(DEPTHS), lambda _, k: np.arange(len(k)))}
+            reach = np.zeros(len(self.items), np.int64)
+            for d, (w, _) in found.items():
+                np.maximum.at(reach, flat.text[w], d)
+            # Items too short for their key have a shorter one.
+            own = np.minimum(wanted, reach)
+            self.depths = sorted({*self.depths, *own[own > 0].tolist(), *(d for d in CHECKS if d < own.max(initial=0))})
+            table = {}
+            for d, (w, k) in found.items():
+                item = flat.text[w]
+                ends, longer = own[item] == d, np.unique(k[own[item] > d])
+                order = np.argsort(k[ends], kind="stable")
+                table[d] = (longer, k[ends][order], item[ends][order].astype(np.int32), offset[w][ends][order].astype(np.int32))
+            self.tables.append(table)
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+        self.tables = [{d: t.get(d, none) for d in self.depths} for t in self.tables]
+
+    def candidates(self, flat: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, item and byte at which the item may begin, of every walk that meets a key."""
+        out = []
+        for number, table in enumerate(self.tables):
+            ways = {d: in_set(t[0]) for d, t in table.items()}
+            ends = {d: in_set(t[1]) for d, t in table.items()}
+            for depth, word, key in walks(flat, number, self.depths, lambda d, k, ways=ways: ways[d](k)):
+                _, known, item, offset = table[depth]
+                hit = ends[depth](key)
+                if not len(hit):
+                    continue
+                first, last = np.searchsorted(known, key[hit]), np.searchsorted(known, key[hit], "right")
+                n = last - first
+                which = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - first, n)
+                word = np.repeat(word[hit], n)
+                out.append((flat.text[word], item[which].astype(np.int64), flat.start[word] - offset[which]))
+        if not out:
+            return (np.zeros(0, np.int64),) * 3
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def items_in(self, column: pa.Array) -> list[list[int]]:
         """The ids of the items in each text."""
-        words = Words(column, lower=True)
         out: list[list[int]] = [[] for _ in range(len(column))]
-        for (text, item), places in sorted(self.candidates(words).items()):
-            item_id, wanted = self.items[item]
-            size = int(self.sizes[item])
-            slack = math.ceil(self.edits * size) + 2
-            low, n = int(words.bounds[text]), int(words.counts[text])
-            most = math.floor(self.edits * len(wanted))
-            begin = None
-            for i, place in enumerate(places):
-                begin = place if begin is None else begin
-                # Places close to each other share one window.
-                if i + 1 < len(places) and places[i + 1] - begin <= slack:
+        flat = Flat(column)
+        if not self.items or not len(flat.start):
+            return out
+        text, item, place = self.candidates(flat)
+        order = np.lexsort((place, text, item))
+        item, text, place = item[order], text[order], place[order]
+        # Places close to each other share one window.
+        apart = (np.diff(item, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0) | (np.diff(place, prepend=0) > self.slack[item] // 4)
+        first = np.flatnonzero(apart)
+        final = np.append(first[1:], len(item)) - 1
+        item, text, least, most = item[first], text[first], place[first], place[final]
+        begin = np.maximum(least - self.slack[item], flat.low[text])
+        end = np.minimum(most + self.sizes[item] + self.slack[item], flat.high[text])
+        codes = flat.pieces() if len(item) else None
+        edges = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            i = int(item[a])
+            near = self.near(i, codes, begin[a:b], end[a:b])
+            last = -1
+            for t, x, y in zip(text[a:b][near].tolist(), begin[a:b][near].tolist(), end[a:b][near].tolist(), strict=True):
+                if t == last:
                     continue
-                a, b = max(0, begin - slack), min(n, place + size + slack)
-                span = words.bytes[words.start[low + a] : words.end[low + b - 1]].tobytes().decode("utf-8", "replace")
-                if least_edits(wanted, " ".join(words_of(span)), most) <= most:
-                    out[text].append(item_id)
-                    break
-                begin = None
+                span = flat.bytes[x:y].tobytes().decode("utf-8", "replace")
+                if least_edits(self.items[i][1], span, int(self.most[i]), self.letters[i]) <= self.most[i]:
+                    out[t].append(self.items[i][0])
+                    last = t
         return [sorted(x) for x in out]
 
+    def near(self, i: int, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Which windows hold as many pieces of item `i` as it has under the most edits."""
+        own = self.codes[i].astype(np.int64)
+        least = len(own) - int(self.spoilt[i])
+        if least <= 0:
+            return np.arange(len(begin))
+        good = []
+        for low in range(0, len(begin), 256):
+            a, b = begin[low : low + 256, None], end[low : low + 256, None]
+            at = a + np.arange(int((b - a).max()))
+            held = np.zeros((len(a), PIECES + 1), dtype=bool)
+            held[np.arange(len(a))[:, None], np.where(at < b - 2, codes[np.minimum(at, len(codes) - 1)], PIECES)] = True
+            good.append(low + np.flatnonzero(held[:, own].sum(1) >= least))
+        return np.concatenate(good)
+
+
+def in_set(known: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """A function that gives the positions of keys that are in the sorted `known`."""
+    if not len(known):
+        return lambda keys: np.zeros(0, np.int64)
+    table = np.zeros(SLOTS, dtype=bool)
+    table[(known & np.uint64(SLOTS - 1)).astype(np.int64)] = True
+
+    def find(keys: np.ndarray) -> np.ndarray:
+        near = np.flatnonzero(np.take(table, (keys & np.uint64(SLOTS - 1)).astype(np.int64)))
+        some = keys[near]
+        return near[known[np.minimum(np.searchsorted(known, some), len(known) - 1)] == some]
+
+    return find
+
+
+def letters_of(pattern: str) -> dict[str, int]:
+    """The places of each character, as bits."""
+    where: dict[str, int] = defaultdict(int)
+    for i, c in enumerate(pattern):
+        where[c] |= 1 << i
+    return dict(where)
+
 
-def least_edits(pattern: str, text: str, enough: int = -1) -> int:
+def least_edits(pattern: str, text: str, enough: int = -1, letters: dict[str, int] | None = None) -> int:
     """The least edit distance between `pattern` and any part of `text`.
 
     Bit-parallel: one column of the distance table is one pair of integers.  Stops when a
-    distance of at most `enough` is found.
+    distance of at most `enough` is found, or the rest of `text` is too short to bring one.
     """
     m = len(pattern)
     if not m:
         return 0
-    where: dict[str, int] = defaultdict(int)
-    for i, c in enumerate(pattern):
-        where[c] |= 1 << i
+    where = letters or letters_of(pattern)
     full, top = (1 << m) - 1, 1 << (m - 1)
     up, down, score, best = full, 0, m, m
+    # The score sinks by one with each character at most.
+    left = len(text)
     for c in text:
+        if score - left > enough >= 0:
+            break
+        left -= 1
         eq = where.get(c, 0)
         x = eq | down
         across = (((eq & up) + up) ^ up) | eq

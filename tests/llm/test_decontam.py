@@ -72,7 +72,7 @@ def planted(share):
 
 @pytest.mark.parametrize("share,recall", [(0.0, 1.0), (0.1, 0.95)])
 def test_found_items_equal_brute_force(share, recall):
-    index = Index([(i, " ".join(w)) for i, w in ITEMS], 0.2, 0.999)
+    index = Index([(i, " ".join(w)) for i, w in ITEMS], 0.2, 0.95)
     docs = planted(share)
     hits = total = 0
     for (_, text, _), found in zip(docs, index.items_in(pa.array([t for _, t, _ in docs])), strict=True):
@@ -84,6 +84,60 @@ def test_found_items_equal_brute_force(share, recall):
     assert total >= 40 and hits >= recall * total
 
 
+def retyped(text, share):
+    """So many of the characters replaced, left out or put in."""
+    out = list(text)
+    for _ in range(int(share * len(out))):
+        at = rng.integers(0, len(out))
+        kind = rng.integers(3)
+        if kind == 0:
+            out[at] = rng.choice(list("abcdeén "))
+        elif kind == 1:
+            del out[at]
+        else:
+            out.insert(at, rng.choice(list("abcdeén ")))
+    return "".join(out)
+
+
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15, 0.19])
+@pytest.mark.parametrize("words", [8, 15, 30, 60])
+def test_character_edits_are_found(words, share):
+    items = [(i, " ".join(passage(words))) for i in range(60)]
+    index = Index(items, decontam.EDITS, decontam.RECALL)
+    texts = [" ".join(passage(30)) + " " + retyped(t, share) + " " + " ".join(passage(30)) for _, t in items]
+    hits = total = 0
+    for (i, t), text, found in zip(items, texts, index.items_in(pa.array(texts)), strict=True):
+        if least_edits(t, " ".join(decontam.words_of(text))) <= decontam.EDITS * len(t):
+            hits += i in found
+            total += 1
+    assert total >= 50 and hits >= 0.9 * total
+
+
+def test_one_long_text_and_short_items():
+    body = passage(40_000)
+    text = " ".join(body)
+    items = [(0, " ".join(body[100:130])), (1, " ".join(body[-12:])), (2, " ".join(passage(30))), (3, body[5]), (4, "~")]
+    assert Index(items, 0.2, 0.9).items_in(pa.array([text, None, "", "  "])) == [[0, 1, 3], [], [], []]
+    assert Index([], 0.2, 0.9).items_in(pa.array([text])) == [[]]
+
+
+def test_the_filter_of_pieces_loses_nothing():
+    items = [(i, " ".join(passage(rng.integers(3, 30)))) for i in range(150)]
+    index = Index(items, 0.2, 0.9)
+    for (i, t), share in zip(items, rng.choice([0.0, 0.1, 0.19], len(items))):
+        text = retyped(t, share)
+        if least_edits(t, " ".join(decontam.words_of(text))) <= 0.2 * len(t):
+            flat = decontam.Flat(pa.array([text]))
+            assert len(index.near(i, flat.pieces(), flat.low, flat.high)) == 1
+
+
+def test_index_is_small():
+    items = [(i, " ".join(passage(40))) for i in range(2000)]
+    index = Index(items, 0.2, 0.9)
+    size = sum(a.nbytes for t in index.tables for arrays in t.values() for a in arrays) + sum(c.nbytes for c in index.codes)
+    assert size < 150 * sum(len(t) for _, t in items)
+
+
 def test_rows_blocks_and_filter(spark, monkeypatch):
     docs = planted(0.0)
     rows = [(i, t, "x") for i, t, _ in docs] + [(None, None, "x"), (700, "", "x"), (1, docs[1][1], "x")]
