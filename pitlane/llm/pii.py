@@ -1,9 +1,12 @@
 """Personal data: fixed patterns and a character tagger that learns from their spans.
 
 Base spans come from four fixed patterns.  The tagger (bidirectional LSTM with CRF
-transitions, see `tagger`) is trained on windows labelled with them, and adds the kinds
-`seen_email`, `seen_ip`, `seen_card` and `seen_phone`: spans that it reads as such where
-no base span lies.
+transitions, see `tagger`) is trained on windows labelled with them and on windows of the
+corpus into which labelled spans of three more kinds were put, which no pattern gives:
+bank accounts (`iban`), national identity numbers (`idnum`) and phone numbers without a
+country (`local`).  It adds the kinds `seen_email`, `seen_ip`, `seen_card`, `seen_phone`,
+`seen_iban`, `seen_idnum` and `seen_local`: spans that it reads as such where no base span
+lies.  A span that would begin or end inside a run of letters and digits is not added.
 
 Windows.  All these kinds hold a digit or `@`, so windows lie around those characters,
 `MARGIN` to either side, in every text.  Longer stretches are covered by windows of
@@ -11,7 +14,7 @@ Windows.  All these kinds hold a digit or `@`, so windows lie around those chara
 window in which it lies farthest from an edge.
 
 The fit uses a bounded sample: the `PER_KIND` distinct windows with spans and half as
-many without, that have the smallest hashes.  Scanning covers every text.
+many without, that have the smallest hashes; `PER_MADE` of the latter get invented spans.  Scanning covers every text.
 
 Defined cases: null and empty texts have no spans; a null id is carried through; without
 windows to learn from nothing is added; repeated rows give repeated results; other
@@ -37,8 +40,11 @@ from pitlane.llm.tagger import Tagger, classes_of
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 KINDS = ("email", "ip", "card", "phone")
+# Kinds that only the tagger finds.
+LEARNED = ("iban", "idnum", "local")
+READ = KINDS + LEARNED
 LENGTH, OVERLAP, MARGIN = 96, 32, 24
-PER_KIND, PASSES = 500, 12
+PER_KIND, PER_MADE, PASSES, BATCH = 500, 900, 14, 40
 SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_seen long"
 
 # The base patterns.
@@ -118,7 +124,7 @@ def label_row(spans: list[Span], start: int, end: int) -> np.ndarray:
     """0 outside, 1 + 2k at the first character of kind k, 2 + 2k inside; cut at the window's edges."""
     row = np.zeros(end - start, dtype=np.int64)
     for kind, s, e in spans:
-        k = KINDS.index(kind)
+        k = READ.index(kind)
         a, b = max(s, start), min(e, end)
         if a < b and not row[a - start : b - start].any():
             row[a - start : b - start] = 2 + 2 * k
@@ -161,7 +167,7 @@ def joined_spans(votes: dict[int, tuple[int, int]]) -> list[Span]:
         label = votes[p][1]
         if not label:
             continue
-        kind = KINDS[(label - 1) // 2]
+        kind = READ[(label - 1) // 2]
         if label % 2 == 0 and spans and spans[-1][0] == kind and spans[-1][2] == p:
             spans[-1][2] = p + 1
         else:
@@ -170,22 +176,69 @@ def joined_spans(votes: dict[int, tuple[int, int]]) -> list[Span]:
 
 
 def added(text: str, base: list[Span], seen: list[Span]) -> list[Span]:
-    """What the tagger adds: trimmed, at least six characters, clear of base spans."""
+    """What the tagger adds: trimmed, at least six characters, whole runs, clear of base spans."""
     out = []
     for kind, s, e in seen:
         while s < e and text[s].isspace():
             s += 1
         while e > s and text[e - 1].isspace():
             e -= 1
-        if e - s >= 6 and TRIGGER.search(text, s, e) and not any(a < e and s < b for _, a, b in base):
+        cut = (0 < s < e and text[s - 1].isalnum() and text[s].isalnum()) or (s < e < len(text) and text[e - 1].isalnum() and text[e].isalnum())
+        if e - s >= 6 and not cut and TRIGGER.search(text, s, e) and not any(a < e and s < b for _, a, b in base):
             out.append((f"seen_{kind}", s, e))
-    return sorted(out, key=lambda x: (KINDS.index(x[0][5:]), x[1]))
+    return sorted(out, key=lambda x: (READ.index(x[0][5:]), x[1]))
 
 
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
+def invented(kind: str, rng: np.random.Generator) -> str:
+    """A made-up value of a learned kind; of kind "none" something that looks like one and is not."""
+
+    def digits(n: int) -> str:
+        return "".join(map(str, rng.integers(0, 10, n)))
+
+    def letters(n: int) -> str:
+        return "".join(chr(65 + int(c)) for c in rng.integers(0, 26, n))
+
+    if kind == "iban":
+        body = digits(int(rng.integers(11, 25)))
+        groups = [body[i : i + 4] for i in range(0, len(body), 4)]
+        return f"{letters(2)}{digits(2)}" + (" " + " ".join(groups) if rng.integers(2) else body)
+    if kind == "idnum":
+        return f"{digits(3)}-{digits(2)}-{digits(4)}"
+    if kind == "local":
+        a, b, c = digits(3), digits(3), digits(4)
+        return [f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"0{a} {b} {c}"][rng.integers(4)]
+    return [
+        f"{digits(2)}/{digits(2)}/{digits(4)}", f"{digits(4)}-{digits(2)}-{digits(2)}", f"{digits(2)}:{digits(2)}:{digits(2)}",
+        f"{digits(4)}-{digits(4)}", f"{digits(1)},{digits(3)}.{digits(2)}", f"v{digits(1)}.{digits(2)}.{digits(1)}", f"#{digits(6)}",
+        f"{letters(3)}-{digits(4)}", digits(int(rng.integers(3, 13))), f"{letters(4)}{digits(12)}",
+    ][rng.integers(10)]
+
+
+def planted(carriers: list[str], count: int, seed: int = 0) -> list[tuple[str, bytes]]:
+    """Windows with an invented value of each kind in turn, every fourth a mere look-alike, and their labels."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in range(count if carriers else 0):
+        carrier = carriers[int(rng.integers(len(carriers)))][: LENGTH - 40]
+        kind = (*LEARNED, "none")[i % 4]
+        value = invented(kind, rng)
+        gaps = [0, *(p + 1 for p, c in enumerate(carrier) if c == " "), len(carrier)]
+        at = gaps[int(rng.integers(len(gaps)))]
+        before = carrier[:at] + (" " if at and carrier[at - 1] != " " else "")
+        after = ["", ".", ",", ")", ";"][int(rng.integers(5))] + " " + carrier[at:]
+        text = before + value + after
+        spans = [(k, s, e) for k, s, e in base_spans(text) if e <= len(before) or s >= len(before) + len(value)]
+        if kind != "none":
+            spans.append((kind, len(before), len(before) + len(value)))
+        row = label_row(spans, 0, len(text))
+        out.append((text, row.astype(np.uint8).tobytes()))
+    return out
+
+
 def train(docs: DataFrame, text_col: str = "text", per_kind: int = PER_KIND) -> Tagger | None:
     """Fit on a bounded sample of windows labelled with the base spans; None without any."""
 
@@ -208,9 +261,10 @@ def train(docs: DataFrame, text_col: str = "text", per_kind: int = PER_KIND) ->
     found = sorted((r.part, bytes(r.marks)) for r in parts[0].unionByName(parts[1]).collect())
     if not any(any(m) for _, m in found):
         return None
+    found += planted([p for p, m in found if not any(m)], PER_MADE)
     x, mask = padded([classes_of(codes_of(p)) for p, _ in found])
     y, _ = padded([np.frombuffer(m, np.uint8).astype(np.int64) for _, m in found])
-    return Tagger(labels=1 + 2 * len(KINDS)).start().fit(x, y, mask, PASSES)
+    return Tagger(labels=1 + 2 * len(READ)).start().fit(x, y, mask, PASSES, BATCH)
 
 
 def scan(df: DataFrame, model: Tagger | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -45,6 +45,12 @@ def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def spread(scores: np.ndarray, ways: np.ndarray) -> np.ndarray:
+    """log(exp(scores) @ ways) of each row."""
+    top = scores.max(axis=1, keepdims=True)
+    return top + np.log(np.exp(scores - top) @ ways)
+
+
 @dataclass
 class Tagger:
     labels: int
@@ -89,21 +95,24 @@ class Tagger:
         w, (n, t), size = self.weights, x.shape, self.hidden
         emit, (both, joint, steps) = self.run(x, mask, keep=True)
         move = w["move"]
+        ways = np.exp(move)
         real = mask.astype(bool)
         ahead = np.zeros((t, n, self.labels))
         ahead[0] = emit[:, 0]
         for i in range(1, t):
-            step = log_sum(ahead[i - 1][:, :, None] + move, 1) + emit[:, i]
+            step = spread(ahead[i - 1], ways) + emit[:, i]
             ahead[i] = np.where(real[:, i, None], step, ahead[i - 1])
         total = log_sum(ahead[-1], 1)
         back = np.zeros((t, n, self.labels))
         d_move = np.zeros_like(move)
         for i in range(t - 2, -1, -1):
-            after = move + (emit[:, i + 1] + back[i + 1])[:, None, :]
+            after = emit[:, i + 1] + back[i + 1]
             on = real[:, i + 1, None]
-            back[i] = np.where(on, log_sum(after, 2), back[i + 1])
-            both_p = np.exp(ahead[i][:, :, None] + after - total[:, None, None]) * on[..., None]
-            d_move += both_p.sum(0)
+            back[i] = np.where(on, spread(after, ways.T), back[i + 1])
+            # The chance of each pair of labels at i and i + 1, as a product of both sides.
+            left, right = ahead[i].max(1, keepdims=True), after.max(1, keepdims=True)
+            weight = np.where(on, np.exp(np.where(on, left + right - total[:, None], 0)), 0)
+            d_move += ((np.exp(ahead[i] - left) * weight).T @ np.exp(after - right)) * ways
         share = np.exp(ahead.transpose(1, 0, 2) + back.transpose(1, 0, 2) - total[:, None, None]) * mask[..., None]
         rows, at = np.arange(n)[:, None], np.arange(t)[None, :]
         score = (emit[rows, at, y] * mask).sum()

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -93,6 +94,39 @@ def test_held_out_spans_are_read(learned):
     assert hit / sum(map(len, want)) > 0.9 and hit / sum(map(len, seen)) > 0.9
 
 
+def test_kinds_without_a_pattern_are_read(learned):
+    _, model = learned
+    carriers = [" ".join(rng.choice(["the", "Then,", "été", "house.", "12", "v2.0", "1999", "of", "a"], 9)) for _ in range(60)]
+    windows = pii.planted(carriers, 400, seed=77)
+    seen = pii.seen_spans([t for t, _ in windows], model)
+    right = wanted = given = 0
+    for (text, marks), spans in zip(windows, seen):
+        want = {s for s in pii.joined_spans({p: (0, m) for p, m in enumerate(marks)}) if s[0] in pii.LEARNED}
+        got = {(k[5:], s, e) for k, s, e in pii.added(text, pii.base_spans(text), spans) if k[5:] in pii.LEARNED}
+        free = {w for w in want if not any(a < w[2] and w[1] < b for _, a, b in pii.base_spans(text))}
+        right, wanted, given = right + len(free & got), wanted + len(free), given + len(got)
+    assert wanted > 250 and right / wanted > 0.9 and right / given > 0.9, (right, wanted, given)
+
+
+def test_no_added_span_cuts_a_run():
+    text = "id 9870157079875996 and AB12 3456"
+    assert pii.added(text, [], [("card", 3, 17), ("card", 5, 19)]) == []
+    assert pii.added(text, [], [("card", 3, 19), ("iban", 24, 33)]) == [("seen_card", 3, 19), ("seen_iban", 24, 33)]
+    assert pii.added(text, [("card", 3, 19)], [("card", 3, 19)]) == []
+
+
+def test_viterbi_equals_enumeration():
+    tagger = Tagger(labels=3, hidden=3, seed=5).start()
+    x, mask = rng.integers(1, CLASSES, (4, 6)), np.ones((4, 6))
+    mask[1, 4:] = 0
+    emit, _ = tagger.run(x, mask)
+    for row, found in enumerate(tagger.decode(x, mask)):
+        n = int(mask[row].sum())
+        ways = itertools.product(range(3), repeat=n)
+        best = max(ways, key=lambda y: sum(emit[row, i, y[i]] for i in range(n)) + sum(tagger.weights["move"][a, b] for a, b in zip(y, y[1:])))
+        assert tuple(found[:n]) == best
+
+
 def test_rows(spark, learned):
     df, model = learned
     more = spark.createDataFrame([(None, None), (5000, ""), (5001, ODD[10]), (0, df.first().text)], df.schema)
