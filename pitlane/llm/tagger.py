@@ -37,7 +37,7 @@ def classes_of(codes: np.ndarray) -> np.ndarray:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
 def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -124,21 +124,26 @@ class Tagger:
         grads = {"move": d_move / n, "bias": d_emit.sum((0, 1)), "out": np.einsum("nth,ntl->hl", joint, d_emit)}
         d_joint = d_emit @ w["out"].T
         d_states = np.stack((d_joint[..., :size], d_joint[:, ::-1, size:]))
-        d_x, d_h, d_b = np.zeros_like(w["x"]), np.zeros_like(w["h"]), np.zeros_like(w["b"])
         dh_next, dc_next = np.zeros((2, n, size)), np.zeros((2, n, size))
         turned = w["h"].transpose(0, 2, 1)
+        d_gates = np.zeros((t, 2, n, 4 * size))
         for i in range(t - 1, -1, -1):
-            (h0, c0), ins, forget, out, new, shown, m = steps[i]
+            (_, c0), ins, forget, out, new, shown, m = steps[i]
             dh = (d_states[:, :, i] + dh_next) * m
             dc = (dc_next + dh * out * (1 - shown**2)) * m
-            d_gates = np.concatenate(
-                (dc * new * ins * (1 - ins), dc * c0 * forget * (1 - forget), dh * shown * out * (1 - out), dc * ins * (1 - new**2)), axis=2
-            )
-            for d in (0, 1):
-                np.add.at(d_x[d], both[d][:, i], d_gates[d])
-            d_h += h0.transpose(0, 2, 1) @ d_gates
-            d_b += d_gates.sum(1, keepdims=True)
-            dh_next, dc_next = d_gates @ turned, dc * forget
+            step = d_gates[i]
+            step[..., :size] = dc * new * ins * (1 - ins)
+            step[..., size : 2 * size] = dc * c0 * forget * (1 - forget)
+            step[..., 2 * size : 3 * size] = dh * shown * out * (1 - out)
+            step[..., 3 * size :] = dc * ins * (1 - new**2)
+            dh_next, dc_next = step @ turned, dc * forget
+        # The weights' gradients are products over all steps at once.
+        d_b = d_gates.sum((0, 2))[:, None]
+        d_x, d_h = np.zeros_like(w["x"]), np.zeros_like(w["h"])
+        for d in (0, 1):
+            rows_of = d_gates[:, d].reshape(t * n, 4 * size)
+            d_x[d] = (np.arange(CLASSES)[:, None] == both[d].T.reshape(1, t * n)).astype(float) @ rows_of
+            d_h[d] = np.stack([s[0][0][d] for s in steps]).reshape(t * n, size).T @ rows_of
         grads |= {"x": d_x, "h": d_h, "b": d_b}
         return float((total.sum() - score) / n), grads
 
@@ -147,11 +152,11 @@ class Tagger:
         rng = np.random.default_rng(self.seed)
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        step = 0
+        step, lengths = 0, mask.sum(1).astype(int)
         for number in range(passes):
             order = rng.permutation(len(x))
             for part in (order[i : i + batch] for i in range(0, len(x), batch)):
-                t = int(mask[part].sum(1).max())
+                t = int(lengths[part].max())
                 _, grads = self.loss_and_gradients(x[part, :t], y[part, :t], mask[part, :t])
                 step += 1
                 speed = rate * (1 - number / passes) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
