@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.operators.shaping import union_by_name
+from pitlane.operators.shaping import grand_prix_events, union_by_name
 from pitlane.sources.writers import write_season
 
 
@@ -38,3 +38,27 @@ def season_summary(season: DataFrame, expected: DataFrame | None = None) -> Data
         names(known).alias("processed"),
         names(~known).alias("missing"),
     )
+
+
+def event_status(schedule: DataFrame, landed: DataFrame, pattern: str = "Grand Prix") -> DataFrame:
+    """The schedule's grand prix events with what is stored of each: laps, drivers, last lap.
+
+    `Next` marks the first event of its season, by date and round, of which nothing is stored.
+    Events without a name are left out, those without a date are never next; stored races
+    outside the schedule add nothing.
+    """
+    stored = landed.groupBy("Year", F.col("Race").alias("EventName")).agg(
+        F.count(F.lit(1)).alias("Laps"),
+        F.count_distinct("Driver").alias("Drivers"),
+        F.max("LapNumber").alias("LastLap"),
+    )
+    events = grand_prix_events(schedule, "EventName").join(stored, ["Year", "EventName"], "left")
+    missing = F.col("Laps").isNull()
+    place = F.struct("EventDate", "RoundNumber", "EventName")
+    # A season has tens of events, so its first missing one is a small aggregate.
+    first = events.where(missing & F.col("EventDate").isNotNull()).groupBy("Year").agg(F.min(place).alias("_next"))
+    return events.join(first, "Year", "left").select(
+        "Year", "RoundNumber", "EventName", "EventDate",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("Laps", "Drivers", "LastLap")],
+        F.coalesce(missing & (place == F.col("_next")), F.lit(False)).alias("Next"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane import schemas
@@ -25,7 +25,7 @@ from pitlane.workbench.telemetry_queries import (
     STEPS,
     lap_time_micros,
 )
-from pitlane.workbench.views import laps, tel
+from pitlane.workbench.views import _RACE_LIST, RACES, _season, laps, table, tel
 
 CHAIN = [*STEPS, LAP_FEATURES, *LAP_FUEL]
 PROCESSED = (
@@ -158,6 +158,43 @@ sql(
 )
 
 
+@query("event_schedule")
+def event_schedule(spark, folder):
+    """A stored schedule read for one season, next to the laps stored of its events.
+
+    Rounds follow the first day of each race, a test before the season is round 0; laps of
+    the season's later half are not there yet.
+    """
+    days = table(spark, folder, "orders").select(*_season("o_custkey"), F.col("o_orderdate").cast("date").alias("Day"))
+    races = days.groupBy("Year", F.col("Race").alias("EventName")).agg(F.min("Day").alias("EventDate"))
+    # Few events, one per race and season.
+    rounds = races.select("*", F.row_number().over(Window.partitionBy("Year").orderBy("EventDate", "EventName")).alias("RoundNumber"))
+    tests = races.groupBy("Year").agg((F.min("EventDate") - F.expr("INTERVAL 7 DAYS")).cast("date").alias("EventDate")).select(
+        "*", F.lit("Pre-Season Testing").alias("EventName"), F.lit(0).alias("RoundNumber")
+    )
+    path = scratch_path(spark, "schedule")
+    rounds.unionByName(tests).select("Year", "RoundNumber", "EventName", "EventDate").write.partitionBy("Year").parquet(path)
+    late = rounds.where("RoundNumber % 3 = 0").select("Year", F.col("EventName").alias("Race"))
+    landed = laps(spark, folder).join(late, ["Year", "Race"], "left_anti")
+    made = season.event_status(readers.read_schedule(spark, path, 2023), landed)
+    return made.withColumn("EventDate", F.col("EventDate").cast("string"))
+
+
+sql(
+    "event_schedule", "laps",
+    f"""SELECT Year, RoundNumber, EventName, EventDate::VARCHAR AS EventDate, coalesce(Laps, 0) AS Laps,
+              coalesce(Drivers, 0) AS Drivers, coalesce(LastLap, 0) AS LastLap,
+              Laps IS NULL AND row_number() OVER (PARTITION BY Year, Laps IS NULL ORDER BY EventDate, RoundNumber) = 1 AS Next
+       FROM (SELECT *, cast(row_number() OVER (PARTITION BY Year ORDER BY EventDate, EventName) AS int) AS RoundNumber
+             FROM (SELECT cast(2022 + o_custkey % 3 AS int) AS Year,
+                          {_RACE_LIST}[cast(o_custkey % {len(RACES)} + 1 AS int)] AS EventName,
+                          min(o_orderdate)::DATE AS EventDate FROM orders GROUP BY ALL)) e
+       LEFT JOIN (SELECT Year AS y, Race, count(*) AS Laps, count(DISTINCT Driver) AS Drivers, max(LapNumber) AS LastLap
+                  FROM laps GROUP BY ALL) s ON y = Year AND Race = EventName AND RoundNumber % 3 <> 0
+       WHERE Year = 2023 AND contains(EventName, 'Grand Prix')""",
+)
+
+
 @query("write_if_absent")
 def write_if_absent(spark, folder):
     """The second delivery holds all seasons, but stored ones keep their first content."""

@@ -152,3 +152,28 @@ def test_schedule_and_records(spark, tmp_path):
     (tmp_path / "c.csv").write_text("a,b\n1,x\n")
     got = readers.read_delivered(spark, str(tmp_path / "c.csv"), "csv", "a int, b string").first()
     assert tuple(got) == (1, "x")
+
+
+def test_event_status(spark, tmp_path):
+    events = spark.sql(
+        "SELECT * FROM VALUES (2023, 0, 'Pre-Season Testing', DATE'2023-02-23'), (2023, 1, 'Bahrain Grand Prix', DATE'2023-03-05'), "
+        "(2023, 2, 'Jeddah Grand Prix', DATE'2023-03-19'), (2023, 3, 'Melbourne Grand Prix', DATE'2023-04-02'), "
+        "(2023, 4, 'Imola Grand Prix', NULL), (2023, 5, NULL, DATE'2023-05-01'), (2022, 1, 'Old Grand Prix', DATE'2022-03-05') "
+        "AS t(Year, RoundNumber, EventName, EventDate)"
+    )
+    events.write.partitionBy("Year").parquet(str(tmp_path / "e"))
+    laps = spark.sql(
+        "SELECT * FROM VALUES (2023, 'Bahrain Grand Prix', 'VER', 1), (2023, 'Bahrain Grand Prix', 'VER', 2), "
+        "(2023, 'Bahrain Grand Prix', 'HAM', 1), (2023, 'Street Race', 'HAM', 9), (2022, 'Jeddah Grand Prix', 'HAM', 1) "
+        "AS t(Year, Race, Driver, LapNumber)"
+    )
+    status = season.event_status(readers.read_schedule(spark, str(tmp_path / "e"), 2023), laps)
+    rows = {r.EventName: (r.RoundNumber, r.Laps, r.Drivers, r.LastLap, r.Next) for r in status.collect()}
+    assert rows == {
+        "Bahrain Grand Prix": (1, 3, 2, 2, False),
+        "Jeddah Grand Prix": (2, 0, 0, 0, True),
+        "Melbourne Grand Prix": (3, 0, 0, 0, False),
+        "Imola Grand Prix": (4, 0, 0, 0, False),
+    }
+    assert season.event_status(events.limit(0), laps).count() == 0
+    assert season.event_status(events, laps.limit(0)).where("Next").count() == 2
