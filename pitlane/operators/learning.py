@@ -10,12 +10,14 @@ from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -223,6 +225,24 @@ def _fit(estimator, df: DataFrame, features: list[str], label: str) -> Fitted:
     return Fitted(estimator.fit(assemble(known, features)), features)
 
 
+# Rows, mean label and squared error around that mean of a set of equal rows.
+COUNT, MEAN, AROUND = "_rows", "_mean", "_around"
+
+
+def alike(df: DataFrame, features: list[str], label: str, also: list[Column] = ()) -> DataFrame:
+    """One row per distinct (features, `also`) with its number of rows, mean label and error around it.
+
+    A squared-error model sees no more of rows with equal features than this: weighted by
+    their number, their mean gives the same gains and the same estimates.  Rows with a
+    missing feature or label are left out.
+    """
+    known = df.select(*features, F.col(label).cast("double").alias(label)).dropna()
+    rows = F.count(F.lit(1)).cast("double")
+    return known.groupBy(*features, *also).agg(
+        rows.alias(COUNT), F.avg(label).alias(MEAN), (F.var_pop(label) * rows).alias(AROUND)
+    )
+
+
 def linear(df: DataFrame, features: list[str], label: str) -> Fitted:
     """Least squares without regularisation, by one pass of normal equations."""
     return _fit(LinearRegression(solver="normal"), df, features, label)
@@ -396,6 +416,81 @@ def adaptive_search(
     return tried
 
 
+def _grown(estimator, train: DataFrame, rows: float, depth: int, leaf: int) -> DecisionTreeRegressionModel:
+    """A tree on weighted rows whose leaves have at least `leaf` of the `rows` original ones."""
+    made = estimator.copy().setLabelCol(MEAN).setWeightCol(COUNT).setMinInstancesPerNode(1)
+    if 2 * leaf > rows:
+        return made.setMaxDepth(0).fit(train)
+    return made.setMaxDepth(depth).setMinWeightFractionPerNode((leaf - 0.5) / rows).fit(train)
+
+
+def _errors_by_depth(model: DecisionTreeRegressionModel, test: DataFrame, depth: int) -> list[float]:
+    """Squared error over the weighted rows of `test` of the tree cut at depth 0, 1, ... `depth`.
+
+    Trees grow level by level, so a tree of less depth is the upper part of a deeper one.
+    """
+    spark = test.sparkSession
+    path = scratch_path(spark, "tree")
+    model.write().save(path)
+    # The nodes of one model, which the driver has made.
+    nodes = spark.read.parquet(f"{path}/data").orderBy("id").toPandas()
+    feature = np.array([s["featureIndex"] for s in nodes["split"]])
+    limit = np.array([s["leftCategoriesOrThreshold"][0] if s["featureIndex"] >= 0 else 0.0 for s in nodes["split"]])
+    left, right, value = (nodes[c].to_numpy() for c in ("leftChild", "rightChild", "prediction"))
+
+    def descend(parts):
+        for rows in parts:
+            x, at = np.array(rows["_x"].tolist()).reshape(len(rows), -1), np.zeros(len(rows), dtype=int)
+            errors = []
+            for _ in range(depth + 1):
+                errors.append(float((rows[AROUND] + rows[COUNT] * (rows[MEAN] - value[at]) ** 2).sum()))
+                low = x[np.arange(len(at)), feature[at]] <= limit[at]
+                at = np.where(left[at] < 0, at, np.where(low, left[at], right[at]))
+            yield pd.DataFrame({"depth": range(depth + 1), "error": errors})
+
+    few = test.select(vector_to_array(VECTOR).alias("_x"), COUNT, MEAN, AROUND)
+    sums = few.mapInPandas(descend, "depth int, error double").groupBy("depth").agg(F.sum("error").alias("error"))
+    found = {r.depth: r.error for r in sums.collect()}
+    return [found[d] for d in range(depth + 1)]
+
+
+class TreeTrials:
+    """Cross-validated errors of regression trees by depth and least rows of a leaf.
+
+    One tree for each fold and least number serves all depths up to its own; fits run on
+    rows that are alike, so they grow with the distinct features and not with the table.
+    """
+
+    def __init__(self, estimator, rows: DataFrame):
+        self.estimator, self.rows = estimator, rows
+        self.sizes = {r._fold: r.rows for r in rows.groupBy("_fold").agg(F.sum(COUNT).alias("rows")).collect()}
+        self.folds = sorted(self.sizes)
+        self.known: dict[int, list[float]] = {}
+
+    def __call__(self, some: list[dict], pool: ThreadPool) -> list[float]:
+        asked = [(self._of(t, "minInstancesPerNode"), self._of(t, "maxDepth")) for t in some]
+        deepest: dict[int, int] = {}
+        for leaf, depth in asked:
+            if depth >= len(self.known.get(leaf, [])):
+                deepest[leaf] = max(depth, deepest.get(leaf, 0))
+        # The longest fits first.
+        jobs = sorted(((depth, leaf, i) for leaf, depth in deepest.items() for i in self.folds), reverse=True)
+        made = dict(zip(jobs, pool.map(self._fold_errors, jobs, chunksize=1)))
+        for leaf, depth in deepest.items():
+            each = [made[depth, leaf, i] for i in self.folds]
+            self.known[leaf] = [sum(errors) / len(each) for errors in zip(*each)]
+        return [self.known[leaf][depth] for leaf, depth in asked]
+
+    def _of(self, trial: dict, name: str) -> int:
+        return trial.get(name, self.estimator.getOrDefault(name))
+
+    def _fold_errors(self, job: tuple[int, int, int]) -> list[float]:
+        depth, leaf, i = job
+        others = sum(n for fold, n in self.sizes.items() if fold != i)
+        model = _grown(self.estimator, self.rows.where(F.col("_fold") != i), others, depth, leaf)
+        return [e / self.sizes[i] for e in _errors_by_depth(model, self.rows.where(F.col("_fold") == i), depth)]
+
+
 def tune(
     estimator,
     space: dict,
@@ -410,7 +505,8 @@ def tune(
     """Adaptive search for the parameters with the least cross-validated MSE.
 
     `parallelism` trials are fitted at once.  Returns the model refitted with the best
-    parameters and one row per trial.
+    parameters and one row per trial.  Regression trees of which only depth and least rows
+    of a leaf are searched share fits (`TreeTrials`).
     """
     estimator = estimator.setFeaturesCol(VECTOR).setLabelCol(label)
 
@@ -420,6 +516,20 @@ def tune(
 
     known = df.select(*features, F.col(label).cast("double").alias(label)).dropna()
     fold = (F.abs(F.xxhash64(F.lit(seed), *known.columns) % folds)).alias("_fold")
+    if isinstance(estimator, DecisionTreeRegressor) and set(space) <= {"maxDepth", "minInstancesPerNode"}:
+        # Least squares of a leaf need no more than the alike rows, but labels decide on the fold.
+        rows = assemble(alike(known, features, label, [fold]), features).select(VECTOR, "_fold", COUNT, MEAN, AROUND).persist()
+        try:
+            with ThreadPool(parallelism) as pool:
+                trials_of = TreeTrials(estimator, rows)
+                tried = adaptive_search(space, lambda some: trials_of(some, pool), trials, parallelism, seed)
+            best = min(tried, key=lambda t: t[1])[0]
+            whole = sum(trials_of.sizes.values())
+            leaf, depth = (trials_of._of(best, name) for name in ("minInstancesPerNode", "maxDepth"))
+            model = _grown(estimator, rows, whole, depth, leaf)
+        finally:
+            rows.unpersist()
+        return Fitted(model, features), _trials(df, tried)
     ready = assemble(known.select("*", fold), features).select(VECTOR, label, "_fold").persist()
     try:
         judge = RegressionEvaluator(labelCol=label, metricName="mse")
@@ -439,9 +549,12 @@ def tune(
         model = estimator.fit(ready, settings(best))
     finally:
         ready.unpersist()
+    return Fitted(model, features), _trials(df, tried)
+
+
+def _trials(df: DataFrame, tried: list[tuple[dict, float]]) -> DataFrame:
     rows = [(i, ", ".join(f"{n}={v}" for n, v in params.items()), float(score)) for i, (params, score) in enumerate(tried)]
-    table = df.sparkSession.createDataFrame(rows, "trial int, params string, MSE double")
-    return Fitted(model, features), table
+    return df.sparkSession.createDataFrame(rows, "trial int, params string, MSE double")
 
 
 # -- grouping and projection -----------------------------------------------

@@ -115,6 +115,35 @@ def test_search(table, points):
     assert learning.cross_validated_mse(table, ["a", "b"], "y", ["id"]) < 0.1
 
 
+def test_search_of_trees_shares_fits(spark, monkeypatch):
+    """The errors are those of one fit for each trial and fold, from far fewer fits on rows that are alike."""
+    draw = random.Random(4)
+    cells = [(float(draw.randint(0, 40)), float(draw.randint(0, 5))) for _ in range(2500)]
+    rows = [(a, b, a * b + draw.gauss(0, 20)) for a, b in cells]
+    table = spark.createDataFrame(rows, "a double, b double, y double")
+    fits, fit = [], DecisionTreeRegressor._fit
+    monkeypatch.setattr(DecisionTreeRegressor, "_fit", lambda self, df: fits.append(df.count()) or fit(self, df))
+    _, trials = learning.tune(DecisionTreeRegressor(seed=1), learning.TREE_SPACE, table, ["a", "b"], "y", 12, 3, parallelism=6)
+    assert len(fits) < 12 * 3 and max(fits) <= 3 * 41 * 6
+    monkeypatch.undo()
+
+    ready = learning.assemble(table.withColumn("f", F.abs(F.xxhash64(F.lit(42), "a", "b", "y") % 3)), ["a", "b"]).persist()
+    for trial in trials.limit(3).collect():
+        depth, leaf = (int(part.split("=")[1]) for part in trial.params.split(", "))
+        made = DecisionTreeRegressor(seed=1, maxDepth=depth, minInstancesPerNode=leaf, featuresCol="_features", labelCol="y")
+        errors = [learning.mse(made.fit(ready.where(F.col("f") != i)).transform(ready.where(F.col("f") == i)), "y", "prediction") for i in range(3)]
+        assert trial.MSE == pytest.approx(sum(errors) / 3, rel=1e-9)
+    ready.unpersist()
+
+
+def test_least_rows_of_a_leaf_are_original_rows(spark):
+    """Five alike rows on one side count as five."""
+    table = spark.createDataFrame([(0.0, 1.0)] * 5 + [(1.0, 9.0)] * 3, "a double, y double")
+    rows = learning.assemble(learning.alike(table, ["a"], "y"), ["a"])
+    for leaf, nodes in ((1, 3), (3, 3), (4, 1), (5, 1)):
+        assert learning._grown(DecisionTreeRegressor(featuresCol="_features"), rows, 8, 4, leaf).numNodes == nodes
+
+
 def test_clusters_and_components(table, points):
     sizes = learning.cluster(table, ["a", "b", "y"]).groupBy("Cluster").count().collect()
     assert len(sizes) == 3 and sum(r["count"] for r in sizes) == N
