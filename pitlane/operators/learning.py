@@ -18,7 +18,6 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -204,6 +203,13 @@ def assemble(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol=VECTOR).transform(df)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a scratch table: made once, read by column as often as needed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # -- models ----------------------------------------------------------------
 
 
@@ -236,7 +242,7 @@ def alike(df: DataFrame, features: list[str], label: str, also: list[Column] = (
     their number, their mean gives the same gains and the same estimates.  Rows with a
     missing feature or label are left out.
     """
-    known = df.select(*features, F.col(label).cast("double").alias(label)).dropna()
+    known = df.withColumn(label, F.col(label).cast("double")).dropna(subset=[*features, label])
     rows = F.count(F.lit(1)).cast("double")
     return known.groupBy(*features, *also).agg(
         rows.alias(COUNT), F.avg(label).alias(MEAN), (F.var_pop(label) * rows).alias(AROUND)
@@ -321,21 +327,30 @@ def mse(df: DataFrame, label: str, prediction: str = "Prediction") -> float:
 def cross_validated_mse(
     df: DataFrame, features: list[str], label: str, order: list[str], folds: int = 5
 ) -> float:
-    """Mean squared error of the linear model over contiguous folds."""
-    known = df.dropna(subset=[*features, label, *order])
-    ready = assemble(kfold(known, order, folds), features).persist()
+    """Mean squared error of the linear model over contiguous folds.
+
+    The rows are made once and stored, as several passes look for the cuts between folds;
+    fits and errors take the rows that are alike.
+    """
+    columns = list(dict.fromkeys([*order, *features, label]))
+    known = stored(df.dropna(subset=columns).select(*columns), "folds")
+    rows = assemble(alike(kfold(known, order, folds), features, label, [F.col("Fold")]), features)
+    rows = rows.select(VECTOR, "Fold", COUNT, MEAN, AROUND).persist()
+    model = LinearRegression(solver="normal", featuresCol=VECTOR, labelCol=MEAN, weightCol=COUNT)
+
+    def fold_error(i: int) -> float:
+        scored = model.fit(rows.where(F.col("Fold") != i)).transform(rows.where(F.col("Fold") == i))
+        error = F.col(AROUND) + F.col(COUNT) * (F.col(MEAN) - F.col("prediction")) ** 2
+        value = scored.agg(F.sum(error) / F.sum(COUNT)).first()[0]
+        if value is None:
+            raise ValueError(f"fold {i} has no rows")
+        return value
+
     try:
-        validator = CrossValidator(
-            estimator=LinearRegression(solver="normal", featuresCol=VECTOR, labelCol=label),
-            estimatorParamMaps=ParamGridBuilder().build(),
-            evaluator=RegressionEvaluator(labelCol=label, metricName="mse"),
-            foldCol="Fold",
-            numFolds=folds,
-            parallelism=folds,
-        )
-        return float(validator.fit(ready).avgMetrics[0])
+        with ThreadPool(folds) as pool:
+            return sum(pool.map(fold_error, range(folds))) / folds
     finally:
-        ready.unpersist()
+        rows.unpersist()
 
 
 @dataclass(frozen=True)

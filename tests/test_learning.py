@@ -144,6 +144,25 @@ def test_least_rows_of_a_leaf_are_original_rows(spark):
         assert learning._grown(DecisionTreeRegressor(featuresCol="_features"), rows, 8, 4, leaf).numNodes == nodes
 
 
+def counted(table, column):
+    """The table and an accumulator of how often a row of it is made."""
+    seen = table.sparkSession.sparkContext.accumulator(0)
+    made = F.udf(lambda v: seen.add(1) or v, "double").asNondeterministic()
+    return table.withColumn(column, made(column)), seen
+
+
+def test_folds_make_the_rows_once(table, points):
+    rows, seen = counted(table, "a")
+    got = learning.cross_validated_mse(rows, ["a", "b"], "y", ["id"])
+    assert seen.value == N
+    x, y, errors = np.column_stack([np.ones(N), *points[:2]]), points[2], []
+    for part in np.array_split(np.arange(N), 5):
+        rest = np.setdiff1d(np.arange(N), part)
+        weights = np.linalg.lstsq(x[rest], y[rest], rcond=None)[0]
+        errors.append(((x[part] @ weights - y[part]) ** 2).mean())
+    assert got == pytest.approx(np.mean(errors), rel=1e-9)
+
+
 def test_clusters_and_components(table, points):
     sizes = learning.cluster(table, ["a", "b", "y"]).groupBy("Cluster").count().collect()
     assert len(sizes) == 3 and sum(r["count"] for r in sizes) == N
