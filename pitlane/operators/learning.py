@@ -263,8 +263,15 @@ def tree(
 
 
 def boosted(df: DataFrame, features: list[str], label: str, seed: int = 42, **params) -> Fitted:
-    """Gradient-boosted trees; parameters under their Spark names."""
-    return _fit(GBTRegressor(seed=seed, **params), df, features, label)
+    """Gradient-boosted trees; parameters under their Spark names.
+
+    Rounds run on the rows that are alike, unless rows are drawn or counted one by one.
+    """
+    made = GBTRegressor(seed=seed, **params)
+    if made.getSubsamplingRate() < 1 or made.getMinInstancesPerNode() > 1 or made.getLossType() != "squared" or made.isDefined("weightCol"):
+        return _fit(made, df, features, label)
+    made = made.setFeaturesCol(VECTOR).setLabelCol(MEAN).setWeightCol(COUNT)
+    return Fitted(made.fit(assemble(alike(df, features, label), features)), features)
 
 
 def coefficients(fitted: Fitted) -> DataFrame:

@@ -331,7 +331,8 @@ sql(
 
 @query("gbt_reg")
 def gbt_reg(spark, folder):
-    rows = known(spark, folder)
+    # Stored for the fit and the scores.
+    rows = learning.stored(known(spark, folder).select(*FEATURES, LABEL), "laps")
     fitted = learning.boosted(rows, FEATURES, LABEL)
     return statistics.regression_metrics(fitted.score(rows), LABEL, {"Boosted": "Prediction"})
 

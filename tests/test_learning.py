@@ -163,6 +163,20 @@ def test_folds_make_the_rows_once(table, points):
     assert got == pytest.approx(np.mean(errors), rel=1e-9)
 
 
+def test_boosting_fits_rows_that_are_alike(spark, monkeypatch):
+    draw = random.Random(6)
+    cells = [(float(draw.randint(0, 12)), float(draw.randint(0, 5))) for _ in range(1500)]
+    table = spark.createDataFrame([(a, b, a * b + draw.gauss(0, 5)) for a, b in cells], "a double, b double, y double")
+    fits, fit = [], GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, df: fits.append(df.count()) or fit(self, df))
+    made = learning.boosted(table, ["a", "b"], "y", maxIter=4)
+    assert fits == [len(set(cells))]
+    monkeypatch.undo()
+    plain = GBTRegressor(seed=42, maxIter=4, featuresCol="_features", labelCol="y").fit(learning.assemble(table, ["a", "b"]))
+    both = plain.transform(made.score(table, "Alike").transform(lambda df: learning.assemble(df, ["a", "b"])))
+    assert both.agg(F.max(F.abs(F.col("Alike") - F.col("prediction")))).first()[0] < 1e-9
+
+
 def test_clusters_and_components(table, points):
     sizes = learning.cluster(table, ["a", "b", "y"]).groupBy("Cluster").count().collect()
     assert len(sizes) == 3 and sum(r["count"] for r in sizes) == N
