@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pitlane.operators import learning, statistics
 from pitlane.operators.quantiles import iqr_filter
 from pitlane.operators.shaping import drop_missing, melt, of_drivers
-from pitlane.settings import materialize
 
 
 def evaluate(
@@ -23,13 +22,15 @@ def evaluate(
 ) -> DataFrame:
     """MSE and R2 per track of a boosted and a linear model trained on 80 % of the laps.
 
-    Text features are encoded and all features scaled before the split; the whole
-    season is scored.
+    Rows are split by their keys as they are given; text features are encoded and all
+    features scaled over both parts; the whole season is scored.
     """
-    ready = learning.numeric(learning.label_encode(dataset, text), features)
-    ready = statistics.standard_scale(ready, features)
+    # The needed columns are stored, as several passes look for the cut and the values to encode.
+    columns = dict.fromkeys([*keys, *features, label, group])
+    rows = learning.train_test_split(learning.stored(dataset.select(*columns), "season"), keys, 0.2, seed)
+    ready = learning.numeric(learning.label_encode(rows, text), features)
     # Stored, as both fits and the scores, which are read later, go over the same rows.
-    parts = materialize(learning.train_test_split(ready, keys, 0.2, seed))
+    parts = learning.stored(statistics.standard_scale(ready, features), "parts")
     train = parts.where(F.col("Part") == "train")
     boosted = learning.boosted(train, features, label, **params)
     linear = learning.linear(train, features, label)

@@ -177,6 +177,12 @@ def test_boosting_fits_rows_that_are_alike(spark, monkeypatch):
     assert both.agg(F.max(F.abs(F.col("Alike") - F.col("prediction")))).first()[0] < 1e-9
 
 
+def test_evaluation_makes_the_rows_once(table):
+    rows, seen = counted(table, "a")
+    made = evaluation.evaluate(rows, ["Track", "a", "b"], "y", ["id"], ["Track"], "Track", maxIter=2).collect()
+    assert len(made) == 3 and seen.value == N
+
+
 def test_clusters_and_components(table, points):
     sizes = learning.cluster(table, ["a", "b", "y"]).groupBy("Cluster").count().collect()
     assert len(sizes) == 3 and sum(r["count"] for r in sizes) == N
