@@ -25,6 +25,7 @@ from pitlane.operators.motion import accelerations
 from pitlane.operators.series import (
     Series,
     Sizes,
+    attach_totals,
     checked_broadcast,
     hand_down,
     hot_groups_of,
@@ -149,9 +150,9 @@ def _known(column: str) -> Column:
 
 
 def ordered_arrays(
-    df: DataFrame, keys: list[str], order: list[str], columns: list[str]
+    df: DataFrame, keys: list[str], order: list[str], columns: list[str], also: list[Column] = ()
 ) -> DataFrame:
-    """Known values of each column in order, as one array per group.
+    """Known values of each column in order, as one array per group, and other aggregates.
 
     Only for groups of bounded size; see `value_blocks` for the others.
     """
@@ -160,7 +161,7 @@ def ordered_arrays(
         item = F.struct(*order, F.col(c).alias("_v"))
         items = F.array_sort(F.collect_list(F.when(_known(c), item)))
         made.append(F.transform(items, lambda x: x["_v"]).alias(c))
-    return df.groupBy(*keys).agg(*made)
+    return df.groupBy(*keys).agg(*made, *also)
 
 
 def value_blocks(
@@ -331,6 +332,24 @@ def reference_signal(
 STYLE = {"LonAcc": "LonDistanceDTW", "LatAcc": "LatDistanceDTW"}
 
 
+def distances_to_best(laps: DataFrame, cells: int) -> DataFrame:
+    """Distance of every lap to its driver's reference among these laps, per direction.
+
+    Laps hold the known values of each signal as an array, which the distances replace.  The
+    reference is that of `reference_laps` with one session: the fastest personal best, or the
+    fastest lap if there is none.  Laps of a driver without a timed lap get NULL.  `cells` bounds
+    the cells of all matrices.
+    """
+    slower = F.struct(~F.coalesce("IsPersonalBest", F.lit(False)), "LapTime_s", "LapNumber")
+    best = F.min_by(F.struct(*STYLE), F.when(F.col("LapTime_s").isNotNull(), slower))
+    both = attach_totals(laps, DRIVER_KEY, {"_best": best})
+    tasks = max(laps.sparkSession.sparkContext.defaultParallelism, cells // TASK_CELLS)
+    # Spark repeats a deterministic call in filters on its result, before the laps are spread.
+    once = pandas_udf(warp_distance.func, T.DoubleType()).asNondeterministic()
+    made = [once(f"_best.{c}", c).alias(name) for c, name in STYLE.items()]
+    return hand_down(both.repartition(tasks).select("*", *made).drop("_best", *STYLE), laps)
+
+
 def style_distances(race_acc: DataFrame, references: DataFrame) -> DataFrame:
     """Distance of every race lap to its driver's reference lap, per direction."""
     return distances(race_acc, references, STYLE)

@@ -13,10 +13,14 @@ from pitlane.operators.quantiles import percentiles
 from pitlane.operators.series import Series, attach_totals, hand_down, measured
 
 
+def is_regular() -> Column:
+    lap = F.col("LapNumber")
+    return (lap >= 1) & (lap == F.floor(lap))
+
+
 def regular_laps(df: DataFrame) -> DataFrame:
     """Rows of whole lap numbers from 1 up; others never form a lap."""
-    lap = F.col("LapNumber")
-    return hand_down(df.where((lap >= 1) & (lap == F.floor(lap))), df)
+    return hand_down(df.where(is_regular()), df)
 
 
 def with_mean_speed(df: DataFrame, keys: list[str] = LAP_KEY) -> DataFrame:
@@ -24,6 +28,15 @@ def with_mean_speed(df: DataFrame, keys: list[str] = LAP_KEY) -> DataFrame:
     return attach_totals(df, keys, {"MeanLapSpeed": F.avg("Speed")})
 
 
+def lap_sums() -> dict[str, Column]:
+    """The features of a lap as aggregates over its accelerations."""
+    return {
+        "MeanLapSpeed": F.avg("Speed"),
+        "SumLonAcc": F.coalesce(F.sum(F.abs("LonAcc")), F.lit(0.0)),
+        "SumLatAcc": F.coalesce(F.sum(F.abs("LatAcc")), F.lit(0.0)),
+    }
+
+
 def lap_features(
     df: DataFrame, keys: list[str] = LAP_KEY, order: list[str] = SAMPLE_ORDER
 ) -> DataFrame:
@@ -33,15 +46,7 @@ def lap_features(
     are shuffled once.
     """
     measured(df, keys)
-    return (
-        accelerations(regular_laps(df), keys, order)
-        .groupBy(*keys)
-        .agg(
-            F.avg("Speed").alias("MeanLapSpeed"),
-            F.coalesce(F.sum(F.abs("LonAcc")), F.lit(0.0)).alias("SumLonAcc"),
-            F.coalesce(F.sum(F.abs("LatAcc")), F.lit(0.0)).alias("SumLatAcc"),
-        )
-    )
+    return accelerations(regular_laps(df), keys, order).groupBy(*keys).agg(*[c.alias(n) for n, c in lap_sums().items()])
 
 
 def lap_abs_acc(df: DataFrame, keys: list[str] = LAP_KEY) -> DataFrame:

@@ -9,7 +9,7 @@ from pitlane.constants import LAP_KEY, MODEL_FEATURES
 from pitlane.functions.scalars import quadratic_features
 from pitlane.operators import learning, statistics
 from pitlane.operators.series import hand_down
-from pitlane.plans import evaluation, race, strategy
+from pitlane.plans import evaluation, strategy
 from pitlane.plans import style as style_plan
 from pitlane.workbench import algebra
 from pitlane.workbench.book import query, sql
@@ -106,12 +106,9 @@ sql(
 
 
 def season(spark, folder):
-    """Processed laps with style distances and the track name."""
-    own, samples = laps(spark, folder), tel(spark, folder)
-    raced = race.race_features(own, samples)
-    number = F.substring("Driver", 2, 20).alias("DriverNumber")
-    made = raced.drop("LapTime_s").select("*", number, F.col("Race").alias("Track"))
-    return style_plan.with_style(hand_down(made, raced), style_plan.style(own, samples, own, samples))
+    """Processed laps whose telemetry arrived, with style distances and the track name."""
+    raced = style_plan.styled_features(laps(spark, folder), tel(spark, folder))
+    return hand_down(raced.withColumn("Track", F.col("Race")), raced)
 
 
 @query("model_dataset")

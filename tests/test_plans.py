@@ -83,3 +83,10 @@ def test_bucketed_samples_are_not_shuffled(spark, tmp_path):
     moved = [line for line in joined.split("\n") if "Exchange" in line]
     assert moved and not any("SampleId" in line or "Time_s#" in line for line in moved)
     spark.sql("DROP TABLE samples_in_buckets")
+
+
+def test_model_dataset_goes_over_its_tables_once(spark):
+    text = plan(QUERIES["model_dataset"](spark, FOLDER))
+    assert text.count("FileScan parquet [event_id") == 1
+    assert text.count("FileScan parquet [o_orderkey") == 1
+    assert text.count("ArrowEvalPython") == 1
