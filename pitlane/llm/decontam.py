@@ -211,6 +211,8 @@ class Index:
         if not self.items or not len(flat.start):
             return out
         text, item, place = self.candidates(flat)
+        if not len(item):
+            return out
         order = np.lexsort((place, text, item))
         item, text, place = item[order], text[order], place[order]
         # Places close to each other share one window.
@@ -220,7 +222,7 @@ class Index:
         item, text, least, most = item[first], text[first], place[first], place[final]
         begin = np.maximum(least - self.slack[item], flat.low[text])
         end = np.minimum(most + self.sizes[item] + self.slack[item], flat.high[text])
-        codes = flat.pieces() if len(item) else None
+        codes = flat.pieces()
         edges = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             i = int(item[a])

@@ -121,6 +121,13 @@ def test_one_long_text_and_short_items():
     assert Index([], 0.2, 0.9).items_in(pa.array([text])) == [[]]
 
 
+def test_texts_that_meet_no_key():
+    """Slices of a few unlike texts, as tables have at their ends."""
+    index = Index([(i, " ".join(w)) for i, w in ITEMS], 0.2, 0.9)
+    assert not len(index.candidates(decontam.Flat(pa.array(["0"])))[0])
+    assert index.items_in(pa.array(["0", None, "", "0"])) == [[], [], [], []]
+
+
 def test_the_filter_of_pieces_loses_nothing():
     items = [(i, " ".join(passage(rng.integers(3, 30)))) for i in range(150)]
     index = Index(items, 0.2, 0.9)
