@@ -14,9 +14,9 @@ characters were changed at random (`samples_for`).  A walk goes on only while wh
 wrote so far begins some item's key, which gives the same matches as comparing whole keys.
 
 Each candidate window, with slack to both sides, is verified.  It must hold as many of the
-item's three-byte pieces as `edits` leave in any case; then the least edit distance, in
-characters, between the item and any part of it must be at most `edits` times the item's
-length.  Both are compared with A-Z lower-cased and words joined by one space.
+item's pieces of three characters, repeats counted, as `edits` leave in any case; then the
+least edit distance, in characters, between the item and any part of it must be at most
+`edits` times the item's length.  Both are compared with A-Z lower-cased and words joined by one space.
 
 Items are read in blocks of at most `BLOCK_CHARS` characters (or one longer item), each
 broadcast; every block meets all texts.
@@ -54,7 +54,8 @@ CHECKS = (8, 12)
 STEPS = math.ceil(DEPTHS[-1] / DENSITY) + 1
 EDITS, RECALL = 0.2, 0.9
 BLOCK_CHARS = 2_000_000
-SLOTS, PIECES = 1 << 20, 1 << 12
+SLOTS, PIECE_BITS = 1 << 20, 16
+NONE = 1 << PIECE_BITS
 UPPER = {i: i + 32 for i in range(65, 91)}
 VALUES = mix(np.arange(1, 257, dtype=np.uint64) * BASE)
 
@@ -108,10 +109,18 @@ class Flat:
         self.text = words.text
 
     def pieces(self) -> np.ndarray:
-        """The code of the three bytes at each place."""
-        b = self.bytes.astype(np.int64)
-        code = b[:-2] * 0x9E3779B1 + b[1:-1] * 0x85EBCA77 + b[2:] * 0xC2B2AE3D
-        return (code >> 13) & (PIECES - 1)
+        """The code of the three characters that begin at each byte, `NONE` inside of a character."""
+        first = np.flatnonzero((self.bytes & 0xC0) != 0x80)
+        code = self.bytes[first].astype(np.uint32)
+        size = np.diff(first, append=len(self.bytes))
+        wide = np.flatnonzero(size > 1)
+        for k in range(1, 4):
+            wide = wide[size[wide] > k]
+            code[wide] = code[wide] * np.uint32(257) + self.bytes[first[wide] + k]
+        three = (code[:-2] * np.uint32(0x85EBCA77) + code[1:-1]) * np.uint32(0xC2B2AE3D) + code[2:]
+        out = np.full(len(self.bytes), NONE, np.uint32)
+        out[first[:-2]] = three * np.uint32(0x9E3779B1) >> np.uint32(32 - PIECE_BITS)
+        return out
 
 
 def walks(flat: Flat, number: int, depths: list[int], keep: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -156,12 +165,13 @@ class Index:
         wanted = np.array([samples_for(w, n, edits, recall) for w, n in zip(flat.words.tolist(), self.sizes.tolist(), strict=True)], np.int64)
         self.most = np.array([math.floor(edits * len(t)) for _, t in self.items], np.int64)
         widths = [sorted((len(c.encode("utf-8", "replace")) for c in t), reverse=True) for _, t in self.items]
-        # Pieces that the most edits can spoil, widest characters first, and bytes by which they can shift the rest.
-        self.spoilt = np.array([sum(w + 2 for w in ws[:k]) for ws, k in zip(widths, self.most.tolist(), strict=True)], np.int64)
+        # Pieces that the most edits can spoil, and bytes, widest characters first, by which they can shift the rest.
+        self.spoilt = 3 * self.most
         self.slack = np.array([sum(ws[:k]) + 2 for ws, k in zip(widths, self.most.tolist(), strict=True)], np.int64)
         self.letters = [letters_of(t) for _, t in self.items]
         codes = flat.pieces()
-        self.codes = [codes[a : max(a, b - 2)].astype(np.int16) for a, b in zip(flat.low.tolist(), flat.high.tolist(), strict=True)]
+        begun = [codes[a:b][codes[a:b] < NONE] for a, b in zip(flat.low.tolist(), flat.high.tolist(), strict=True)]
+        self.codes = [c[: max(0, len(c) - 2)].astype(np.uint16) for c in begun]
         offset = flat.start - flat.low[flat.text]
         # For each walk and depth: beginnings of longer keys, and sorted keys with the item and place of each.
         self.tables: list[dict[int, tuple[np.ndarray, ...]]] = []
@@ -238,18 +248,21 @@ class Index:
         return [sorted(x) for x in out]
 
     def near(self, i: int, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Which windows hold as many pieces of item `i` as it has under the most edits."""
-        own = self.codes[i].astype(np.int64)
-        least = len(own) - int(self.spoilt[i])
+        """Which windows hold as many pieces of item `i`, repeats counted, as it has under the most edits."""
+        least = len(self.codes[i]) - int(self.spoilt[i])
         if least <= 0:
             return np.arange(len(begin))
+        own, times = np.unique(self.codes[i], return_counts=True)
+        place = np.full(NONE + 1, len(own), np.int64)
+        place[own] = np.arange(len(own))
+        width = len(own) + 1
         good = []
         for low in range(0, len(begin), 256):
-            a, b = begin[low : low + 256, None], end[low : low + 256, None]
-            at = a + np.arange(int((b - a).max()))
-            held = np.zeros((len(a), PIECES + 1), dtype=bool)
-            held[np.arange(len(a))[:, None], np.where(at < b - 2, codes[np.minimum(at, len(codes) - 1)], PIECES)] = True
-            good.append(low + np.flatnonzero(held[:, own].sum(1) >= least))
+            a = begin[low : low + 256]
+            n = np.maximum(end[low : low + 256] - a, 0)
+            at = np.arange(n.sum()) + np.repeat(a - np.cumsum(n) + n, n)
+            held = np.bincount(np.repeat(np.arange(len(a)) * width, n) + place[codes[at]], minlength=len(a) * width).reshape(len(a), width)
+            good.append(low + np.flatnonzero(np.minimum(held[:, :-1], times).sum(1) >= least))
         return np.concatenate(good)
 
 

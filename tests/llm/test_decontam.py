@@ -128,6 +128,13 @@ def test_texts_that_meet_no_key():
     assert index.items_in(pa.array(["0", None, "", "0"])) == [[], [], [], []]
 
 
+def test_rows_that_meet_no_key_stay(spark):
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in ITEMS], "item_id long, text string")
+    df = spark.createDataFrame([(1, "0"), (2, " ".join(ITEMS[3][1])), (3, None), (None, "0 0")], "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, keep_clean(df, items).collect()), key=str) == [(1, "0"), (3, None), (None, "0 0")]
+    assert sorted(map(tuple, find_items(df, items).collect()), key=str) == [(1, False, 0, []), (2, True, 1, [3]), (3, False, 0, []), (None, False, 0, [])]
+
+
 def test_the_filter_of_pieces_loses_nothing():
     items = [(i, " ".join(passage(rng.integers(3, 30)))) for i in range(150)]
     index = Index(items, 0.2, 0.9)
@@ -138,6 +145,14 @@ def test_the_filter_of_pieces_loses_nothing():
             assert len(index.near(i, flat.pieces(), flat.low, flat.high)) == 1
 
 
+def test_the_filter_of_pieces_counts_repeats():
+    """Two of the item's pieces, and letters of other bytes, are not the item."""
+    index = Index([(0, "ab" * 30), (1, "éçà" + "".join("ßüöäëï"[i * i % 6] for i in range(60)))], 0.2, 0.9)
+    for i, text, many in ((0, "aba cdcd " * 9, 0), (0, "x " + "ab" * 30, 1), (1, "ãñéçà " * 12, 0), (1, index.items[1][1][5:], 1)):
+        flat = decontam.Flat(pa.array([text]))
+        assert len(index.near(i, flat.pieces(), flat.low, flat.high)) == many
+
+
 def test_index_is_small():
     items = [(i, " ".join(passage(40))) for i in range(2000)]
     index = Index(items, 0.2, 0.9)
