@@ -476,11 +476,185 @@ def _errors_by_depth(model: DecisionTreeRegressionModel, test: DataFrame, depth:
     return [found[d] for d in range(depth + 1)]
 
 
+def _thresholds(counts: np.ndarray, values: np.ndarray, number: int, bins: int) -> np.ndarray:
+    """Where Spark's trees may split a feature: between all its sorted `values`, or near even shares of `number` rows."""
+    middle = (values[:-1] + values[1:]) / 2
+    if len(middle) < bins:
+        return middle
+    stride = number / bins
+    found, target, seen = [], stride, counts[0]
+    for i, count in enumerate(counts[1:].tolist()):
+        before, seen = seen, seen + count
+        if abs(before - target) < abs(seen - target):
+            found.append(middle[i])
+            target += stride
+    return np.array(found)
+
+
+def _level(x: np.ndarray, sums: np.ndarray, node: np.ndarray, n: int, splits: list[int], least: float, gain: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each of `n` nodes: the feature (-1: none) and bin of its best split, and whether the children can be split.
+
+    `x` holds the bins of the rows, `sums` their weight, sum and sum of squares, `node` their node.
+    Sums, gains and ties are Spark's: the first of equal splits wins.
+    """
+
+    def spread(weight, total, squares):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(weight > 0, (squares - total * total / weight) / weight, 0.0)
+
+    best, at, which = np.full(n, -np.inf), np.zeros(n, np.int64), np.full(n, -1)
+    open_ = np.zeros((n, 2), dtype=bool)
+    for f, cuts in enumerate(splits):
+        if not cuts:
+            continue
+        for low in range(0, n, 8192):
+            high = min(n, low + 8192)
+            # Rows are ordered by node.
+            a, b = np.searchsorted(node, (low, high))
+            cell = (node[a:b] - low) * (cuts + 1) + x[a:b, f]
+            upto = [np.bincount(cell, s[a:b], (high - low) * (cuts + 1)).reshape(-1, cuts + 1).cumsum(axis=1) for s in sums]
+            left, whole = [u[:, :-1] for u in upto], [u[:, -1:] for u in upto]
+            right = [w - u for w, u in zip(whole, left)]
+            near, far = spread(*left), spread(*right)
+            gains = spread(*whole) - left[0] / whole[0] * near - right[0] / whole[0] * far
+            gains[(left[0] < least) | (right[0] < least) | (gains < gain)] = -np.inf
+            pick = gains.argmax(axis=1)
+            rows = np.arange(high - low)
+            better = np.flatnonzero(gains[rows, pick] > best[low:high])
+            chosen = pick[better]
+            best[low + better], at[low + better], which[low + better] = gains[better, chosen], chosen, f
+            open_[low + better] = np.abs(np.stack((near[better, chosen], far[better, chosen]), axis=1)) >= 2.0**-52
+    which[best <= 0] = -1
+    return which, at, open_
+
+
+def _grow(x, sums, tested, errors, splits: list[int], least: float, depth: int, gain: float) -> list[float]:
+    """Squared error of the tested rows at depth 0, 1, ... `depth` of the tree that the rows (x, sums) give.
+
+    Of the tested rows `errors` has the weight, mean and squared error around the mean.
+    """
+    node, at = np.zeros(len(x), np.int64), np.zeros(len(tested), np.int64)
+    weight, mean, around = errors
+    predicted = np.full(1, sums[1].sum() / sums[0].sum())
+    guess = np.full(len(tested), predicted[0])
+    found, n, can = [], 1, np.ones(1, dtype=bool)
+    for level in range(depth + 1):
+        found.append(float((around + weight * (mean - guess) ** 2).sum()))
+        if level == depth or not n:
+            continue
+        which, bin_, open_ = _level(x, sums, node, n, splits, least, gain)
+        split = (which >= 0) & can
+        if not split.any():
+            n = 0
+            continue
+        base = np.cumsum(split) * 2 - 2
+        sides = []
+        for rows, place in ((x, node), (tested, at)):
+            inside = np.flatnonzero((place >= 0) & split[place])
+            own = place[inside]
+            child = base[own] + (rows[inside, which[own]] > bin_[own])
+            sides.append((inside, child))
+        (kept, child), (met, child_met) = sides
+        n = 2 * int(split.sum())
+        predicted = np.bincount(child, sums[1][kept], n) / np.bincount(child, sums[0][kept], n)
+        guess[met] = predicted[child_met]
+        can = open_[split].reshape(-1)
+        order = np.argsort(child, kind="stable")
+        x, sums, node = x[kept][order], [v[kept][order] for v in sums], child[order]
+        at = np.full(len(tested), -1)
+        at[met] = child_met
+    return found
+
+
+# Distinct values by fold and feature that the driver may see, and cells of a fold that a task may hold.
+FEW_VALUES, FEW_CELLS = 500_000, 2_000_000
+
+
+class Cells:
+    """Rows by the bins of their features, apart for each fold that is left out.
+
+    A tree sees no more of a feature than its bins, so a fold has at most as many cells as bins
+    can be combined, however long the table is, and one task can grow a tree of it.
+    """
+
+    def __init__(self, rows: DataFrame, sizes: dict[int, float], splits: dict[int, list[np.ndarray]]):
+        self.splits, self.sizes = splits, sizes
+        width = len(next(iter(splits.values())))
+        self.names = [f"_x{f}" for f in range(width)]
+        middle = rows.agg(F.sum(F.col(COUNT) * F.col(MEAN)) / F.sum(COUNT)).first()[0]
+
+        def binned(parts):
+            for batch in parts:
+                x = np.array(batch["_x"].tolist()).reshape(len(batch), width)
+                w, m, around = (batch[c].to_numpy() for c in (COUNT, MEAN, AROUND))
+                for fold, limits in splits.items():
+                    test = batch["_fold"].to_numpy() == fold
+                    bins = {f"_x{f}": np.searchsorted(limit, x[:, f]).astype(np.int32) for f, limit in enumerate(limits)}
+                    # Errors are summed around the middle, where little is lost.
+                    label = np.where(test, m - middle, m)
+                    yield pd.DataFrame({"_out": fold, "_test": test, **bins, "_w": w, "_s": w * label, "_q": w * label * label + np.where(test, around, 0.0)})
+
+        schema = "_out long, _test boolean, " + ", ".join(f"{x} int" for x in self.names) + ", _w double, _s double, _q double"
+        few = rows.select(vector_to_array(VECTOR).alias("_x"), F.col("_fold").cast("long").alias("_fold"), COUNT, MEAN, AROUND)
+        sums = [F.sum(c).alias(c) for c in ("_w", "_s", "_q")]
+        self.rows = stored(few.mapInPandas(binned, schema).groupBy("_out", "_test", *self.names).agg(*sums), "cells")
+        self.most = self.rows.groupBy("_out").count().agg(F.max("count")).first()[0]
+        self.middle = middle
+
+    def errors(self, jobs: list[tuple[int, int, int]], gain: float) -> dict[tuple[int, int, int], list[float]]:
+        """Squared errors by depth of the trees asked for as (depth, least rows of a leaf, fold left out)."""
+        spark, names, middle, sizes, splits = self.rows.sparkSession, self.names, self.middle, self.sizes, self.splits
+        asked = spark.createDataFrame([(i, *job) for i, job in enumerate(jobs)], "_job int, _depth int, _leaf int, _out long")
+
+        def grow(key, cells):
+            depth, leaf, fold = (int(cells[c].iloc[0]) for c in ("_depth", "_leaf", "_out"))
+            test = cells["_test"].to_numpy()
+            x = cells[names].to_numpy()
+            w, s, q = (cells[c].to_numpy() for c in ("_w", "_s", "_q"))
+            number = sum(v for k, v in sizes.items() if k != fold)
+            mean = s[test] / w[test]
+            around = np.maximum(q[test] - s[test] * mean, 0.0)
+            found = _grow(
+                x[~test], [v[~test] for v in (w, s, q)], x[test], (w[test], mean + middle, around), [len(c) for c in splits[fold]],
+                (leaf - 0.5) / number * number, depth if 2 * leaf <= number else 0, gain,
+            )
+            return pd.DataFrame({"_job": [key[0]], "errors": [found + found[-1:] * (depth + 1 - len(found))]})
+
+        dealt = self.rows.join(F.broadcast(asked), "_out").repartition(len(jobs), "_job")
+        made = dealt.groupBy("_job").applyInPandas(grow, "_job int, errors array<double>").collect()
+        return {jobs[r["_job"]]: list(r["errors"]) for r in made}
+
+
+def cells_of(estimator, rows: DataFrame, sizes: dict[int, float]) -> Cells | None:
+    """The cells of `rows`, or None if there are too many distinct values or cells, or coded categories."""
+    if any(f.name == VECTOR and "nominal" in f.metadata.get("ml_attr", {}).get("attrs", {}) for f in rows.schema.fields):
+        return None
+    each = rows.select("_fold", COUNT, F.posexplode(vector_to_array(VECTOR)).alias("_feature", "_value"))
+    values = stored(each.groupBy("_feature", "_value", "_fold").agg(F.sum(COUNT).alias("rows"), F.count(F.lit(1)).alias("alike")), "values")
+    if values.limit(FEW_VALUES + 1).count() > FEW_VALUES:
+        return None
+    seen = values.toPandas()
+    splits = {}
+    for fold in sizes:
+        train = seen[seen["_fold"] != fold]
+        if not len(train):
+            raise ValueError(f"all rows are in fold {fold}")
+        # As many bins as there are rows at most.
+        bins = min(estimator.getMaxBins(), int(train.loc[train["_feature"] == 0, "alike"].sum()))
+        splits[fold] = []
+        for _, own in train.groupby("_feature"):
+            counted = own.groupby("_value")["rows"].sum().sort_index()
+            splits[fold].append(_thresholds(counted.to_numpy(), counted.index.to_numpy(), counted.sum(), bins))
+    made = Cells(rows, sizes, splits)
+    return made if made.most <= FEW_CELLS else None
+
+
 class TreeTrials:
     """Cross-validated errors of regression trees by depth and least rows of a leaf.
 
-    One tree for each fold and least number serves all depths up to its own; fits run on
-    rows that are alike, so they grow with the distinct features and not with the table.
+    One tree for each fold and least number serves all depths up to its own.  Trees grow in
+    tasks on the cells of a fold (`Cells`), all that are asked for in one job; where there are
+    too many cells Spark fits them, on rows that are alike.
     """
 
     def __init__(self, estimator, rows: DataFrame):
@@ -488,6 +662,7 @@ class TreeTrials:
         self.sizes = {r._fold: r.rows for r in rows.groupBy("_fold").agg(F.sum(COUNT).alias("rows")).collect()}
         self.folds = sorted(self.sizes)
         self.known: dict[int, list[float]] = {}
+        self.cells = cells_of(estimator, rows, self.sizes)
 
     def __call__(self, some: list[dict], pool: ThreadPool) -> list[float]:
         asked = [(self._of(t, "minInstancesPerNode"), self._of(t, "maxDepth")) for t in some]
@@ -497,7 +672,11 @@ class TreeTrials:
                 deepest[leaf] = max(depth, deepest.get(leaf, 0))
         # The longest fits first.
         jobs = sorted(((depth, leaf, i) for leaf, depth in deepest.items() for i in self.folds), reverse=True)
-        made = dict(zip(jobs, pool.map(self._fold_errors, jobs, chunksize=1)))
+        if self.cells and jobs:
+            sums = self.cells.errors(jobs, self.estimator.getMinInfoGain())
+            made = {job: [e / self.sizes[job[2]] for e in errors] for job, errors in sums.items()}
+        else:
+            made = dict(zip(jobs, pool.map(self._fold_errors, jobs, chunksize=1)))
         for leaf, depth in deepest.items():
             each = [made[depth, leaf, i] for i in self.folds]
             self.known[leaf] = [sum(errors) / len(each) for errors in zip(*each)]

@@ -136,6 +136,37 @@ def test_search_of_trees_shares_fits(spark, monkeypatch):
     ready.unpersist()
 
 
+def test_trees_of_the_search_grow_in_tasks(spark, monkeypatch):
+    """One fit by Spark, of the best tree; the errors are those of Spark's fits, also of a constant feature and zeros."""
+    draw = random.Random(8)
+    cells = [(float(draw.randint(-3, 80)), round(draw.gauss(0, 1), 3), 7.0, float(draw.randint(0, 2))) for _ in range(1500)]
+    rows = [(*x, x[0] * x[1] + 30 * x[3] + draw.gauss(0, 20)) for x in cells] + [(None, 1.0, 7.0, 1.0, 5.0), (*cells[0], None)]
+    table = spark.createDataFrame(rows, "a double, b double, c double, d double, y double")
+    space = {"maxDepth": learning.Range(2, 6, whole=True), "minInstancesPerNode": learning.Range(5, 10, whole=True)}
+    fits, fit = [], DecisionTreeRegressor._fit
+    monkeypatch.setattr(DecisionTreeRegressor, "_fit", lambda self, df: fits.append(1) or fit(self, df))
+    found, number = [], []
+    for limit in (learning.FEW_CELLS, 0) if hasattr(learning, "FEW_CELLS") else (0, 0):
+        monkeypatch.setattr(learning, "FEW_CELLS", limit, raising=False)
+        fits.clear()
+        _, trials = learning.tune(DecisionTreeRegressor(seed=1, minInfoGain=0.5), space, table, ["a", "b", "c", "d"], "y", 9, 3)
+        found.append({r.params: r.MSE for r in trials.collect()})
+        number.append(len(fits))
+    assert number[0] == 1 < number[1]
+    assert found[0] == pytest.approx(found[1], rel=1e-9)
+
+
+def test_leaves_of_the_search_count_original_rows(spark):
+    """Of nine alike rows a side no leaf of ten can be made, of leaves of eight both."""
+    table = spark.createDataFrame([(float(i % 2), float(i % 2) + i // 2 % 9 / 1e6) for i in range(36)], "a double, y double")
+    known = learning.alike(table, ["a"], "y", [(F.monotonically_increasing_id() % 2).alias("_fold")])
+    trials = learning.TreeTrials(DecisionTreeRegressor(featuresCol="_features"), learning.assemble(known, ["a"]).persist())
+    assert sum(trials.sizes.values()) == 36 and trials.cells is not None
+    least = min(trials.sizes.values())
+    small, large = trials([{"maxDepth": 1, "minInstancesPerNode": n} for n in (1, 36)], None)
+    assert least > 2 and small < 1e-6 and large > 0.1
+
+
 def test_least_rows_of_a_leaf_are_original_rows(spark):
     """Five alike rows on one side count as five."""
     table = spark.createDataFrame([(0.0, 1.0)] * 5 + [(1.0, 9.0)] * 3, "a double, y double")
