@@ -491,19 +491,23 @@ def _thresholds(counts: np.ndarray, values: np.ndarray, number: int, bins: int)
     return np.array(found)
 
 
-def _level(x: np.ndarray, sums: np.ndarray, node: np.ndarray, n: int, splits: list[int], least: float, gain: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each of `n` nodes: the feature (-1: none) and bin of its best split, and whether the children can be split.
+def _variance(weight: np.ndarray, total: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(weight > 0, (squares - total * total / weight) / weight, 0.0)
 
-    `x` holds the bins of the rows, `sums` their weight, sum and sum of squares, `node` their node.
-    Sums, gains and ties are Spark's: the first of equal splits wins.
-    """
 
-    def spread(weight, total, squares):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(weight > 0, (squares - total * total / weight) / weight, 0.0)
+def _level(
+    x: np.ndarray, sums: list[np.ndarray], node: np.ndarray, variance: np.ndarray | None, splits: list[int], least: float, gain: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each node: the feature (-1: none) and bin of its best split, and the variance of its two children.
 
+    `x` holds the bins of the rows, `sums` their weight, sum and sum of squares, `node` their node,
+    `variance` that of the nodes (None: of the root, from its first split).  Sums, their order, gains
+    and ties are Spark's: the first of equal splits wins.
+    """
+    n = 1 if variance is None else len(variance)
     best, at, which = np.full(n, -np.inf), np.zeros(n, np.int64), np.full(n, -1)
-    open_ = np.zeros((n, 2), dtype=bool)
+    below = np.zeros((n, 2))
     for f, cuts in enumerate(splits):
         if not cuts:
             continue
@@ -515,17 +519,19 @@ def _level(x: np.ndarray, sums: np.ndarray, node: np.ndarray, n: int, splits: li
             upto = [np.bincount(cell, s[a:b], (high - low) * (cuts + 1)).reshape(-1, cuts + 1).cumsum(axis=1) for s in sums]
             left, whole = [u[:, :-1] for u in upto], [u[:, -1:] for u in upto]
             right = [w - u for w, u in zip(whole, left)]
-            near, far = spread(*left), spread(*right)
-            gains = spread(*whole) - left[0] / whole[0] * near - right[0] / whole[0] * far
+            near, far = _variance(*left), _variance(*right)
+            if variance is None:
+                variance = _variance(*[u[:, 0] + v[:, 0] for u, v in zip(left, right)])
+            gains = variance[low:high, None] - left[0] / whole[0] * near - right[0] / whole[0] * far
             gains[(left[0] < least) | (right[0] < least) | (gains < gain)] = -np.inf
             pick = gains.argmax(axis=1)
             rows = np.arange(high - low)
             better = np.flatnonzero(gains[rows, pick] > best[low:high])
             chosen = pick[better]
             best[low + better], at[low + better], which[low + better] = gains[better, chosen], chosen, f
-            open_[low + better] = np.abs(np.stack((near[better, chosen], far[better, chosen]), axis=1)) >= 2.0**-52
+            below[low + better] = np.stack((near[better, chosen], far[better, chosen]), axis=1)
     which[best <= 0] = -1
-    return which, at, open_
+    return which, at, below
 
 
 def _grow(x, sums, tested, errors, splits: list[int], least: float, depth: int, gain: float) -> list[float]:
@@ -537,16 +543,16 @@ def _grow(x, sums, tested, errors, splits: list[int], least: float, depth: int,
     weight, mean, around = errors
     predicted = np.full(1, sums[1].sum() / sums[0].sum())
     guess = np.full(len(tested), predicted[0])
-    found, n, can = [], 1, np.ones(1, dtype=bool)
+    found, variance = [], None
     for level in range(depth + 1):
         found.append(float((around + weight * (mean - guess) ** 2).sum()))
-        if level == depth or not n:
-            continue
-        which, bin_, open_ = _level(x, sums, node, n, splits, least, gain)
-        split = (which >= 0) & can
+        if level == depth:
+            break
+        which, bin_, below = _level(x, sums, node, variance, splits, least, gain)
+        # Spark makes a leaf of what has no variance.
+        split = (which >= 0) & (True if variance is None else np.abs(variance) >= 2.0**-52)
         if not split.any():
-            n = 0
-            continue
+            break
         base = np.cumsum(split) * 2 - 2
         sides = []
         for rows, place in ((x, node), (tested, at)):
@@ -558,7 +564,7 @@ def _grow(x, sums, tested, errors, splits: list[int], least: float, depth: int,
         n = 2 * int(split.sum())
         predicted = np.bincount(child, sums[1][kept], n) / np.bincount(child, sums[0][kept], n)
         guess[met] = predicted[child_met]
-        can = open_[split].reshape(-1)
+        variance = below[split].reshape(-1)
         order = np.argsort(child, kind="stable")
         x, sums, node = x[kept][order], [v[kept][order] for v in sums], child[order]
         at = np.full(len(tested), -1)
